@@ -1,0 +1,90 @@
+"""F1 Java split rules, line splitting, marker-text format."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from sparkwright.functions.marker import marker_decode, marker_encode
+from sparkwright.functions.text import base_name, java_split, java_trim, text_lines
+
+
+def py_java_split(s: str, sep: str = " ") -> list[str]:
+    """Reference model of Java's String.split for a literal separator."""
+    if s == "":
+        return [""]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _strings(n=300, seed=7):
+    rnd = random.Random(seed)
+    out = ["", " ", "  ", "a", " a", "a ", "a  b  ", "  a b", "a\nb c"]
+    for _ in range(n):
+        out.append("".join(rnd.choice("ab  \n") for _ in range(rnd.randint(0, 12))))
+    return out
+
+
+def test_java_split_matches_model(spark):
+    data = _strings()
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(data)], "i int, s string")
+    got = {r.i: r.w for r in df.select("i", java_split("s").alias("w")).collect()}
+    for i, s in enumerate(data):
+        assert got[i] == py_java_split(s), repr(s)
+
+
+def test_java_split_other_separator(spark):
+    data = ["a,b,,", ",a", "", ",,", "a.b"]
+    df = spark.createDataFrame([(s,) for s in data], "s string")
+    got = [r.w for r in df.select(java_split("s", ",").alias("w")).collect()]
+    assert got == [py_java_split(s, ",") for s in data]
+    got_dot = df.select(java_split("s", ".").alias("w")).collect()[-1].w
+    assert got_dot == ["a", "b"]  # literal separator, not a regex
+
+
+def test_null_propagates(spark):
+    df = spark.createDataFrame([(None,)], "s string")
+    assert df.select(java_split("s").alias("w")).first().w is None
+
+
+def test_text_lines(spark):
+    df = spark.createDataFrame([("a\nb\n",), ("",), ("x\n\ny",), ("\n",)], "t string")
+    got = [r.l for r in df.select(text_lines("t").alias("l")).collect()]
+    assert got == [["a", "b"], [], ["x", "", "y"], [""]]
+
+
+def test_java_trim_and_base_name(spark):
+    df = spark.createDataFrame([("\t a b \x01", "hdfs://x/dir/file.txt")], "s string, p string")
+    r = df.select(java_trim("s").alias("t"), base_name("p").alias("b")).first()
+    assert (r.t, r.b) == ("a b", "file.txt")
+
+
+def test_marker_roundtrip_clean(spark):
+    rnd = random.Random(3)
+    words = ["alpha", "b", "", "gamma", "x"]
+    lines = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 600))).rstrip(" ")
+             for _ in range(60)]
+    df = spark.createDataFrame([(s,) for s in lines], "value string")
+    enc = df.select("value", marker_encode("value").alias("enc"))
+    out = enc.select("value", "enc", marker_decode("enc", "clean").alias("dec")).collect()
+    for r in out:
+        assert r.dec == r.value
+    assert any("gee" in r.enc for r in out)
+
+
+def test_marker_positions_fixed_gap(spark):
+    df = spark.createDataFrame([("w0 w1 w2 w3 w4 w5 w6",)], "value string")
+    enc = df.select(marker_encode("value", 3).alias("e")).first().e
+    assert enc == "w0 w1 w2 w3 geeek w4 w5 w6 geeek "
+    dec = spark.createDataFrame([(enc,)], "e string").select(
+        marker_decode("e", "compat").alias("c"), marker_decode("e", "clean").alias("k")).first()
+    assert dec.c == "w0 w1 w2 w3  w4 w5 w6  "
+    assert dec.k == "w0 w1 w2 w3 w4 w5 w6"
+
+
+def test_marker_gap_is_deterministic(spark):
+    df = spark.createDataFrame([("a b c d e f",)], "value string")
+    a = df.select(marker_encode("value").alias("e")).first().e
+    b = df.select(marker_encode("value").alias("e")).first().e
+    assert a == b

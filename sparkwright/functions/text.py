@@ -23,22 +23,36 @@ def java_split(c: str | Column, sep: str = " ") -> Column:
     none. Spark's ``split`` keeps trailing empties, so they are trimmed first.
     """
     s = _col(c)
-    pattern = re.escape(sep)
+    return java_split_trimmed(s, trim_trailing(s, sep), sep)
+
+
+def trim_trailing(c: str | Column, sep: str = " ") -> Column:
+    """The input without trailing separators (first half of ``java_split``)."""
+    s = _col(c)
     if sep == " ":
-        stripped = F.rtrim(s)  # Spark's rtrim removes only U+0020
-    else:
-        stripped = F.regexp_replace(s, f"(?:{pattern})+$", "")
+        return F.rtrim(s)  # Spark's rtrim removes only U+0020
+    return F.regexp_replace(s, f"(?:{re.escape(sep)})+$", "")
+
+
+def java_split_trimmed(c: str | Column, trimmed: str | Column, sep: str = " ") -> Column:
+    """``java_split`` given the input and its ``trim_trailing`` value, so a
+    caller can project the trimmed text once and reuse it."""
+    s, t = _col(c), _col(trimmed)
     return (F.when(s == "", F.array(F.lit("")))
-            .when(stripped == "", F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, pattern, -1)))
+            .when(t == "", F.array().cast("array<string>"))
+            .otherwise(F.split(t, re.escape(sep), -1)))
 
 
 def text_lines(c: str | Column) -> Column:
     """Lines of a text the way a line reader yields them: split on ``\\n``,
     no extra empty line after a final newline, no line for an empty text."""
-    s = _col(c)
-    return (F.when(s == "", F.array().cast("array<string>"))
-            .otherwise(F.split(F.regexp_replace(s, "\n\\z", ""), "\n", -1)))
+    return drop_final_empty(F.split(_col(c), "\n", -1))
+
+
+def drop_final_empty(arr: str | Column) -> Column:
+    """Drop the last element of an array when it is the empty string."""
+    a = _col(arr)
+    return F.when(F.element_at(a, -1) == "", F.slice(a, 1, F.size(a) - 1)).otherwise(a)
 
 
 def java_trim(c: str | Column) -> Column:

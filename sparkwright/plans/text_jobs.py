@@ -9,18 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.functions.text import java_split, text_lines
+from sparkwright.functions.text import drop_final_empty, java_split_trimmed, trim_trailing
 from sparkwright.operators.collect import DEFAULT_MAX_ITEMS, bounded_collect
+from sparkwright.operators.partitioning import spread
 
 
-def words_of_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """P10: one row per word, lines split on a single space (Java rules)."""
-    return lines.select(F.explode(java_split(value_col, " ")).alias("word"))
+def words_of_lines(lines: DataFrame, value_col: str = "value", *keep: str) -> DataFrame:
+    """P10: one row per word, lines split on a single space (Java rules).
+
+    The trimmed line is projected once, then split (two narrow steps in one
+    stage), instead of recomputing it inside the generator.
+    """
+    trimmed = lines.select(*keep, F.col(value_col).alias("_v"),
+                           trim_trailing(value_col, " ").alias("_t"))
+    return trimmed.select(*keep, F.explode(java_split_trimmed("_v", "_t", " ")).alias("word"))
 
 
-def lines_of_texts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """S6 on an in-table text column: one row per line (whole texts)."""
-    return texts.select(F.explode(text_lines(text_col)).alias("value"))
+def lines_of_texts(texts: DataFrame, text_col: str = "text", key: str | None = None) -> DataFrame:
+    """S6 on an in-table text column: one row per line (whole texts).
+
+    Texts are spread over the cores first when the scan has few partitions
+    (a no-op for large inputs), because splitting is the CPU-heavy step.
+    """
+    src = spread(texts.select(*([key] if key else []), text_col), [key] if key else [])
+    parts = src.select(F.split(text_col, "\n", -1).alias("_p"))
+    return parts.select(F.explode(drop_final_empty("_p")).alias("value"))
 
 
 def word_count(lines: DataFrame, value_col: str = "value",
@@ -58,8 +71,8 @@ def inverted_index(files: DataFrame, file_col: str = "file_name",
     newline stays inside a word, as in the reference. This long form is the
     scalable posting table: one row per (word, file).
     """
-    pairs = files.select(F.explode(java_split(content_col, " ")).alias("word"),
-                         F.col(file_col).alias("file"))
+    src = spread(files.select(F.col(file_col).alias("file"), F.col(content_col).alias("_c")))
+    pairs = words_of_lines(src, "_c", "file")
     return (pairs.groupBy("word", "file").agg(F.count(F.lit(1)).alias("cnt"))
             .orderBy("word", "file"))
 

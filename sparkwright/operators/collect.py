@@ -2,18 +2,26 @@
 
 ``bounded_collect`` returns one row per key for ordinary keys (chunk 0, the
 classic ``groupBy().agg(collect_list())`` result) and splits a key with more
-than ``max_items`` values over ``ceil(n / max_items)`` rows (chunks). Nothing
-is dropped: the union of a key's chunks is exactly its values.
-
-Plan: a partial-aggregated count per key that reads only the key columns;
-the heavy keys (count above ``max_items``; at most ``rows / max_items`` of
-them) are cached and their number checked; below ``MAX_HEAVY_KEYS`` they are
-broadcast, so the values are never shuffled for this join. Each value gets a
-chunk number from a hash, then one ``groupBy(key, chunk)`` with map-side
-partial collection. The final shuffle is on (key, chunk), so a hot key is
-spread over as many tasks as it has chunks. With more heavy keys than the
-bound, the join is a shuffle join followed by an explicit repartition on
-(key, chunk), which keeps the same spread.
+than ``max_items`` values over about ``n / max_items`` rows (chunks). Nothing
+is dropped: the union of a key's chunks is exactly its values, duplicates
+included.
+
+Plan:
+
+1. Combine duplicate rows into ``(row, _n)`` (one ``groupBy`` over all
+   columns; map-side partial counting shrinks a hot repeated row before the
+   shuffle, and hashing the whole row spreads even a hot key evenly). A row
+   repeated more than ``max_items`` times becomes several pieces of at most
+   ``max_items`` each. Inputs already unique (e.g. the output of an
+   aggregation) skip this step with ``distinct_rows=True``.
+2. Per key, the row count, read from the input's key columns only and
+   partially aggregated; the heavy keys (weight above ``max_items``; at most
+   ``rows / max_items`` of them) are broadcast when their number is proven
+   below ``MAX_HEAVY_KEYS``, otherwise joined by a shuffle.
+3. A heavy key's rows get a chunk from a hash of the whole (unique) row, so
+   the assignment is the same when a lost task is recomputed, whatever the
+   row order in its input. The final ``groupBy(key, chunk)`` spreads a hot
+   key over as many tasks as it has chunks.
 """
 
 from __future__ import annotations
@@ -27,45 +35,78 @@ from sparkwright.operators.joins import fits
 
 DEFAULT_MAX_ITEMS = 100_000
 MAX_HEAVY_KEYS = 1_000_000
+WEIGHT = "_n"
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def combine_duplicates(df: DataFrame, max_items: int) -> DataFrame:
+    """Unique rows plus ``_n`` (1..max_items), the number of copies they stand for.
+
+    A row with more than ``max_items`` copies is split into pieces told apart
+    by ``_piece``; all columns must be groupable (no map columns).
+    """
+    cols = df.columns
+    total = F.col("_total")
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_total"))
+    pieces = F.sequence(F.lit(0).cast("long"), F.floor((total - 1) / F.lit(max_items)).cast("long"))
+    exploded = counted.select(*cols, total, F.explode(pieces).alias("_piece"))
+    return exploded.select(
+        *cols, "_piece",
+        F.least(F.lit(max_items).cast("long"), total - F.col("_piece") * F.lit(max_items))
+        .alias(WEIGHT))
+
+
 def chunk_ids(df: DataFrame, keys: str | Sequence[str], max_items: int,
-              count_col: str | None = None) -> DataFrame:
-    """Add ``_chunk``: 0 for keys with <= max_items rows, a hash bucket otherwise.
+              distinct_rows: bool = False) -> DataFrame:
+    """``df`` with ``_chunk`` (0 for keys of weight <= max_items, a hash
+    bucket otherwise) and ``_n`` (copies each row stands for).
 
-    ``count_col``, if given, names a column whose sum per key is the size
-    that must be bounded (e.g. a pre-aggregated row count).
+    Unless ``distinct_rows``, duplicates are combined first (see
+    ``combine_duplicates``), so every row that gets hashed is unique.
     """
     ks = _cols(keys)
-    weight = F.lit(1) if count_col is None else F.col(count_col)
-    salted = df.withColumn(
-        "_salt", F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id()))
-    heavy = (df.groupBy(*ks).agg(F.sum(weight).alias("_n"))
-             .filter(F.col("_n") > max_items)
-             .select(*ks, F.ceil(F.col("_n") / F.lit(max_items)).cast("long").alias("_nchunks"))
+    if distinct_rows:
+        rows = df.withColumn(WEIGHT, F.lit(1).cast("long"))
+    else:
+        rows = combine_duplicates(df, max_items)
+    salted = rows.withColumn("_salt", F.xxhash64(*[F.col(c) for c in rows.columns]))
+    # A key's weight is its raw row count: counted on the input's key columns,
+    # so this side reads no values and does not repeat the combining shuffle.
+    heavy = (df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_w"))
+             .filter(F.col("_w") > max_items)
+             .select(*ks, F.ceil(F.col("_w") / F.lit(max_items)).cast("long").alias("_nchunks"))
              .cache())
     small = fits(heavy, MAX_HEAVY_KEYS)
     joined = salted.join(F.broadcast(heavy) if small else heavy, ks, "left")
     chunk = F.when(F.col("_nchunks").isNull(), F.lit(0).cast("long")).otherwise(
         F.pmod(F.col("_salt"), F.col("_nchunks")))
     out = joined.withColumn("_chunk", chunk).drop("_nchunks", "_salt")
+    if "_piece" in out.columns:
+        out = out.drop("_piece")
     return out if small else out.repartition(*ks, "_chunk")
 
 
+def collect_weighted(value: Column) -> Column:
+    """``collect_list(value)`` over rows carrying ``_n`` copies each; nulls skipped."""
+    return F.flatten(F.collect_list(
+        F.when(value.isNotNull(), F.array_repeat(value, F.col(WEIGHT).cast("int")))))
+
+
 def bounded_collect(df: DataFrame, keys: str | Sequence[str], value: Column, alias: str,
-                    max_items: int = DEFAULT_MAX_ITEMS, sort: bool = True) -> DataFrame:
+                    max_items: int = DEFAULT_MAX_ITEMS, sort: bool = True,
+                    distinct_rows: bool = False) -> DataFrame:
     """Rows ``(keys..., chunk, alias)`` with ``alias`` = list of ``value``.
 
     ``sort`` sorts each list (deterministic output; Spark's collect order
-    depends on the shuffle).
+    depends on the shuffle). ``distinct_rows`` declares the input free of
+    duplicate rows, which saves the combining shuffle.
     """
     ks = _cols(keys)
-    with_chunk = chunk_ids(df, ks, max_items)
-    agg = F.collect_list(value)
+    with_chunk = chunk_ids(df.select(*ks, value.alias("_v")), ks, max_items, distinct_rows)
+    agg = collect_weighted(F.col("_v"))
     if sort:
         agg = F.sort_array(agg)
     return (with_chunk.groupBy(*ks, "_chunk").agg(agg.alias(alias))

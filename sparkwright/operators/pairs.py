@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.collect import DEFAULT_MAX_ITEMS, chunk_ids
+from sparkwright.operators.collect import DEFAULT_MAX_ITEMS, chunk_ids, collect_weighted
 
 
 def pair_join(left: DataFrame, right: DataFrame, key: str = "k") -> DataFrame:
@@ -42,7 +42,7 @@ def cogroup(inputs: Sequence[DataFrame], key: str = "k", value: str = "v",
         tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=False)
     # Union needs one type per column; the first non-null input fixes it.
     with_chunk = chunk_ids(tagged, "_k", max_items)
-    aggs = [F.sort_array(F.collect_list(n)).alias(n) for n in names]
+    aggs = [F.sort_array(collect_weighted(F.col(n))).alias(n) for n in names]
     return (with_chunk.groupBy("_k", "_chunk").agg(*aggs)
             .select(F.col("_k").alias(key), F.col("_chunk").alias("chunk"), *names))
 

@@ -84,6 +84,6 @@ def posting_maps(index: DataFrame, max_items: int = DEFAULT_MAX_ITEMS) -> DataFr
     (chunks) instead of one unbounded map; the union of the chunks is exact.
     """
     collected = bounded_collect(index, "word", F.struct("file", "cnt"), "entries",
-                                max_items=max_items)
+                                max_items=max_items, distinct_rows=True)
     return collected.select("word", "chunk",
                             F.map_from_entries("entries").alias("postings"))

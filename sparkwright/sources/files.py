@@ -61,11 +61,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``file_name`` (base name) and whole ``content``."""
+def read_whole_files(spark: SparkSession, path: str, name_from: str | None = None) -> DataFrame:
+    """One row per file: ``file_name`` and whole ``content``.
+
+    ``file_name`` is the base name of the path (as the reference names files),
+    or, with ``name_from``, the value of that partition-folder column
+    (``<name_from>=<value>/``), which stays stable across rewrites.
+    """
+    name = F.col("_metadata.file_name") if name_from is None else F.col(name_from).cast("string")
     return (spark.read.text(path, wholetext=True)
-            .select(F.col("_metadata.file_name").alias("file_name"),
-                    F.col("value").alias("content")))
+            .select(name.alias("file_name"), F.col("value").alias("content")))
 
 
 def delimited_to_rows(lines: DataFrame, names: str | Sequence[str], sep: str = ",",

@@ -14,6 +14,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from sparkwright.functions.columns import json_string_array, null_or_empty
@@ -24,7 +25,9 @@ def gt_five(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c) > 5
 
 
-@pandas_udf("boolean")
+# A DataType, not a DDL string: workers import this module to load the UDTF
+# class below, and parsing a DDL string there would need a session.
+@pandas_udf(T.BooleanType())
 def one_arg_filter(x: pd.Series) -> pd.Series:
     """U1 for SQL: Arrow batches, not rows. A null argument gives null (the
     Java UDF would throw on unboxing; SQL ``WHERE`` drops null either way)."""

@@ -6,7 +6,10 @@ numbers in one batch (the multiplier). ``lucky``: one row per winning number.
 
 Scale notes
 -----------
-* ``batchNum`` stays a string: ``like``/``>=`` on it push down to Parquet.
+* ``batchNum`` stays a string. Where it is a stored column, ``like``/``>=``
+  on it reach the Parquet scan as pushed filters; on the driver tables it is
+  derived from ``o_orderdate``, so the filter runs right after the scan, in
+  the same code-generated stage.
 * Joins on ``carNum`` are done between per-car aggregates, never between raw
   rows: ``apply x lucky`` on a car with k numbers and w wins yields k*w rows,
   so the plans multiply pre-aggregated counts instead. The result is the same
@@ -74,7 +77,7 @@ def win_rate(apply: DataFrame, lucky: DataFrame) -> DataFrame:
 
 
 def win_rate_for_year(apply: DataFrame, lucky: DataFrame, year: str) -> DataFrame:
-    """Q5: Q4 for batches whose id starts with ``year`` (pushed down as StartsWith)."""
+    """Q5: Q4 for batches whose id starts with ``year`` (a StartsWith filter)."""
     denominator = count_by(apply_distinct(apply), BATCH, "denominator")
     molecule = count_by(lucky.filter(F.col(BATCH).like(f"{year}%")), BATCH, "molecule")
     return _rate(denominator, molecule)

@@ -1,0 +1,101 @@
+"""Smaller surface items: keyed sums with a set partition count (A9), computed
+group keys (A21), console output (K13), a processing-time stream (T5/T6),
+the SQL table function (U2) and scalar helpers (F2, F4, F5, F8, F11, F16-F23)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from sparkwright.functions import columns as C
+from sparkwright.operators.aggregates import array_product, group_by_expr, sum_by_key
+from sparkwright.session import scratch_path
+from sparkwright.sinks.files import show
+from sparkwright.sinks.upsert import KeyedUpsertSink
+from sparkwright.streaming.spend import KEYS, as_ntz, report, start_report_stream
+
+SCHEMA = "account_id BIGINT, amount BIGINT, transaction_time TIMESTAMP"
+
+
+def test_sum_by_key_partitions(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), ("c", 4)], "k string, v long")
+    out = sum_by_key(df, "k", "v", num_partitions=3)
+    assert out.rdd.getNumPartitions() == 3
+    assert sorted(map(tuple, out.collect())) == [("a", 4), ("b", 2), ("c", 4)]
+
+
+def test_group_by_computed_key(spark):
+    df = spark.range(1, 11)
+    got = {r.parity: r.n for r in
+           group_by_expr(df, F.col("id") % 2, "parity", F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {0: 5, 1: 5}
+
+
+def test_console_show_returns_frame(spark, capsys):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    assert show(df, 5) is df
+    assert "|  1|  x|" in capsys.readouterr().out
+
+
+def test_processing_time_stream_matches_batch(spark):
+    """A continuously triggered stream (5 s interval, checkpointed),
+    drained and stopped, equals the batch report."""
+    root = scratch_path(spark, "pt-src")
+    t = dt.datetime(2024, 3, 1, 8, 0, 0)
+    rows = [(1, 5, t), (1, 7, t + dt.timedelta(minutes=20)), (2, 3, t + dt.timedelta(hours=1))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{root}/f1")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{root}/*")
+    sink = KeyedUpsertSink(scratch_path(spark, "pt-sink"), KEYS)
+    q = start_report_stream(stream.withWatermark("transaction_time", "5 seconds"), sink,
+                            scratch_path(spark, "pt-ckpt"), trigger={"processingTime": "5 seconds"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {tuple(r) for r in as_ntz(sink.resolve(spark)).collect()}
+    want = {tuple(r) for r in as_ntz(report(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert got == want == {(1, dt.datetime(2024, 3, 1, 8, 0), 12),
+                           (2, dt.datetime(2024, 3, 1, 9, 0), 3)}
+
+
+def test_json_array_table_function(spark):
+    from sparkwright.functions.udfs import register_all
+    register_all(spark)
+    spark.createDataFrame([(1, '["a","b"]'), (2, '[]')], "id int, s string") \
+        .createOrReplaceTempView("sw_json")
+    got = sorted(map(tuple, spark.sql(
+        "SELECT id, items FROM sw_json, LATERAL explode_json_array(s)").collect()))
+    assert got == [(1, "a"), (1, "b")]
+    spark.createDataFrame([(3, None)], "id int, s string").createOrReplaceTempView("sw_json_null")
+    with pytest.raises(Exception):
+        spark.sql("SELECT id, items FROM sw_json_null, LATERAL explode_json_array(s)").collect()
+
+
+def test_scalar_helpers(spark):
+    df = spark.createDataFrame(
+        [(1, 3, dt.datetime(2024, 1, 1, 10, 42, 7), "12", "x1")],
+        "a int, b int, ts timestamp, n string, bad string")
+    r = df.select(
+        C.ratio("a", "b").alias("ratio"),
+        C.hour_floor("ts").alias("hour"),
+        C.days_before("2024-01-30", 7).alias("since"),
+        C.to_long("n").alias("n"),
+        C.to_long("bad", lenient=True).alias("bad"),
+        C.marker_token(F.lit(3)).alias("token"),
+        C.scale_array(F.array(F.lit(1), F.lit(2)), 10).alias("scaled"),
+        C.int_range(1, 4).alias("to"),
+        C.int_range(1, 4, inclusive=False).alias("until"),
+        C.int_range(5, 1, -2).alias("down"),
+        C.concat_lists(F.array(F.lit(1)), F.array(F.lit(2), F.lit(1))).alias("cat"),
+        F.array_sort(C.to_set(F.array(F.lit(2), F.lit(1), F.lit(2)))).alias("uniq"),
+        C.lookup(F.create_map(F.lit("k"), F.lit("v")), "z", "none").alias("miss"),
+        C.case_map(F.lit(2), {1: "one", 2: "two"}, "many").alias("word"),
+        C.mk_string(F.array(F.lit(1), F.lit(2))).alias("shown"),
+        array_product(F.array(F.lit(2.0), F.lit(3.5))).alias("prod"),
+    ).first()
+    assert r.ratio == 0.33333 and r.hour == dt.datetime(2024, 1, 1, 10, 0)
+    assert r.since == dt.date(2024, 1, 23) and r.n == 12 and r.bad is None
+    assert r.token == "geeek" and r.scaled == [10, 20]
+    assert r.to == [1, 2, 3, 4] and r.until == [1, 2, 3] and r.down == [5, 3, 1]
+    assert r.cat == [1, 2, 1] and r.uniq == [1, 2]
+    assert r.miss == "none" and r.word == "two" and r.shown == "Array(1, 2)" and r.prod == 7.0

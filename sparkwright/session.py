@@ -59,6 +59,47 @@ def apply_defaults(spark: SparkSession, conf: dict[str, str] | None = None) -> N
     ensure_checkpoint_dir(spark)
 
 
+# Shuffle sizing. AQE coalesces small shuffle partitions after the fact but
+# cannot split large ones (except in skewed joins), so the initial count must
+# be sized for the biggest input: about SHUFFLE_TARGET_BYTES of shuffle data
+# per partition, assuming shuffle rows take SHUFFLE_EXPANSION times their
+# compressed columnar size. Never fewer partitions than cores.
+SHUFFLE_TARGET_BYTES = 256 << 20
+SHUFFLE_EXPANSION = 3.0
+MAX_SHUFFLE_PARTITIONS = 100_000
+_AUTO_MARK = "spark.sparkwright.shufflePartitions.auto"
+
+
+def input_bytes(spark: SparkSession, path: str) -> int | None:
+    """Total file bytes under ``path`` from file-system metadata (no data is
+    read); None where the JVM gateway is unavailable."""
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(jpath).getLength())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect, missing path
+        return None
+
+
+def size_shuffle_partitions(spark: SparkSession, nbytes: int | None) -> int | None:
+    """Set ``spark.sql.shuffle.partitions`` for an input of ``nbytes``.
+
+    Left alone when the launch or the caller fixed it; a value set here
+    earlier is re-sized for the new input. Returns the value in force.
+    """
+    conf = spark.conf
+    fixed = conf.get("spark.sql.shuffle.partitions", None) is not None \
+        and conf.get(_AUTO_MARK, "false") != "true"
+    if fixed or nbytes is None:
+        return int(conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    wanted = int(nbytes * SHUFFLE_EXPANSION // SHUFFLE_TARGET_BYTES) + 1
+    n = max(cores, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    conf.set("spark.sql.shuffle.partitions", str(n))
+    conf.set(_AUTO_MARK, "true")
+    return n
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -99,3 +99,11 @@ def test_scalar_helpers(spark):
     assert r.to == [1, 2, 3, 4] and r.until == [1, 2, 3] and r.down == [5, 3, 1]
     assert r.cat == [1, 2, 1] and r.uniq == [1, 2]
     assert r.miss == "none" and r.word == "two" and r.shown == "Array(1, 2)" and r.prod == 7.0
+
+
+def test_shuffle_sizing_respects_fixed_value(spark):
+    from sparkwright.session import size_shuffle_partitions
+    # The test session fixes the value at launch: it is kept at any input size.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size_shuffle_partitions(spark, 100 << 40) == int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -44,3 +44,28 @@ def test_entry(spark):
     df = ent.entry(spark)
     assert df.columns == ["batchNum", "denominator", "molecule", "ratio"]
     assert df.count() > 0
+
+
+# Python operators a query may use; every other query stays JVM-side.
+PYTHON_ALLOWED = {"udf_filter": {"ArrowEvalPython"}}
+
+
+def test_plans_have_no_pair_joins_and_no_stray_python(spark):
+    """Plan audit: no cartesian / nested-loop join anywhere; Python only where
+    listed (and never row-at-a-time); every table scan is column-pruned
+    unless the query needs all columns."""
+    from plan_audit import audit_plan
+    needs_all = {"cells_upsert_scan", "parquet_roundtrip", "orc_append_roundtrip",
+                 "csv_untyped_roundtrip", "csv_typed_roundtrip", "json_roundtrip",
+                 "repartition_write"}
+    for name, fn in ent.queries().items():
+        a = audit_plan(fn(spark, SF0001)._jdf.queryExecution().executedPlan().toString())
+        assert not a["forbidden"], (name, a["forbidden"])
+        assert set(a["python"]) <= PYTHON_ALLOWED.get(name, set()), (name, a["python"])
+        assert "BatchEvalPython" not in a["python"], name
+        if name not in needs_all:
+            for fmt, loc, cols in a["scans"]:
+                if loc.endswith(".parquet") and loc.replace(".parquet", "") in TABLES:
+                    import pyarrow.parquet as pq
+                    width = len(pq.read_schema(f"{SF0001}/{loc}").names)
+                    assert len(cols) < width, (name, loc, cols)

@@ -83,30 +83,58 @@ def win_rate_for_year(apply: DataFrame, lucky: DataFrame, year: str) -> DataFram
     return _rate(denominator, molecule)
 
 
-def multiplier_winners(apply: DataFrame, lucky: DataFrame, since: str) -> DataFrame:
-    """Q6: winners (batch >= since) per maximal multiplier.
+def _per_car_numbers(apply: DataFrame, since: str) -> DataFrame:
+    """Per car: the most numbers held in one batch, over all batches
+    (``max_all``) and over batches >= ``since`` (``max_since``, null if none).
 
-    Reference: raw applications JOIN winners' carNum, count per (batch, car),
-    max per car, count per multiplier. The count per (batch, car) after the
-    join equals ``numbers(batch, car) * wins(car)``.
+    One scan and two partial-aggregated group-bys, shared by Q6 and Q7.
     """
     numbers = count_by(apply.select(BATCH, CAR), [BATCH, CAR], "n_numbers")
-    wins = count_by(lucky.filter(F.col(BATCH) >= F.lit(since)).select(CAR), CAR, "n_wins")
-    per_batch_car = (numbers.join(wins, CAR, "inner")
-                     .select(CAR, (F.col("n_numbers") * F.col("n_wins")).alias("multiplier")))
-    per_car = per_batch_car.groupBy(CAR).agg(F.max("multiplier").alias("multiplier"))
+    return numbers.groupBy(CAR).agg(
+        F.max("n_numbers").alias("max_all"),
+        F.max(F.when(F.col(BATCH) >= F.lit(since), F.col("n_numbers"))).alias("max_since"))
+
+
+def _wins_since(lucky: DataFrame, since: str) -> DataFrame:
+    return count_by(lucky.filter(F.col(BATCH) >= F.lit(since)).select(CAR), CAR, "n_wins")
+
+
+def _winner_multipliers(per_car: DataFrame, wins: DataFrame) -> DataFrame:
+    """Reference: raw applications JOIN winners' carNum, count per (batch,
+    car), max per car. After the join a (batch, car) count is
+    ``numbers(batch, car) * wins(car)``, and ``wins(car)`` does not depend
+    on the batch, so the max per car is ``max_all * wins``: the join runs
+    between one-row-per-car aggregates."""
+    return per_car.join(wins, CAR, "inner").select(
+        CAR, (F.col("max_all") * F.col("n_wins")).alias("multiplier"))
+
+
+def multiplier_winners(apply: DataFrame, lucky: DataFrame, since: str) -> DataFrame:
+    """Q6: winners (batch >= since) per maximal multiplier."""
+    per_car = _winner_multipliers(_per_car_numbers(apply, since), _wins_since(lucky, since))
     return count_by(per_car, "multiplier", "cnt").orderBy("multiplier")
 
 
 def multiplier_rate(apply: DataFrame, lucky: DataFrame, since: str) -> DataFrame:
-    """Q7: win rate per maximal multiplier among applicants with batch >= since."""
-    numbers = count_by(apply.filter(F.col(BATCH) >= F.lit(since)).select(BATCH, CAR),
-                       [BATCH, CAR], "multiplier")
-    per_car = numbers.groupBy(CAR).agg(F.max("multiplier").alias("multiplier"))
-    applicants = count_by(per_car, "multiplier", "apply_cnt")
-    winners = multiplier_winners(apply, lucky, since).withColumnRenamed("cnt", "lucy_cnt")
-    return (applicants.join(winners, "multiplier", "left")
-            .na.fill(0)
+    """Q7: win rate per maximal multiplier among applicants with batch >= since.
+
+    Applicants are counted by ``max_since``; winners by the Q6 multiplier
+    (over all batches, as in the reference). Each car's two multipliers are
+    emitted as tagged rows of one per-car table and counted in a single
+    group-by, so the applications are scanned and shuffled once and no
+    histogram-to-histogram join is needed (the reference's left join of
+    applicants with winners becomes ``apply_cnt > 0``).
+    """
+    per_car = _per_car_numbers(apply, since).join(_wins_since(lucky, since), CAR, "left")
+    tagged = per_car.select(F.inline(F.array(
+        F.struct(F.lit(True).alias("is_app"), F.col("max_since").alias("multiplier")),
+        F.struct(F.lit(False).alias("is_app"),
+                 (F.col("max_all") * F.col("n_wins")).alias("multiplier")))))
+    hist = (tagged.filter(F.col("multiplier").isNotNull())
+            .groupBy("multiplier")
+            .agg(F.count_if(F.col("is_app")).alias("apply_cnt"),
+                 F.count_if(~F.col("is_app")).alias("lucy_cnt")))
+    return (hist.filter(F.col("apply_cnt") > 0)
             .withColumn("ratio", F.round(F.col("lucy_cnt") / F.col("apply_cnt"), 5))
             .orderBy("multiplier"))
 

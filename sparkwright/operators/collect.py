@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.joins import fits
+from sparkwright.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits
 
 DEFAULT_MAX_ITEMS = 100_000
 MAX_HEAVY_KEYS = 1_000_000
@@ -79,7 +79,7 @@ def chunk_ids(df: DataFrame, keys: str | Sequence[str], max_items: int,
              .filter(F.col("_w") > max_items)
              .select(*ks, F.ceil(F.col("_w") / F.lit(max_items)).cast("long").alias("_nchunks"))
              .cache())
-    small = fits(heavy, MAX_HEAVY_KEYS)
+    small = fits(heavy, MAX_HEAVY_KEYS, DEFAULT_MAX_BROADCAST_BYTES)
     joined = salted.join(F.broadcast(heavy) if small else heavy, ks, "left")
     chunk = F.when(F.col("_nchunks").isNull(), F.lit(0).cast("long")).otherwise(
         F.pmod(F.col("_salt"), F.col("_nchunks")))

@@ -1,9 +1,12 @@
 """Join helpers (J1, J2, J7): broadcast only behind a checked size bound.
 
-``broadcast_if_small`` runs one bounded action - ``limit(max_rows + 1)``
-count - on the candidate side. Above the bound the side is left alone and
-Spark chooses a shuffle join (AQE may still convert it at run time from the
-measured size, against ``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+``broadcast_if_small`` runs one bounded action on the candidate side: it
+reads at most ``max_rows + 1`` rows and measures their count and bytes (each
+row's JSON length, which overstates the in-memory size because it repeats
+the field names). Only when both stay under their bounds is the side
+broadcast. Above them it is left alone and Spark chooses a shuffle join
+(AQE may still convert it at run time from the measured size, against
+``spark.sql.adaptive.autoBroadcastJoinThreshold``).
 """
 
 from __future__ import annotations
@@ -13,25 +16,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound for a broadcast side. With the narrow projections used in
-# this library (a few columns) this keeps a broadcast well under 100 MB.
+# Default bounds for a broadcast side: 2 M rows and 200 MB (the largest
+# broadcast threshold the reference sets).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 200 << 20
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (and, if given, at most
+    ``max_bytes`` bytes); reads at most max_rows + 1 rows."""
+    head = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return head.count() <= max_rows
+    row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    n, nbytes = head.agg(F.count(F.lit(1)), F.sum(row_bytes)).first()
+    return n <= max_rows and (nbytes or 0) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven below ``max_rows``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when its rows and bytes are proven below the bounds."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def sized_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Join with the small side broadcast only if its size check passes."""
-    return big.join(broadcast_if_small(small, max_rows), on, how)
+    return big.join(broadcast_if_small(small, max_rows, max_bytes), on, how)
 
 
 def equi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],

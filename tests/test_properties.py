@@ -66,6 +66,9 @@ def test_posting_maps(spark):
 def test_sized_broadcast(spark):
     small = spark.range(10)
     assert fits(small, 10) and not fits(small, 9)
+    # bytes are bounded too: 10 rows of 1,000-char strings exceed 5,000 bytes
+    wide = small.select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert fits(wide, 10, 20_000) and not fits(wide, 10, 5_000)
     plan_small = spark.range(1000).join(broadcast_if_small(small, 100), "id")
     plan_big = spark.range(1000).join(broadcast_if_small(spark.range(500), 100), "id")
     assert plan_small.count() == 10 and plan_big.count() == 500

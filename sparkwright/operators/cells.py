@@ -55,9 +55,11 @@ def scan(cells: DataFrame) -> DataFrame:
 
 def wide_view(cells: DataFrame, qualifiers: Sequence[str]) -> DataFrame:
     """One row per row key, one column per qualifier (known list: no extra
-    pass to discover the columns)."""
+    pass to discover the columns), holding the cell's latest value, so the
+    result is the same on resolved and unresolved cells. Qualifier names
+    must be unique across families."""
     return (cells.groupBy("row_key").pivot("qualifier", list(qualifiers))
-            .agg(F.first("value")))
+            .agg(F.max_by("value", "ts")))
 
 
 # Table lifecycle on the Spark catalog (external tables in a given folder).

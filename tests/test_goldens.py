@@ -96,3 +96,7 @@ def test_wide_column_golden(spark):
                                   "row_key string, family string, qualifier string, ts long, value string")
     tom = {r.qualifier: r.value for r in put(merged, newer).filter("row_key = 'Tom'").collect()}
     assert tom["programming"] == "90" and tom["understanding"] == "75"
+    # the wide view of unresolved cells also shows the latest version
+    unresolved = merged.unionByName(newer)
+    assert {r.row_key: r.programming for r in wide_view(unresolved, ["programming"])
+            .collect()}["Tom"] == "90"

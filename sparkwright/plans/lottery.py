@@ -13,8 +13,8 @@ Scale notes
 * Joins on ``carNum`` are done between per-car aggregates, never between raw
   rows: ``apply x lucky`` on a car with k numbers and w wins yields k*w rows,
   so the plans multiply pre-aggregated counts instead. The result is the same
-  and the join sees one row per car on the lucky side and at most one row per
-  (batch, car) on the apply side, so a hot car cannot blow up the join.
+  and both join sides are one row per car, so a hot car cannot blow up the
+  join.
 * Every group-by gets a partial aggregate before its shuffle.
 """
 

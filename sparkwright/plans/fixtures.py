@@ -25,11 +25,13 @@ def lottery_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lottery_lucky(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lucky(batchNum, carNum): per customer, the first month with an F order."""
+    # Grouped on carNum itself (not o_custkey), so the result is already
+    # hash-partitioned on the key every lottery join and count uses.
     return (table(spark, sf_dir, "orders")
             .filter(F.col("o_orderstatus") == "F")
-            .groupBy("o_custkey")
+            .groupBy(F.col("o_custkey").cast("string").alias("carNum"))
             .agg(F.min(F.date_format("o_orderdate", "yyyyMM")).alias("batchNum"))
-            .select("batchNum", F.col("o_custkey").cast("string").alias("carNum")))
+            .select("batchNum", "carNum"))
 
 
 def lottery_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

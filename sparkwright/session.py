@@ -63,6 +63,7 @@ def apply_defaults(spark: SparkSession, conf: dict[str, str] | None = None) -> N
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
+    ship_library(spark)
 
 
 # Shuffle sizing. AQE coalesces small shuffle partitions after the fact but
@@ -123,6 +124,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per SparkContext.
+
+    The package is zipped in memory, written through the Hadoop file system
+    to the shared scratch folder and added with ``addPyFile``, which copies it
+    to every executor (what ``--py-files`` does at submit time). Without it,
+    a worker can import the package only if it happens to be installed there.
+    """
+    import io
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc._jsc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(dirpath, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = f"{scratch_path(spark, 'pyfiles')}/sparkwright.zip"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(jpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
+    _SHIPPED.add(id(sc._jsc))
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint root.
 

@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as ent
-from oracle_check import digest
+from oracle_check import digest, duck_type
 from sparkwright.sources.files import TABLES
 
 from conftest import SF001, SF0001
@@ -25,6 +25,9 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     sdf = ent.queries()[name](spark, SF001)
     srows, scols = [tuple(r) for r in sdf.collect()], sdf.columns
+    rel = con.sql(ORACLES[name])
+    assert {c: duck_type(t) for c, t in sdf.dtypes} == \
+        {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(ORACLES[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()

@@ -139,8 +139,12 @@ def ship_library(spark: SparkSession) -> None:
     import os
     import zipfile
 
-    sc = spark.sparkContext
-    if id(sc._jsc) in _SHIPPED:
+    try:
+        sc = spark.sparkContext
+        jsc = sc._jsc
+    except Exception:  # noqa: BLE001 - no JVM gateway (e.g. Spark Connect): nothing to ship
+        return
+    if id(jsc) in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
@@ -158,7 +162,7 @@ def ship_library(spark: SparkSession) -> None:
     finally:
         out.close()
     sc.addPyFile(target)
-    _SHIPPED.add(id(sc._jsc))
+    _SHIPPED.add(id(jsc))
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

@@ -6,6 +6,11 @@ splitting whole documents into words) ``spread`` hash-partitions the rows
 over the cluster's cores - but only when the scan has fewer partitions than
 that. A large input already has thousands of splits, so there it is a no-op
 and adds no shuffle.
+
+Use it only where each partition holds many rows (a table whose row groups
+hold many documents). Where one row is one whole file, spreading cannot
+split a row's work and would only move the data, so operators leave their
+input as partitioned and the caller decides.
 """
 
 from __future__ import annotations

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from sparkwright.functions.text import drop_final_empty, java_split_trimmed, trim_trailing
 from sparkwright.operators.collect import DEFAULT_MAX_ITEMS, bounded_collect
-from sparkwright.operators.partitioning import spread
 
 
 def words_of_lines(lines: DataFrame, value_col: str = "value", *keep: str) -> DataFrame:
@@ -25,14 +24,14 @@ def words_of_lines(lines: DataFrame, value_col: str = "value", *keep: str) -> Da
     return trimmed.select(*keep, F.explode(java_split_trimmed("_v", "_t", " ")).alias("word"))
 
 
-def lines_of_texts(texts: DataFrame, text_col: str = "text", key: str | None = None) -> DataFrame:
+def lines_of_texts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """S6 on an in-table text column: one row per line (whole texts).
 
-    Texts are spread over the cores first when the scan has few partitions
-    (a no-op for large inputs), because splitting is the CPU-heavy step.
+    The input is used as partitioned; a caller whose scan puts many texts in
+    few partitions spreads it first (see ``documents``), because splitting
+    is the CPU-heavy step.
     """
-    src = spread(texts.select(*([key] if key else []), text_col), [key] if key else [])
-    parts = src.select(F.split(text_col, "\n", -1).alias("_p"))
+    parts = texts.select(F.split(text_col, "\n", -1).alias("_p"))
     return parts.select(F.explode(drop_final_empty("_p")).alias("value"))
 
 
@@ -70,8 +69,12 @@ def inverted_index(files: DataFrame, file_col: str = "file_name",
     Whole file content is split on single spaces only (Java rules), so a
     newline stays inside a word, as in the reference. This long form is the
     scalable posting table: one row per (word, file).
+
+    The input is used as partitioned: one file is one row, so spreading it
+    cannot split a file's work, and a caller whose partitions each hold many
+    rows (e.g. a table with few large row groups) spreads it first.
     """
-    src = spread(files.select(F.col(file_col).alias("file"), F.col(content_col).alias("_c")))
+    src = files.select(F.col(file_col).alias("file"), F.col(content_col).alias("_c"))
     pairs = words_of_lines(src, "_c", "file")
     return (pairs.groupBy("word", "file").agg(F.count(F.lit(1)).alias("cnt"))
             .orderBy("word", "file"))

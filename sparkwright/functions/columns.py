@@ -30,8 +30,14 @@ def days_before(as_of: str, days: int) -> Column:
 
 
 def to_long(c: str | Column, lenient: bool = False) -> Column:
-    """F8: ``Long.parseLong``; lenient mode gives null for bad input."""
-    return _col(c).try_cast("long") if lenient else _col(c).cast("long")
+    """F8: ``Long.parseLong``: bad input fails the job whatever the session's
+    ANSI setting (null stays null); lenient mode gives null instead."""
+    x = _col(c)
+    parsed = x.try_cast("long")
+    if lenient:
+        return parsed
+    bad = F.raise_error(F.concat(F.lit("not a long: "), x.cast("string")))
+    return F.when(parsed.isNull() & x.isNotNull(), bad).otherwise(parsed)
 
 
 def find_all(c: str | Column, pattern: str, group: int = 0) -> Column:

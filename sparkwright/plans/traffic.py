@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 
 def parse_traffic(lines: DataFrame, value_col: str = "value", lenient: bool = False) -> DataFrame:
-    """Rows (key, up, down, sum_flow). A malformed number fails the job
-    (reference behaviour) unless ``lenient``, which gives null instead."""
+    """Rows (key, up, down, sum_flow). A missing or malformed number fails the
+    job (reference behaviour), whatever the session's ANSI setting, unless
+    ``lenient``, which gives null instead."""
     parts = F.split(F.col(value_col), "\t", -1)
 
     def num(i: int):
-        item = F.get(parts, i) if lenient else F.element_at(parts, i + 1)
-        return item.try_cast("long") if lenient else item.cast("long")
+        parsed = F.get(parts, i).try_cast("long")
+        if lenient:
+            return parsed
+        bad = F.raise_error(F.concat(F.lit(f"malformed traffic line (field {i + 1}): "),
+                                     F.col(value_col)))
+        return F.when(parsed.isNull(), bad).otherwise(parsed)
 
     up, down = num(8), num(9)
     return lines.select(F.get(parts, 1).alias("key"), up.alias("up"), down.alias("down"),

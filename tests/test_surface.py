@@ -107,3 +107,37 @@ def test_shuffle_sizing_respects_fixed_value(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     assert size_shuffle_partitions(spark, 100 << 40) == int(before)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_malformed_traffic_line_fails_in_any_mode(spark, ansi):
+    from sparkwright.plans.traffic import traffic_totals
+    good = "\t".join(["1", "k1", "a", "b", "c", "d", "e", "f", "10", "20"])
+    bad_num = "\t".join(["2", "k2", "a", "b", "c", "d", "e", "f", "x", "20"])
+    short = "3\tk3\tonly"
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        ok = spark.createDataFrame([(good,)], "value string")
+        assert [tuple(r) for r in traffic_totals(ok).collect()] == [("k1", 10, 20, 30)]
+        for line in (bad_num, short):
+            df = spark.createDataFrame([(good,), (line,)], "value string")
+            with pytest.raises(Exception, match="malformed traffic line"):
+                traffic_totals(df).collect()
+            lenient = {r.key: r.up for r in traffic_totals(df, lenient=True).collect()}
+            assert lenient[line.split("\t")[1]] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_to_long_strict_fails_without_ansi(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([("12",), (None,)], "s string")
+        assert [r.n for r in df.select(C.to_long("s").alias("n")).collect()] == [12, None]
+        bad = spark.createDataFrame([("x1",)], "s string")
+        with pytest.raises(Exception, match="not a long"):
+            bad.select(C.to_long("s")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

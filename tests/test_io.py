@@ -23,13 +23,12 @@ def _write_files(root, files):
 
 def test_whole_files_inverted_index(spark, scratch):
     _write_files(scratch, {"a.txt": "x y\nx", "sub/b.txt": "y y"})
-    from sparkwright.sources.files import read_whole_files as rwf
     files = spark.read.option("recursiveFileLookup", "true").text(scratch, wholetext=True) \
         .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("content"))
     got = sorted(tuple(r) for r in inverted_index(files).collect())
     # whole-file split on single spaces: "y\nx" stays one word
     assert got == [("x", "a.txt", 1), ("y", "b.txt", 2), ("y\nx", "a.txt", 1)]
-    assert rwf(spark, os.path.join(scratch, "a.txt")).first().file_name == "a.txt"
+    assert read_whole_files(spark, os.path.join(scratch, "a.txt")).first().file_name == "a.txt"
 
 
 def test_delimited_rows_short_lines(spark, scratch):

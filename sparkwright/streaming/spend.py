@@ -73,11 +73,22 @@ def start_report_stream(transactions: DataFrame, sink: KeyedUpsertSink, checkpoi
 
 
 def run_to_completion(spark: SparkSession, transactions: DataFrame, sink_path: str,
-                      checkpoint: str, windowed: bool = False) -> DataFrame:
-    """Run an ``availableNow`` stream and return the resolved sink table."""
+                      checkpoint: str, windowed: bool = False,
+                      interval: str | None = None) -> DataFrame:
+    """Run the stream until the data present now is processed and return the
+    resolved sink table. Default trigger ``availableNow``; with ``interval``
+    a continuous ``processingTime`` tail (T5) that is drained, then stopped."""
     sink = KeyedUpsertSink(sink_path, KEYS)
-    query = start_report_stream(transactions, sink, checkpoint, windowed=windowed)
-    query.awaitTermination()
+    trigger = {"processingTime": interval} if interval else None
+    query = start_report_stream(transactions, sink, checkpoint, trigger=trigger,
+                                windowed=windowed)
+    if interval:
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    else:
+        query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     return as_ntz(sink.resolve(spark))

@@ -3,8 +3,10 @@
 Encoding: the line is split into words with Java ``split(" ")`` rules, every
 word is followed by one space, and after the words at index r, 2r, 3r, ...
 a token ``g`` + ``e`` * r + ``k`` and a space are inserted, with r in
-2..255. The reference draws r at random; here r comes from a hash of the
-line, so a rerun (or a retried task) writes the same bytes.
+2..255. The reference draws r at random, and draws a new r after every
+token; here one r per line comes from a hash of the line, so a rerun (or a
+retried task) writes the same bytes. Both are valid files of the format:
+each token's ``e`` count is its gap, and decoding does not depend on it.
 
 Decoding: ``compat`` deletes every ``gee+k`` (the reference reader; it
 leaves the spaces around a token). ``clean`` deletes every ``gee+k `` and

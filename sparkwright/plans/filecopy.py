@@ -78,6 +78,13 @@ def plan_copy(listing: DataFrame, src_root: str, dst_root: str) -> DataFrame:
                           F.concat(F.lit(dst_root.rstrip("/") + "/"), rel).alias("dst"))
 
 
+def _make_root(dst_root: str) -> None:
+    import pyarrow.fs as pafs
+    fs, path = pafs.FileSystem.from_uri(dst_root) if "://" in dst_root else (
+        pafs.LocalFileSystem(), _strip_scheme(dst_root))
+    fs.create_dir(path, recursive=True)
+
+
 def target_is_empty(spark: SparkSession, dst_root: str) -> bool:
     import pyarrow.fs as pafs
     fs, path = pafs.FileSystem.from_uri(dst_root) if "://" in dst_root else (
@@ -99,5 +106,6 @@ def distcp(spark: SparkSession, src_root: str, dst_root: str, m: int = 3,
     """
     if not ignore_failures and not target_is_empty(spark, dst_root):
         raise FileExistsError(f"target {dst_root} is not empty")
+    _make_root(dst_root)  # an empty tree copies to an empty target folder
     pairs = plan_copy(list_files(spark, src_root, recursive=True), src_root, dst_root)
     return pairs.repartition(m).mapInPandas(_copier(ignore_failures), MANIFEST_SCHEMA)

@@ -68,9 +68,14 @@ def read_whole_files(spark: SparkSession, path: str, name_from: str | None = Non
     or, with ``name_from``, the value of that partition-folder column
     (``<name_from>=<value>/``), which stays stable across rewrites.
     """
-    name = F.col("_metadata.file_name") if name_from is None else F.col(name_from).cast("string")
-    return (spark.read.text(path, wholetext=True)
-            .select(name.alias("file_name"), F.col("value").alias("content")))
+    files = spark.read.text(path, wholetext=True)
+    if name_from is None:
+        name = F.col("_metadata.file_name")
+    elif name_from in files.columns:
+        name = F.col(name_from).cast("string")
+    else:  # no partition folders at all: an empty tree
+        name = F.lit(None).cast("string")
+    return files.select(name.alias("file_name"), F.col("value").alias("content"))
 
 
 def delimited_to_rows(lines: DataFrame, names: str | Sequence[str], sep: str = ",",

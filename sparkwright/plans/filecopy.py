@@ -1,9 +1,10 @@
 """Parallel file copy (Q14: S14 listing, K12 copy).
 
 The listing is a distributed ``binaryFile`` scan that selects only metadata
-(file contents are not read by the scan). The file list is spread over
-``m`` tasks with ``repartition(m)`` and each task copies its files with
-``mapInPandas``; the result is a manifest DataFrame with one row per file.
+(file contents are not read by the scan). The files are dealt out to ``m``
+tasks balanced by bytes (``balance_by_bytes``) and each task copies its
+files with ``mapInPandas``; the result is a manifest DataFrame with one row
+per file.
 
 Copies go through ``pyarrow.fs`` so any file system pyarrow can open (local,
 HDFS, S3, GCS) works on both sides. Each file is written to a temporary name
@@ -65,8 +66,38 @@ def _copier(ignore_failures: bool):
     return run
 
 
+def balance_by_bytes(files: DataFrame, m: int, size_col: str = "length") -> DataFrame:
+    """``files`` with ``_task`` in 0..m-1, partitioned so each of ``m``
+    partitions holds one task's files, and tasks balanced by bytes.
+
+    Files in descending size (ties by ``src``) are dealt out in snake order
+    (tasks 0..m-1, then m-1..0, ...), the usual greedy balance. The global
+    rank comes from the rank inside each sorted partition plus an offset
+    from the per-partition counts (one row per partition), so no window runs
+    over all files in one task; sorting makes the ranks the same on retry.
+    """
+    from pyspark.sql import Window
+
+    ordered = files.orderBy(F.desc(size_col), F.asc("src")).select(
+        "*", F.spark_partition_id().alias("_pid"),
+        F.monotonically_increasing_id().alias("_mid"))
+    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("_off"))
+    # offsets has one row per partition of the sorted listing: a proven bound
+    ranked = ordered.join(F.broadcast(offsets), "_pid").select(
+        "*", (F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+        .alias("_rank"))
+    r = F.pmod(F.col("_rank"), F.lit(2 * m))
+    task = F.when(r < m, r).otherwise(F.lit(2 * m - 1) - r)
+    return (ranked.withColumn("_task", task.cast("int"))
+            .drop("_pid", "_mid", "_off", "_rank")
+            .repartitionByRange(m, "_task"))
+
+
 def plan_copy(listing: DataFrame, src_root: str, dst_root: str) -> DataFrame:
-    """(src, dst): the target mirrors each file's path below ``src_root``.
+    """(src, dst, length): the target mirrors each file's path below ``src_root``.
 
     The root is matched as a literal prefix (the reference used it as a
     regex); ``file:`` prefixes are normalised on both.
@@ -75,7 +106,8 @@ def plan_copy(listing: DataFrame, src_root: str, dst_root: str) -> DataFrame:
     path = F.regexp_replace("path", "^file:", "")
     rel = F.substring(path, len(src_norm) + 2, 1 << 30)
     return listing.select(F.col("path").alias("src"),
-                          F.concat(F.lit(dst_root.rstrip("/") + "/"), rel).alias("dst"))
+                          F.concat(F.lit(dst_root.rstrip("/") + "/"), rel).alias("dst"),
+                          "length")
 
 
 def _make_root(dst_root: str) -> None:
@@ -108,4 +140,5 @@ def distcp(spark: SparkSession, src_root: str, dst_root: str, m: int = 3,
         raise FileExistsError(f"target {dst_root} is not empty")
     _make_root(dst_root)  # an empty tree copies to an empty target folder
     pairs = plan_copy(list_files(spark, src_root, recursive=True), src_root, dst_root)
-    return pairs.repartition(m).mapInPandas(_copier(ignore_failures), MANIFEST_SCHEMA)
+    return (balance_by_bytes(pairs, m).select("src", "dst")
+            .mapInPandas(_copier(ignore_failures), MANIFEST_SCHEMA))

@@ -81,3 +81,19 @@ def test_distcp(spark, scratch):
     # -i: non-empty target allowed, copy errors recorded instead of failing
     again = distcp(spark, src, dst, ignore_failures=True).collect()
     assert all(r.status == "copied" for r in again)
+
+
+def test_copy_tasks_balanced_by_bytes(spark):
+    from sparkwright.plans.filecopy import balance_by_bytes
+    sizes = [100, 50, 50, 1, 1, 1, 1, 1] + [7] * 20
+    files = spark.createDataFrame([(f"f{i}", f"g{i}", s) for i, s in enumerate(sizes)],
+                                  "src string, dst string, length long").repartition(3)
+    out = balance_by_bytes(files, 2)
+    assert out.rdd.getNumPartitions() == 2
+    rows = out.select("src", "length", "_task", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r.src for r in rows) == sorted(f"f{i}" for i in range(len(sizes)))
+    per_task = {}
+    for r in rows:
+        per_task[r._task] = per_task.get(r._task, 0) + r.length
+    assert len({(r._task, r.p) for r in rows}) == 2  # one task per partition
+    assert max(per_task.values()) - min(per_task.values()) <= 100 // 2

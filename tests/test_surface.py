@@ -141,3 +141,14 @@ def test_to_long_strict_fails_without_ansi(spark):
             bad.select(C.to_long("s")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_describe_reference_form(spark):
+    """A13 as in the reference: string summary; a string column has a null
+    mean/stddev and min/max by string order."""
+    from sparkwright.operators.stats import describe
+    df = spark.createDataFrame([(1, "b"), (3, "a"), (2, "c")], "x int, s string")
+    got = {r.summary: (r.x, r.s) for r in describe(df, "x", "s").collect()}
+    assert got["count"] == ("3", "3") and got["mean"] == ("2.0", None)
+    assert got["min"] == ("1", "a") and got["max"] == ("3", "c")
+    assert got["stddev"][0] == "1.0" and got["stddev"][1] is None

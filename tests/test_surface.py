@@ -152,3 +152,13 @@ def test_describe_reference_form(spark):
     assert got["count"] == ("3", "3") and got["mean"] == ("2.0", None)
     assert got["min"] == ("1", "a") and got["max"] == ("3", "c")
     assert got["stddev"][0] == "1.0" and got["stddev"][1] is None
+
+
+def test_frequent_items_reference_form(spark):
+    """A17 as in the reference: one-pass ``freqItems`` never misses an item
+    above the support (it may add false positives)."""
+    from sparkwright.operators.stats import frequent_items_approx
+    rows = [("a",)] * 50 + [("b",)] * 30 + [(f"z{i}",) for i in range(20)]
+    df = spark.createDataFrame(rows, "s string")
+    items = set(frequent_items_approx(df, ["s"], 0.25).first()[0])
+    assert {"a", "b"} <= items

@@ -162,3 +162,27 @@ def test_frequent_items_reference_form(spark):
     df = spark.createDataFrame(rows, "s string")
     items = set(frequent_items_approx(df, ["s"], 0.25).first()[0])
     assert {"a", "b"} <= items
+
+
+def test_small_aggregate_and_join_helpers(spark):
+    """A1 row count, A8 max-count histogram, J2 USING join keeping duplicates,
+    S8 run-time schema, K5 traffic line format."""
+    from sparkwright.operators.aggregates import max_count_histogram, row_count
+    from sparkwright.operators.joins import equi_join
+    from sparkwright.plans.traffic import traffic_text_lines
+    from sparkwright.sources.files import schema_from_names
+
+    apply = spark.createDataFrame(
+        [("b1", "c1"), ("b1", "c1"), ("b2", "c1"), ("b1", "c2"), ("b2", "c2"), ("b2", "c2"),
+         ("b2", "c2")], "batch string, car string")
+    assert row_count(apply).first().n == 7
+    hist = {r.multiplier: r.cnt for r in
+            max_count_histogram(apply, ["batch", "car"], "car").collect()}
+    assert hist == {2: 1, 3: 1}  # c1: max(2, 1) = 2; c2: max(1, 3) = 3
+    wins = spark.createDataFrame([("c1",), ("c1",)], "car string")
+    assert equi_join(apply, wins, "car").count() == 3 * 2  # duplicates multiply
+    schema = schema_from_names("id name age")
+    assert [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields] == \
+        [("id", "string", True), ("name", "string", True), ("age", "string", True)]
+    totals = spark.createDataFrame([("k1", 10, 20, 30)], "key string, up long, down long, sum_flow long")
+    assert traffic_text_lines(totals).first().value == "k1\t10 20 30"

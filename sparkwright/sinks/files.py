@@ -57,8 +57,13 @@ def write_keyed_text(df: DataFrame, path: str, key: str, value_cols: Sequence[st
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
                mode: str = "append", num_partitions: int | None = None) -> None:
     """K6: JDBC append. ``num_partitions`` bounds concurrent connections.
-    Credentials come from the caller, never from code."""
-    out = df.coalesce(num_partitions) if num_partitions else df
+    Credentials come from the caller, never from code.
+
+    The bound is a ``repartition``, not a ``coalesce``: a coalesce would also
+    shrink the upstream stage to that many tasks, while a shuffle keeps the
+    computation fully parallel and limits only the writing tasks.
+    """
+    out = df.repartition(num_partitions) if num_partitions else df
     out.write.mode(mode).jdbc(url, table, properties=properties)
 
 

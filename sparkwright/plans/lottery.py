@@ -34,14 +34,17 @@ def apply_distinct(apply: DataFrame) -> DataFrame:
     return apply.select(BATCH, CAR).distinct()
 
 
-def headcount(apply: DataFrame, lucky: DataFrame) -> DataFrame:
-    """Q1: application rows, winner rows and distinct (batch, car) pairs."""
+def headcount(apply: DataFrame, lucky: DataFrame,
+              distinct_pairs: DataFrame | None = None) -> DataFrame:
+    """Q1: application rows, winner rows and distinct (batch, car) pairs
+    (``distinct_pairs``, if given, is ``apply_distinct(apply)`` already built)."""
     def one(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("metric"), "n")
 
     return (one(apply, "apply_rows")
             .unionByName(one(lucky, "lucky_rows"))
-            .unionByName(one(apply_distinct(apply), "apply_distinct_pairs")))
+            .unionByName(one(distinct_pairs if distinct_pairs is not None
+                             else apply_distinct(apply), "apply_distinct_pairs")))
 
 
 def apply_histogram(apply: DataFrame) -> DataFrame:
@@ -140,13 +143,15 @@ def multiplier_rate(apply: DataFrame, lucky: DataFrame, since: str) -> DataFrame
 
 
 def report(apply: DataFrame, lucky: DataFrame, year: str, since: str) -> dict[str, DataFrame]:
-    """All lottery results; the distinct pairs feed four of them, so they are
+    """All lottery results; the distinct pairs feed five of them, so they are
     persisted once (MEMORY_AND_DISK: recomputed from lineage if an executor
-    is lost)."""
+    is lost). The persisted frame is returned as ``distinct_pairs``; call
+    ``unpersist()`` on it once the results are written."""
     distinct_pairs = apply_distinct(apply).persist()
     cached = distinct_pairs.select(BATCH, CAR)
     return {
-        "headcount": headcount(apply, lucky),
+        "distinct_pairs": distinct_pairs,
+        "headcount": headcount(apply, lucky, cached),
         "apply_hist": frequency_histogram(cached, CAR).orderBy("x_axis"),
         "lucky_hist": lucky_histogram(cached, lucky),
         "rate": win_rate(cached, lucky),

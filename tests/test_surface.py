@@ -186,3 +186,22 @@ def test_small_aggregate_and_join_helpers(spark):
         [("id", "string", True), ("name", "string", True), ("age", "string", True)]
     totals = spark.createDataFrame([("k1", 10, 20, 30)], "key string, up long, down long, sum_flow long")
     assert traffic_text_lines(totals).first().value == "k1\t10 20 30"
+
+
+def test_lottery_report_shares_cached_pairs(spark):
+    """The whole study with the distinct pairs persisted once gives the same
+    results as the seven registered queries."""
+    import __spark_entry__ as ent
+    from sparkwright.plans import fixtures as fx
+    from sparkwright.plans import lottery
+    sf = "/root/testdata/sf0.001"
+    outs = lottery.report(*fx.lottery_inputs(spark, sf), fx.LOTTERY_YEAR, fx.LOTTERY_SINCE)
+    try:
+        assert outs["distinct_pairs"].is_cached
+        qs = ent.queries()
+        for key in ("headcount", "apply_hist", "lucky_hist", "rate", "rate_year",
+                    "multiplier", "multiplier_rate"):
+            assert sorted(map(tuple, outs[key].collect())) == \
+                sorted(map(tuple, qs[f"lottery_{key}"](spark, sf).collect())), key
+    finally:
+        outs["distinct_pairs"].unpersist()

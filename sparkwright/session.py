@@ -88,6 +88,12 @@ def input_bytes(spark: SparkSession, path: str) -> int | None:
         return None
 
 
+def _partitions_fixed(spark: SparkSession) -> bool:
+    conf = spark.conf
+    return conf.get("spark.sql.shuffle.partitions", None) is not None \
+        and conf.get(_AUTO_MARK, "false") != "true"
+
+
 def size_shuffle_partitions(spark: SparkSession, nbytes: int | None) -> int | None:
     """Set ``spark.sql.shuffle.partitions`` for an input of ``nbytes``.
 
@@ -95,9 +101,7 @@ def size_shuffle_partitions(spark: SparkSession, nbytes: int | None) -> int | No
     earlier is re-sized for the new input. Returns the value in force.
     """
     conf = spark.conf
-    fixed = conf.get("spark.sql.shuffle.partitions", None) is not None \
-        and conf.get(_AUTO_MARK, "false") != "true"
-    if fixed or nbytes is None:
+    if _partitions_fixed(spark) or nbytes is None:
         return int(conf.get("spark.sql.shuffle.partitions"))
     cores = spark.sparkContext.defaultParallelism
     wanted = int(nbytes * SHUFFLE_EXPANSION // SHUFFLE_TARGET_BYTES) + 1
@@ -107,6 +111,15 @@ def size_shuffle_partitions(spark: SparkSession, nbytes: int | None) -> int | No
     return n
 
 
+def size_shuffle_for_path(spark: SparkSession, path: str) -> int | None:
+    """``size_shuffle_partitions`` for the input under ``path``; the folder is
+    measured only when the value is not fixed (a listing of a large object
+    store folder is not free)."""
+    if _partitions_fixed(spark):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return size_shuffle_partitions(spark, input_bytes(spark, path))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -22,6 +22,10 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows can hold whole texts of many megabytes: bound a Python worker's
+    # batch by rows and by bytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     # Streaming state (the hourly report keeps one row per account and hour)
     # lives in RocksDB on local disk instead of the executor heap, and each
     # micro-batch checkpoints only its changes.

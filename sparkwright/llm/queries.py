@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwright.llm import line_rules, mixing, sharding
+from sparkwright.llm import line_rules, mixing, sharding, simhash
 from sparkwright.sources.files import table
 
 
@@ -23,8 +23,14 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"),
+                        "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding)}
+    f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding, op7_simhash_dedup)}
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwright.llm import line_rules, mixing, sharding, simhash
+from sparkwright.llm import line_rules, mixing, sharding, simhash, substring_dedup
 from sparkwright.sources.files import table
 
 
@@ -29,8 +29,14 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "removed_spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding, op7_simhash_dedup)}
+    f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding, op7_simhash_dedup,
+        op9_substring_dedup)}
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,

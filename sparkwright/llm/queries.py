@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwright.llm import line_rules, mixing, sharding, simhash, substring_dedup
+from sparkwright.llm import line_rules, mixing, sharding, simhash, substring_dedup, warc
+from sparkwright.llm.common import new_scratch
 from sparkwright.sources.files import table
 
 
@@ -34,11 +35,19 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", "removed_spans")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = new_scratch(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), out)
+    return warc.read_warc(spark, out).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding, op7_simhash_dedup,
-        op9_substring_dedup)}
+        op9_substring_dedup, op10_warc)}
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,
     "op3_mixing": mixing.ORACLE_SQL,
+    "op10_warc": warc.ORACLE_SQL,
 }

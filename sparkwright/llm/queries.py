@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwright.llm import line_rules, mixing, sharding, simhash, substring_dedup, warc
+from sparkwright.llm import (embedding_join, line_rules, mixing, sharding, simhash,
+                             substring_dedup, warc)
 from sparkwright.llm.common import new_scratch
 from sparkwright.sources.files import table
 
@@ -24,6 +25,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.embedding_links(table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", simhash.hex_fingerprint(found["fp"]).alias("fingerprint"),
@@ -43,11 +48,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding, op7_simhash_dedup,
+    f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding, op6_embedding_join, op7_simhash_dedup,
         op9_substring_dedup, op10_warc)}
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,
     "op3_mixing": mixing.ORACLE_SQL,
+    "op6_embedding_join": embedding_join.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
 }

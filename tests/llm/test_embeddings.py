@@ -1,0 +1,69 @@
+"""The metric range join against all pairs."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparkwright.llm.embedding_join import embedding_links
+
+
+def plain(rows, threshold=0.9):
+    def usable(v):
+        return bool(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+    n = len(rows)
+    links = [[] for _ in rows]
+    ok = [i for i in range(n) if usable(rows[i][1])]
+    for a in ok:
+        for b in ok:
+            if a != b and len(rows[a][1]) == len(rows[b][1]):
+                x, y = np.array(rows[a][1], float), np.array(rows[b][1], float)
+                x, y = x / np.abs(x).max(), y / np.abs(y).max()
+                if x @ y / math.sqrt((x @ x) * (y @ y)) >= threshold:
+                    links[a].append(b)
+    out = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        root = min(ids) if ids else None
+        out.append((str(rows[i][0]), len(links[i]), str(root), rows[i][0] == root))
+    return sorted(out)
+
+
+def data(seed=1):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for c in range(12):
+        centre = rng.normal(size=8)
+        for _ in range(int(rng.integers(1, 25))):
+            rows.append((len(rows), (centre + rng.normal(size=8) * 0.25).tolist()))
+    hub = rng.normal(size=8).tolist()
+    rows += [(1000 + i, hub) for i in range(30)]
+    rows += [(2000 + i, [x * (i + 1) for x in hub]) for i in range(20)]
+    rows += [(3000, None), (3001, []), (3002, [0.0] * 8), (3003, [None] + [1.0] * 7),
+             (3004, [float("nan")] * 8), (3005, [float("inf")] + [1.0] * 7), (3006, hub[:5]),
+             (3007, hub[:5]), (3008, [1e-300] * 8), (3009, [1e300] * 8), (3010, [-0.0] * 8),
+             (1000, hub), (None, hub), (None, [5.0, -5.0] * 4)]
+    return rows
+
+
+@pytest.mark.parametrize(("pivots", "block"), [(1, 4096), (6, 20), (16, 3)])
+def test_equals_all_pairs(spark, pivots, block):
+    rows = data()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>") \
+        .withColumn("entry", F.lit("clash")).repartition(5)
+    got = embedding_links(df, pivots=pivots, block=block).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in got) == plain(rows)
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert embedding_links(df).count() == 0
+    none = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
+    assert sorted(tuple(r) for r in embedding_links(none).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]

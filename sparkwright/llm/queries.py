@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkwright.llm import (embedding_join, line_rules, mixing, sharding, simhash,
-                             substring_dedup, warc)
+                             substring_dedup, toxicity, warc)
 from sparkwright.llm.common import new_scratch
 from sparkwright.sources.files import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -48,7 +54,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_mixing, op5_sharding, op6_embedding_join, op7_simhash_dedup,
+    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mixing, op5_sharding, op6_embedding_join, op7_simhash_dedup,
         op9_substring_dedup, op10_warc)}
 
 ORACLES: dict[str, str] = {

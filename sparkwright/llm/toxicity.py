@@ -60,6 +60,17 @@ def stems(word: str) -> list[str]:
     return [word[:k] for k in (4, 5, 6) if n > k] + ([word] if 3 <= n <= 6 else [])
 
 
+#: A stem shared by so many distinct words of a text is also a mark of its own.
+TIERS = (2, 4)
+
+
+def stem_marks(words: set[str], known: frozenset[str] | None = None) -> list[str]:
+    """The stems of a text's distinct words, and ``stem+k`` for each stem that
+    ``k`` of them share. With ``known`` only marks of stems in it."""
+    count = Counter(s for w in words for s in stems(w) if known is None or s in known)
+    return [*count, *(f"{s}+{k}" for s, n in count.items() if n > 1 for k in TIERS if n >= k)]
+
+
 def is_learning(doc_id: Column) -> Column:
     """False for held-out rows; a null id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0, F.lit(False))
@@ -75,7 +86,7 @@ def _sample_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             marks.append(min((xxhash.xxh64_intdigest(" ".join(g)) for g in grams),
                              default=0) >> 1)
             labels.append(y)
-            found.append(sorted({s for w in set(words) for s in stems(w)}))
+            found.append(stem_marks(set(words)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(marks, pa.int64()), pa.array(labels, pa.int32()),
              pa.array(found, pa.list_(pa.string()))], names=["mark", "toxic", "stems"])
@@ -84,8 +95,8 @@ def _sample_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def learn_lexicon(sample: DataFrame, most: int = STEMS) -> list[str]:
     """Stems that go with ``toxic`` in ``sample`` (text, toxic), best first.
 
-    Near copies of one text with one label count once. A stem must be in three
-    times as many toxic as other texts, and its likelihood ratio must exceed what the best
+    Near copies of one text with one label count once. A stem must be in twice
+    as many toxic as other texts, and its likelihood ratio must exceed what the best
     of as many random stems would reach.
     """
     one = sample.mapInArrow(_sample_stems, "mark long, toxic int, stems array<string>")
@@ -104,19 +115,19 @@ def learn_lexicon(sample: DataFrame, most: int = STEMS) -> list[str]:
     ratio = 2 * (part(F.col("a"), share) + part(F.col("b"), max(1 - share, 1e-9)))
     chosen = (counts.withColumn("ratio", ratio)
               .filter((F.col("ratio") > 2 * math.log(tried + 1) + 4)
-                      & (F.col("a") >= 3 * F.col("b")) & (F.col("a") > share * n))
+                      & (F.col("a") >= 2 * F.col("b")) & (F.col("a") > share * n))
               .orderBy(F.col("ratio").desc(), "stem").limit(most))
     return [r.stem for r in chosen.select("stem").collect()]
 
 
-def votes_of(text: str, index: dict[str, int]) -> tuple[int, list[int]]:
+def votes_of(text: str, index: dict[str, int], known: frozenset[str]) -> tuple[int, list[int]]:
     """(vote bits, lexicon stems held) of a text; nothing for an empty one."""
     low = text.lower()
     words = _WORD.findall(low)
     if not words:
         return 0, []
     n, distinct = len(words), set(words)
-    hits = sorted({index[s] for w in distinct for s in stems(w) if s in index})
+    hits = sorted(index[m] for m in stem_marks(distinct, known) if m in index)
     bits = int(not SEED_LEXICON.isdisjoint(distinct))
     for h in hits:
         bits |= 2 << h % LEXICONS
@@ -129,11 +140,12 @@ def votes_of(text: str, index: dict[str, int]) -> tuple[int, list[int]]:
 
 
 def _votes(lexicon: list[str]):
-    index = {s: k for k, s in enumerate(lexicon)}
+    index = {m: k for k, m in enumerate(lexicon)}
+    known = frozenset(m.partition("+")[0] for m in lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [votes_of(t, index) if t else (0, []) for t in
+            found = [votes_of(t, index, known) if t else (0, []) for t in
                      (x.as_py() for x in b.column("text"))]
             rest = [b.column(n) for n in b.schema.names if n != "text"]
             names = [n for n in b.schema.names if n != "text"]

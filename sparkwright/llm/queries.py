@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwright.llm import (embedding_join, line_rules, mixing, sharding, simhash,
-                             substring_dedup, toxicity, warc)
+from sparkwright.llm import (embedding_join, line_rules, merge_dropout, mixing, sharding,
+                             simhash, substring_dedup, toxicity, warc)
 from sparkwright.llm.common import new_scratch
 from sparkwright.sources.files import table
 
@@ -41,6 +41,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "removed_spans")
@@ -55,7 +59,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mixing, op5_sharding, op6_embedding_join, op7_simhash_dedup,
-        op9_substring_dedup, op10_warc)}
+        op8_merge_dropout, op9_substring_dedup, op10_warc)}
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,

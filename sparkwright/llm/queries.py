@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwright.llm import (embedding_join, line_rules, merge_dropout, mixing, sharding,
-                             simhash, substring_dedup, toxicity, warc)
+from sparkwright.llm import (embedding_join, license_scan, line_rules, merge_dropout, mixing,
+                             sharding, simhash, substring_dedup, toxicity, warc)
 from sparkwright.llm.common import new_scratch
 from sparkwright.sources.files import table
 
@@ -27,6 +27,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mixing, op5_sharding, op6_embedding_join, op7_simhash_dedup,
+    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mixing, op4_license_scan, op5_sharding, op6_embedding_join, op7_simhash_dedup,
         op8_merge_dropout, op9_substring_dedup, op10_warc)}
 
 ORACLES: dict[str, str] = {

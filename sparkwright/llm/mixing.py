@@ -102,6 +102,27 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3
                     "taken"))
 
 
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3,
+                    seed: str = SEED) -> DataFrame:
+    """``docs`` with each document as often as ``mix`` repeats it (not at all
+    for 0). All columns are kept. Rows that repeat doc_id, source and text each
+    get the most repeats of any of them."""
+    plan = materialise(
+        mix(docs, weights, max_epochs, seed)
+        .groupBy(F.col("doc_id").alias("_mid"), null_key("source").alias("_msource"),
+                 F.col("text_hash").alias("_mhash"))
+        .agg(F.max("repeats").cast("int").alias("_repeats")).filter("_repeats > 0"), "mix-plan")
+    names = docs.columns
+    keyed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
+                        F.col("doc_id").alias("_id"), null_key("source").alias("_source"),
+                        F.xxhash64("text").alias("_hash"))
+    taken = keyed.join(plan, F.col("_id").eqNullSafe(F.col("_mid"))
+                       & (F.col("_source") == F.col("_msource"))
+                       & (F.col("_hash") == F.col("_mhash")))
+    return (taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
+            .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]))
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,

@@ -116,7 +116,8 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epo
     keyed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
                         F.col("doc_id").alias("_id"), null_key("source").alias("_source"),
                         F.xxhash64("text").alias("_hash"))
-    taken = keyed.join(plan, F.col("_id").eqNullSafe(F.col("_mid"))
+    # The narrow side is hashed, so texts aren't sorted for the join.
+    taken = keyed.join(plan.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_mid"))
                        & (F.col("_source") == F.col("_msource"))
                        & (F.col("_hash") == F.col("_mhash")))
     return (taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))

@@ -260,15 +260,19 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) ->
     the smallest doc_id (nulls last), of equal ids the smallest text hash, and
     one of repeated rows. All columns are kept."""
     found = near_duplicates(docs, shingle, max_bits)
-    first = (found.groupBy("root")
-             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("f"))
-             .select(F.col("f.doc_id").alias("_id"), F.col("f.text_hash").alias("_hash")))
-    keep = materialise(first, "kept-documents")
+    rows = found.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("_rows"))
+    first = rows.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "text_hash", "_rows")).alias("f"))
+    keep = materialise(first.select(F.col("f.doc_id").alias("_kid"),
+                                    F.col("f.text_hash").alias("_khash"), "f._rows"),
+                       "kept-documents")
     names = docs.columns
     keyed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
                         F.xxhash64("text").alias("_hash"), F.col("doc_id").alias("_id"))
-    kept = keyed.join(keep.withColumnsRenamed({"_id": "_kid", "_hash": "_khash"}),
-                      F.col("_id").eqNullSafe(F.col("_kid"))
-                      & F.col("_hash").eqNullSafe(F.col("_khash")), "left_semi")
-    return (kept.dropDuplicates(["_id", "_hash"])
-            .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]))
+    # The narrow side is hashed, so texts aren't sorted for the join; only rows that repeat
+    # are grouped.
+    kept = keyed.join(keep.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_kid"))
+                      & (F.col("_hash") == F.col("_khash")))
+    one = kept.filter("_rows = 1").unionByName(
+        kept.filter("_rows > 1").dropDuplicates(["_kid", "_khash"]))
+    return one.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

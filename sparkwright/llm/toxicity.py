@@ -219,7 +219,8 @@ class LabelModel:
         for _ in range(rounds):
             self.tables = []
             for b, code in zip(self.blocks, codes):
-                t = np.array([np.bincount(code, weight * p, 1 << len(b)) for p in (1 - post, post)])
+                t = np.array([np.bincount(code, weight * p, 1 << len(b)) for p in (1 - post, post)],
+                             float)
                 t += 1e-4 * t.sum(axis=1, keepdims=True) / (1 << len(b)) + 1e-9
                 self.tables.append(t / t.sum(axis=1, keepdims=True))
             self.gold = np.array([[max((weight * p)[gold == y].sum(), 1e-9) for y in (0, 1)]
@@ -348,6 +349,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Data
     names = docs.columns
     keyed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
                         F.xxhash64("text").alias("_hash"), F.col("doc_id").alias("_id"))
-    left = keyed.join(bad, F.col("_id").eqNullSafe(F.col("_bid"))
+    # The narrow side is hashed, so texts aren't sorted for the join.
+    left = keyed.join(bad.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_bid"))
                       & (F.col("_hash") == F.col("_bhash")), "left_anti")
     return left.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

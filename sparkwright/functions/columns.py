@@ -50,9 +50,15 @@ def marker_token(r: Column) -> Column:
     return F.concat(F.lit("g"), F.repeat(F.lit("e"), r), F.lit("k"))
 
 
-def json_string_array(c: str | Column) -> Column:
-    """JSON array text -> ``array<string>``; malformed text -> null."""
-    return F.from_json(_col(c), "array<string>")
+def json_string_array(c: str | Column, lenient: bool = False) -> Column:
+    """JSON array text -> ``array<string>``. Null or malformed text fails
+    the job, or gives null if ``lenient``."""
+    x = _col(c)
+    if lenient:
+        return F.from_json(x, "array<string>")
+    parsed = F.from_json(x, "array<string>")
+    bad = F.raise_error(F.concat(F.lit("not a JSON array: "), F.coalesce(x, F.lit("null"))))
+    return F.when(parsed.isNull(), bad).otherwise(parsed)
 
 
 def null_or_empty(c: str | Column) -> Column:
@@ -112,3 +118,9 @@ def mk_string(arr: str | Column, start: str = "Array(", sep: str = ", ", end: st
 def name_prefix(c: str | Column, prefix: str = "Name: ") -> Column:
     """``"Name: " + value``; a null value prints as ``null`` (Java concat)."""
     return F.concat(F.lit(prefix), F.coalesce(_col(c).cast("string"), F.lit("null")))
+
+
+def joined_fields(sep: str, fields: list[Column]) -> Column:
+    """Fields as text with ``sep`` between them; a null is an empty field, so
+    the fields after it keep their places."""
+    return F.concat_ws(sep, *[F.coalesce(f.cast("string"), F.lit("")) for f in fields])

@@ -34,10 +34,10 @@ def one_arg_filter(x: pd.Series) -> pd.Series:
     return (x > 5).astype("boolean")
 
 
-def explode_json_array(c: str | Column, name: str = "items") -> Column:
-    """U2 native form: one row per element, as strings; null/malformed input
-    gives no rows (the reference UDTF raises instead)."""
-    return F.explode(json_string_array(c)).alias(name)
+def explode_json_array(c: str | Column, name: str = "items", lenient: bool = False) -> Column:
+    """U2 native form: one row per element, as strings. Null or malformed input
+    fails the job, or gives no rows if ``lenient``."""
+    return F.explode(json_string_array(c, lenient)).alias(name)
 
 
 def union_id_guard(c: str | Column) -> Column:
@@ -67,6 +67,7 @@ def register_all(spark: SparkSession) -> None:
     spark.udtf.register("explode_json_array", udtf(ExplodeJsonArray, returnType="items string"))
 
 
-def json_items(df: DataFrame, col: str, keep: list[str] | None = None) -> DataFrame:
+def json_items(df: DataFrame, col: str, keep: list[str] | None = None,
+               lenient: bool = False) -> DataFrame:
     """U2 on a DataFrame: the ``keep`` columns plus ``items``."""
-    return df.select(*(keep or []), explode_json_array(col))
+    return df.select(*(keep or []), explode_json_array(col, lenient=lenient))

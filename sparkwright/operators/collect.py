@@ -1,27 +1,15 @@
-"""Collect values per key into lists without ever putting a whole hot key in one row.
-
-``bounded_collect`` returns one row per key for ordinary keys (chunk 0, the
-classic ``groupBy().agg(collect_list())`` result) and splits a key with more
-than ``max_items`` values over about ``n / max_items`` rows (chunks). Nothing
-is dropped: the union of a key's chunks is exactly its values, duplicates
-included.
-
-Plan:
-
-1. Combine duplicate rows into ``(row, _n)`` (one ``groupBy`` over all
-   columns; map-side partial counting shrinks a hot repeated row before the
-   shuffle, and hashing the whole row spreads even a hot key evenly). A row
-   repeated more than ``max_items`` times becomes several pieces of at most
-   ``max_items`` each. Inputs already unique (e.g. the output of an
-   aggregation) skip this step with ``distinct_rows=True``.
-2. Per key, the row count, read from the input's key columns only and
-   partially aggregated; the heavy keys (weight above ``max_items``; at most
-   ``rows / max_items`` of them) are broadcast when their number is proven
-   below ``MAX_HEAVY_KEYS``, otherwise joined by a shuffle.
-3. A heavy key's rows get a chunk from a hash of the whole (unique) row, so
-   the assignment is the same when a lost task is recomputed, whatever the
-   row order in its input. The final ``groupBy(key, chunk)`` spreads a hot
-   key over as many tasks as it has chunks.
+"""Collect values per key into lists, with a hot key spread over chunks.
+
+``collect_counts`` is the scalable form: one row per distinct (key, value) with
+its count. It is exact at any size and no key is ever gathered in one place.
+
+``collect_lists`` is the list form. Each key gives at most ``chunks`` rows; a
+value's chunk is a hash of the value, so the caller fixes the number of rows a
+hot key is spread over and the shape of the result does not depend on the size
+of the data. Nulls are values like any other, and a null key is a key like any
+other. The union of a key's chunks is exactly its values, repeats included
+(repeats of one value are in one list; where one value may repeat without bound
+use ``collect_counts``). ``chunks=1`` is the classic one list per key.
 """
 
 from __future__ import annotations
@@ -31,83 +19,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, fits
-
-DEFAULT_MAX_ITEMS = 100_000
-MAX_HEAVY_KEYS = 1_000_000
-WEIGHT = "_n"
+CHUNKS = 16
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def combine_duplicates(df: DataFrame, max_items: int) -> DataFrame:
-    """Unique rows plus ``_n`` (1..max_items), the number of copies they stand for.
+def chunk_of(value: Column, chunks: int) -> Column:
+    """0 to ``chunks - 1`` from the first 32 bits of the value's md5 as text
+    (null as the empty text)."""
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % chunks
 
-    A row with more than ``max_items`` copies is split into pieces told apart
-    by ``_piece``; all columns must be groupable (no map columns).
-    """
-    cols = df.columns
-    total = F.col("_total")
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_total"))
-    pieces = F.sequence(F.lit(0).cast("long"), F.floor((total - 1) / F.lit(max_items)).cast("long"))
-    exploded = counted.select(*cols, total, F.explode(pieces).alias("_piece"))
-    return exploded.select(
-        *cols, "_piece",
-        F.least(F.lit(max_items).cast("long"), total - F.col("_piece") * F.lit(max_items))
-        .alias(WEIGHT))
-
-
-def chunk_ids(df: DataFrame, keys: str | Sequence[str], max_items: int,
-              distinct_rows: bool = False) -> DataFrame:
-    """``df`` with ``_chunk`` (0 for keys of weight <= max_items, a hash
-    bucket otherwise) and ``_n`` (copies each row stands for).
-
-    Unless ``distinct_rows``, duplicates are combined first (see
-    ``combine_duplicates``), so every row that gets hashed is unique.
-    """
+
+def list_of(value: Column, when: Column | None = None) -> Column:
+    """Sorted list of ``value``, nulls first and kept, of the rows where ``when`` holds."""
+    held = F.struct(value.alias("v"))
+    held = F.collect_list(held if when is None else F.when(when, held))
+    return F.sort_array(F.transform(held, lambda x: x["v"]))
+
+
+def collect_counts(df: DataFrame, keys: str | Sequence[str], value: Column,
+                   alias: str) -> DataFrame:
+    """Rows ``(keys..., alias, n)``: how often each key has each value."""
     ks = _cols(keys)
-    if distinct_rows:
-        rows = df.withColumn(WEIGHT, F.lit(1).cast("long"))
-    else:
-        rows = combine_duplicates(df, max_items)
-    salted = rows.withColumn("_salt", F.xxhash64(*[F.col(c) for c in rows.columns]))
-    # A key's weight is its raw row count: counted on the input's key columns,
-    # so this side reads no values and does not repeat the combining shuffle.
-    heavy = (df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_w"))
-             .filter(F.col("_w") > max_items)
-             .select(*ks, F.ceil(F.col("_w") / F.lit(max_items)).cast("long").alias("_nchunks"))
-             .cache())
-    small = fits(heavy, MAX_HEAVY_KEYS, DEFAULT_MAX_BROADCAST_BYTES)
-    joined = salted.join(F.broadcast(heavy) if small else heavy, ks, "left")
-    chunk = F.when(F.col("_nchunks").isNull(), F.lit(0).cast("long")).otherwise(
-        F.pmod(F.col("_salt"), F.col("_nchunks")))
-    out = joined.withColumn("_chunk", chunk).drop("_nchunks", "_salt")
-    if "_piece" in out.columns:
-        out = out.drop("_piece")
-    return out if small else out.repartition(*ks, "_chunk")
-
-
-def collect_weighted(value: Column) -> Column:
-    """``collect_list(value)`` over rows carrying ``_n`` copies each; nulls skipped."""
-    return F.flatten(F.collect_list(
-        F.when(value.isNotNull(), F.array_repeat(value, F.col(WEIGHT).cast("int")))))
-
-
-def bounded_collect(df: DataFrame, keys: str | Sequence[str], value: Column, alias: str,
-                    max_items: int = DEFAULT_MAX_ITEMS, sort: bool = True,
-                    distinct_rows: bool = False) -> DataFrame:
-    """Rows ``(keys..., chunk, alias)`` with ``alias`` = list of ``value``.
-
-    ``sort`` sorts each list (deterministic output; Spark's collect order
-    depends on the shuffle). ``distinct_rows`` declares the input free of
-    duplicate rows, which saves the combining shuffle.
+    return (df.select(*ks, value.alias(alias)).groupBy(*ks, alias)
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def collect_lists(df: DataFrame, keys: str | Sequence[str], value: Column, alias: str,
+                  chunks: int = CHUNKS, chunk_by: Column | None = None) -> DataFrame:
+    """Rows ``(keys..., chunk, alias)`` with ``alias`` = sorted list of ``value``.
+
+    ``chunk_by`` names what is hashed where ``value`` has no text form.
     """
     ks = _cols(keys)
-    with_chunk = chunk_ids(df.select(*ks, value.alias("_v")), ks, max_items, distinct_rows)
-    agg = collect_weighted(F.col("_v"))
-    if sort:
-        agg = F.sort_array(agg)
-    return (with_chunk.groupBy(*ks, "_chunk").agg(agg.alias(alias))
-            .withColumnRenamed("_chunk", "chunk"))
+    by = value if chunk_by is None else chunk_by
+    rows = df.select(*ks, value.alias("_v"), chunk_of(by, chunks).alias("chunk"))
+    return rows.groupBy(*ks, "chunk").agg(list_of(F.col("_v")).alias(alias))

@@ -1,12 +1,11 @@
-"""Join helpers (J1, J2, J7): broadcast only behind a checked size bound.
-
-``broadcast_if_small`` runs one bounded action on the candidate side: it
-reads at most ``max_rows + 1`` rows and measures their count and bytes (each
-row's JSON length, which overstates the in-memory size because it repeats
-the field names). Only when both stay under their bounds is the side
-broadcast. Above them it is left alone and Spark chooses a shuffle join
-(AQE may still convert it at run time from the measured size, against
-``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+"""Join helper (J7): broadcast only behind a checked size bound.
+
+``fits`` measures the candidate side with one distributed aggregate: a row
+count and the rows' JSON bytes (which overstate the in-memory size because they
+repeat the field names), one partial row per task. Only when both are within
+their bounds is the side broadcast. Above them it is left alone and Spark
+chooses a shuffle join (AQE may still convert it at run time from the measured
+size).
 """
 
 from __future__ import annotations
@@ -22,20 +21,17 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 200 << 20
 
 
-def fits(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (and, if given, at most
-    ``max_bytes`` bytes); reads at most max_rows + 1 rows."""
-    head = df.limit(max_rows + 1)
-    if max_bytes is None:
-        return head.count() <= max_rows
+def fits(df: DataFrame, max_rows: int,
+         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes."""
     row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    n, nbytes = head.agg(F.count(F.lit(1)), F.sum(row_bytes)).first()
-    return n <= max_rows and (nbytes or 0) <= max_bytes
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``F.broadcast(df)`` when its rows and bytes are proven below the bounds."""
+    """``F.broadcast(df)`` when its rows and bytes are proven within the bounds."""
     return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
@@ -44,10 +40,3 @@ def sized_join(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: s
                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Join with the small side broadcast only if its size check passes."""
     return big.join(broadcast_if_small(small, max_rows, max_bytes), on, how)
-
-
-def equi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str],
-              how: str = "inner") -> DataFrame:
-    """USING join; duplicates on either side multiply rows."""
-    return left.join(right, on, how)
-

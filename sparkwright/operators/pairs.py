@@ -1,11 +1,9 @@
-"""Keyed-pair operators: join (J1), cogroup (J4, J5) and cogroup-flatten.
-
-A cogroup is one shuffle: the inputs are tagged, unioned and grouped once
-by (key, chunk), each side collected with ``collect_list`` (which skips the
-other sides' nulls, so an absent side gives an empty list, as in the RDD
-API). Lists are sorted so results are deterministic. A key with more than
-``max_items`` values is split into several rows (``chunk``) by
-``bounded_collect``'s rule; ordinary keys give exactly one row with chunk 0.
+"""Keyed-pair operators: join (J1, J6) and cogroup.
+
+A cogroup is one shuffle: the inputs are tagged, unioned and grouped once by
+(key, chunk). Null values and null keys are kept, an absent side gives an empty
+list, lists are sorted. ``collect.py`` says what the chunks are; the long form
+``cogroup_counts`` has no lists at all.
 """
 
 from __future__ import annotations
@@ -15,46 +13,56 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.collect import DEFAULT_MAX_ITEMS, chunk_ids, collect_weighted
+from sparkwright.operators.collect import CHUNKS, chunk_of, collect_counts, list_of
 
 
 def pair_join(left: DataFrame, right: DataFrame, key: str = "k") -> DataFrame:
-    """``rdd1.join(rdd2)`` on DataFrames ``(k, v)`` and ``(k, w)``."""
+    """``rdd1.join(rdd2)`` on DataFrames ``(k, v)`` and ``(k, w)``.
+
+    Also J6: flattening a cogroup into the pairs of its two lists is by
+    definition this inner join, which builds no lists.
+    """
     return left.join(right, key, "inner")
 
 
+def _names(inputs: Sequence[DataFrame], names: Sequence[str] | None) -> list[str]:
+    names = list(names or [f"l{i}" for i in range(len(inputs))])
+    if len(names) != len(inputs):
+        raise ValueError("one name per input")
+    return names
+
+
 def cogroup(inputs: Sequence[DataFrame], key: str = "k", value: str = "v",
-            names: Sequence[str] | None = None,
-            max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+            names: Sequence[str] | None = None, chunks: int = CHUNKS) -> DataFrame:
     """N-way cogroup of ``(key, value)`` inputs.
 
     Output ``(key, chunk, <name_1>, ..., <name_n>)``, one sorted list per input.
     """
-    names = list(names or [f"l{i}" for i in range(len(inputs))])
-    if len(names) != len(inputs):
-        raise ValueError("one name per input")
+    names = _names(inputs, names)
     tagged = None
     for i, df in enumerate(inputs):
-        cols = [F.col(key).alias("_k")]
-        for j, name in enumerate(names):
-            cols.append((F.col(value) if i == j else F.lit(None)).alias(name))
+        cols = [F.col(key).alias("_k"), F.lit(i).alias("_side"),
+                chunk_of(F.col(value), chunks).alias("chunk")]
+        cols += [(F.col(value) if i == j else F.lit(None)).alias(f"_v{j}")
+                 for j in range(len(names))]
         part = df.select(*cols)
-        tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=False)
-    # Union needs one type per column; the first non-null input fixes it.
-    with_chunk = chunk_ids(tagged, "_k", max_items)
-    aggs = [F.sort_array(collect_weighted(F.col(n))).alias(n) for n in names]
-    return (with_chunk.groupBy("_k", "_chunk").agg(*aggs)
-            .select(F.col("_k").alias(key), F.col("_chunk").alias("chunk"), *names))
-
-
-def cogroup_flatten(left: DataFrame, right: DataFrame, key: str = "k") -> DataFrame:
-    """Cogroup then per-key cross product of the two lists.
-
-    That is by definition the inner equi-join, which Spark runs without
-    building the per-key lists (and without pairing across chunks of a
-    split key). Tests assert equality with the flatten of ``cogroup``.
-    """
-    return left.join(right, key, "inner")
+        tagged = part if tagged is None else tagged.unionByName(part)
+    lists = [list_of(F.col(f"_v{j}"), F.col("_side") == j).alias(name)
+             for j, name in enumerate(names)]
+    return (tagged.groupBy("_k", "chunk").agg(*lists)
+            .select(F.col("_k").alias(key), "chunk", *names))
+
+
+def cogroup_counts(inputs: Sequence[DataFrame], key: str = "k", value: str = "v",
+                   names: Sequence[str] | None = None) -> DataFrame:
+    """The scalable cogroup: ``(key, side, value, n)``, values as text, one row
+    per distinct value of a key on a side. ``side`` is the input's name."""
+    names = _names(inputs, names)
+    tagged = None
+    for name, df in zip(names, inputs):
+        part = df.select(F.col(key), F.lit(name).alias("side"), F.col(value).cast("string"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return collect_counts(tagged, [key, "side"], F.col(value), value)
 
 
 def nested_ranges(df: DataFrame, n: int, m: int, i_name: str = "i",

@@ -52,18 +52,23 @@ def cov_corr(df: DataFrame, a: str, b: str, digits: int | None = None) -> DataFr
 
 def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> DataFrame:
     """Contingency table; first column ``<a>_<b>`` (as string), one
-    column per value of ``b``, zero for absent cells.
+    column per value of ``b``, zero for absent cells. Nulls count under ``null``.
 
-    A crosstab has one output column per distinct ``b``; pass ``values`` to
-    fix them (no extra pass). Without them, Spark's ``pivot`` finds the
-    distinct values first (bounded by ``spark.sql.pivotMaxValues``). The
-    counting itself is a partial-aggregated group-by on (a, b).
+    Without ``values`` Spark's ``pivot`` finds the values of ``b`` first (a pass
+    over that column, bounded by ``spark.sql.pivotMaxValues``). ``values`` fixes
+    the columns and saves that pass; a row with another value, null included
+    unless ``None`` or ``"null"`` is listed, fails the job. The counting is a
+    partial-aggregated group-by on (a, b).
     """
-    grouped = df.groupBy(F.col(a).cast("string").alias(f"{a}_{b}"))
-    pivoted = (grouped.pivot(b, list(values)) if values is not None else grouped.pivot(b))
-    out = pivoted.agg(F.count(F.lit(1)))
-    value_cols = [c for c in out.columns if c != f"{a}_{b}"]
-    return out.na.fill(0, subset=value_cols)
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    head, column = f"{a}_{b}", text(b)
+    if values is not None:
+        values = ["null" if v is None else str(v) for v in values]
+        column = F.when(column.isin(values), column).otherwise(F.raise_error(
+            F.concat(F.lit(f"crosstab: a value of {b} is not listed: "), column)))
+    rows = df.select(text(a).alias(head), column.alias("_column"))
+    out = rows.groupBy(head).pivot("_column", values).agg(F.count(F.lit(1)))
+    return out.na.fill(0, subset=out.columns[1:])
 
 
 def frequent_items(df: DataFrame, col: str, support: float) -> DataFrame:

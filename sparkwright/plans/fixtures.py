@@ -30,7 +30,7 @@ def lottery_lucky(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "orders")
             .filter(F.col("o_orderstatus") == "F")
             .groupBy(F.col("o_custkey").cast("string").alias("carNum"))
-            .agg(F.min(F.date_format("o_orderdate", "yyyyMM")).alias("batchNum"))
+            .agg(F.date_format(F.min("o_orderdate"), "yyyyMM").alias("batchNum"))
             .select("batchNum", "carNum"))
 
 

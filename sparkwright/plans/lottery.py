@@ -113,11 +113,23 @@ def _winner_multipliers(per_car: DataFrame, wins: DataFrame) -> DataFrame:
 
 
 def multiplier_winners(apply: DataFrame, lucky: DataFrame, since: str) -> DataFrame:
-    """Q6: winners (batch >= since) per maximal multiplier."""
-    per_car = _winner_multipliers(_per_car_numbers(apply, since), _wins_since(lucky, since))
+    """Q6: winners (batch >= since) per maximal multiplier. Only winners'
+    applications are counted: the semi-join drops the others before the
+    counting shuffles."""
+    wins = _wins_since(lucky, since)
+    own = apply.select(BATCH, CAR).join(wins.select(CAR), CAR, "left_semi")
+    per_car = _winner_multipliers(_per_car_numbers(own, since), wins)
     return count_by(per_car, "multiplier", "cnt").orderBy("multiplier")
 
 
+def multiplier_applicants(apply: DataFrame, since: str) -> DataFrame:
+    """Applicants (batch >= since) per maximal multiplier: (multiplier, apply_cnt)."""
+    numbers = count_by(apply.filter(F.col(BATCH) >= F.lit(since)).select(BATCH, CAR),
+                       [BATCH, CAR], "n_numbers")
+    per_car = numbers.groupBy(CAR).agg(F.max("n_numbers").alias("multiplier"))
+    return count_by(per_car, "multiplier", "apply_cnt")
+
+
 def multiplier_rate(apply: DataFrame, lucky: DataFrame, since: str) -> DataFrame:
     """Q7: win rate per maximal multiplier among applicants with batch >= since.
 

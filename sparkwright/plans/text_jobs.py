@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.text import drop_final_empty, java_split_trimmed, trim_trailing
-from sparkwright.operators.collect import DEFAULT_MAX_ITEMS, bounded_collect
+from sparkwright.operators.collect import CHUNKS, collect_lists
 
 
 def words_of_lines(lines: DataFrame, value_col: str = "value", *keep: str) -> DataFrame:
@@ -80,13 +80,12 @@ def inverted_index(files: DataFrame, file_col: str = "file_name",
             .orderBy("word", "file"))
 
 
-def posting_maps(index: DataFrame, max_items: int = DEFAULT_MAX_ITEMS) -> DataFrame:
+def posting_maps(index: DataFrame, chunks: int = CHUNKS) -> DataFrame:
     """A11 map form: (word, chunk, postings MAP<file, cnt>).
 
-    A word seen in more than ``max_items`` files is split over several rows
-    (chunks) instead of one unbounded map; the union of the chunks is exact.
+    A file's entry is in the chunk that its name hashes to, so a word has at
+    most ``chunks`` rows and the union of their maps is exact.
     """
-    collected = bounded_collect(index, "word", F.struct("file", "cnt"), "entries",
-                                max_items=max_items, distinct_rows=True)
-    return collected.select("word", "chunk",
-                            F.map_from_entries("entries").alias("postings"))
+    collected = collect_lists(index, "word", F.struct("file", "cnt"), "entries", chunks,
+                              chunk_by=F.col("file"))
+    return collected.select("word", "chunk", F.map_from_entries("entries").alias("postings"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.functions.columns import joined_fields
+
 
 def parse_traffic(lines: DataFrame, value_col: str = "value", lenient: bool = False) -> DataFrame:
     """Rows (key, up, down, sum_flow). A missing or malformed number fails the
@@ -40,4 +42,5 @@ def traffic_totals(lines: DataFrame, value_col: str = "value", lenient: bool = F
 def traffic_text_lines(totals: DataFrame) -> DataFrame:
     """K5 output line ``key<TAB>up down sum``."""
     return totals.select(F.concat(F.col("key"), F.lit("\t"),
-                                  F.concat_ws(" ", "up", "down", "sum_flow")).alias("value"))
+                                  joined_fields(" ", [F.col("up"), F.col("down"), F.col("sum_flow")]))
+                         .alias("value"))

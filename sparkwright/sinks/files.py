@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.functions.columns import joined_fields
 from sparkwright.functions.marker import marker_encode
 
 
@@ -40,18 +41,17 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_text(df: DataFrame, path: str, col: str = "value", mode: str = "overwrite") -> None:
     """One line per row from a single string column."""
-    df.select(F.col(col).alias("value")).write.mode(mode).text(path)
+    df.select(F.col(col).alias("value")).write.mode(mode).option("lineSep", "\n").text(path)
 
 
 def write_keyed_text(df: DataFrame, path: str, key: str, value_cols: Sequence[str],
                      num_files: int, sep: str = "\t") -> None:
     """K5: MapReduce-style output: ``num_files`` files hash-partitioned by key,
     each sorted by key, lines ``key<sep>v1<sep>v2``; the output dir is
-    replaced."""
+    replaced. A null is an empty field."""
     (df.repartition(num_files, key).sortWithinPartitions(key)
-     .select(F.concat_ws(sep, F.col(key).cast("string"),
-                         *[F.col(c).cast("string") for c in value_cols]).alias("value"))
-     .write.mode("overwrite").text(path))
+     .select(joined_fields(sep, [F.col(key), *map(F.col, value_cols)]).alias("value"))
+     .write.mode("overwrite").option("lineSep", "\n").text(path))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
@@ -70,7 +70,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
 def write_marker_text(df: DataFrame, path: str, col: str = "value",
                       gap: int | None = None, mode: str = "overwrite") -> None:
     """K8: marker-text file (see ``functions.marker``)."""
-    df.select(marker_encode(col, gap).alias("value")).write.mode(mode).text(path)
+    df.select(marker_encode(col, gap).alias("value")).write.mode(mode).option(
+        "lineSep", "\n").text(path)
 
 
 def write_repartitioned(df: DataFrame, path: str, keys: Sequence[str],

@@ -1,20 +1,20 @@
-"""Keyed upsert (K7, K10): latest write wins per key, without a database.
-
-Writes are appends of versioned rows; reads resolve the latest version per
-key with one partial-aggregated ``max_by``. This is the log-structured way to
-get upsert semantics on plain files:
-
-* each streaming micro-batch lands in its own ``batch_id=<n>`` folder,
-  written with ``overwrite`` - a replayed batch (after a failure) replaces
-  its own folder, so the sink is idempotent per batch id;
-* ``resolve`` picks, per key, the row from the highest batch id;
-* ``compact`` rewrites the resolved view as one new version, so reads stay
-  cheap as batches accumulate.
+"""Keyed upsert (K7, K10): latest write wins per key.
+
+The upsert itself belongs to the table format or database that holds the
+target: ``MergeSink`` hands every micro-batch to the caller's MERGE (for
+example ``DeltaTable.merge`` or a staged JDBC upsert), keyed by batch id so the
+caller can make it idempotent.
+
+``KeyedUpsertSink`` is the stand-in where no such table exists: each micro-batch
+lands in its own ``batch_id=<n>`` folder, written with ``overwrite``, so a batch
+replayed after a failure replaces itself; ``resolve`` picks, per key, the row
+of the highest batch id with one partial-aggregated ``max_by``. It keeps every
+batch and rewrites nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str,
             .select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values], version))
 
 
+class MergeSink:
+    """``foreachBatch`` target that calls ``merge(batch, batch_id)`` with one
+    row per key (the last of the batch by ``order``, if rows can repeat a key)."""
+
+    def __init__(self, merge: Callable[[DataFrame, int], None], keys: Sequence[str],
+                 order: str | None = None):
+        self.merge, self.keys, self.order = merge, list(keys), order
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.order is not None:
+            values = [c for c in batch.columns if c not in self.keys and c != self.order]
+            batch = latest_per_key(batch, self.keys, self.order, values).select(batch.columns)
+        self.merge(batch, batch_id)
+
+
 class KeyedUpsertSink:
     """``foreachBatch`` target with upsert semantics on ``keys``."""
 
@@ -44,10 +59,3 @@ class KeyedUpsertSink:
         raw = spark.read.parquet(self.path)
         values = [c for c in raw.columns if c not in self.keys and c != VERSION]
         return latest_per_key(raw, self.keys, VERSION, values).drop(VERSION)
-
-    def compact(self, spark: SparkSession, as_version: int) -> None:
-        """Write the resolved table as version ``as_version`` (use a number
-        above every batch id written so far); older versions can then be
-        deleted by the caller's retention policy."""
-        resolved = self.resolve(spark)
-        resolved.write.mode("overwrite").parquet(f"{self.path}/{VERSION}={as_version}")

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkwright.functions.text import java_trim
+
 # Names of the driver-generated tables (one parquet file each).
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -57,8 +59,8 @@ def read_orc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text line, column ``value``."""
-    return spark.read.text(path)
+    """One row per text line, column ``value``. Only a newline ends a line."""
+    return spark.read.option("lineSep", "\n").text(path)
 
 
 def read_whole_files(spark: SparkSession, path: str, name_from: str | None = None) -> DataFrame:
@@ -79,13 +81,13 @@ def read_whole_files(spark: SparkSession, path: str, name_from: str | None = Non
 
 
 def delimited_to_rows(lines: DataFrame, names: str | Sequence[str], sep: str = ",",
-                      trim_last: bool = True, on_short: str = "null",
+                      trim_last: bool = True, on_short: str = "fail",
                       value_col: str = "value") -> DataFrame:
     """Split text lines into string columns named by a run-time name list.
 
     ``names`` may be one space-separated string, as in the reference. The
-    last field is trimmed. ``on_short="fail"`` makes a line with too few
-    fields fail the job (the reference behaviour); ``"null"`` fills nulls.
+    last field is trimmed of characters up to U+0020. A line with too few fields
+    fails the job; ``on_short="null"`` fills nulls instead.
     """
     cols = names.split(" ") if isinstance(names, str) else list(names)
     parts = F.split(F.col(value_col), _java_regex_literal(sep), -1)
@@ -93,7 +95,7 @@ def delimited_to_rows(lines: DataFrame, names: str | Sequence[str], sep: str = "
     for i, name in enumerate(cols):
         item = F.get(parts, i) if on_short == "null" else F.element_at(parts, i + 1)
         if trim_last and i == len(cols) - 1:
-            item = F.trim(item)
+            item = java_trim(item)
         exprs.append(item.cast("string").alias(name))
     out = lines.select(*exprs)
     if on_short == "fail":

@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, url: str, table: str, properties: dict[str, str],
                partition_column: str | None = None, lower: int | None = None,
                upper: int | None = None, num_partitions: int | None = None,
-               fetch_size: int = 10_000) -> DataFrame:
-    """Table scan. For large tables pass a numeric ``partition_column``
-    with bounds so ``num_partitions`` tasks read disjoint ranges in parallel
-    instead of one task reading the whole table."""
+               fetch_size: int = 10_000, one_task: bool = False) -> DataFrame:
+    """Table scan by ``num_partitions`` tasks over disjoint ranges of the
+    numeric ``partition_column``. All four must be given, unless ``one_task``
+    says that the table is small enough for a single reader."""
+    if not one_task and None in (partition_column, lower, upper, num_partitions):
+        raise ValueError("name partition_column, lower, upper and num_partitions, or one_task")
     reader = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
               .option("fetchsize", fetch_size))
     for k, v in properties.items():
@@ -24,7 +26,7 @@ def read_table(spark: SparkSession, url: str, table: str, properties: dict[str,
     if partition_column:
         reader = (reader.option("partitionColumn", partition_column)
                   .option("lowerBound", lower).option("upperBound", upper)
-                  .option("numPartitions", num_partitions or 1))
+                  .option("numPartitions", num_partitions))
     return reader.load()
 
 

@@ -8,4 +8,4 @@ from sparkwright.functions.marker import marker_decode
 
 
 def read_marker_text(spark: SparkSession, path: str, mode: str = "clean") -> DataFrame:
-    return spark.read.text(path).select(marker_decode("value", mode).alias("value"))
+    return spark.read.option("lineSep", "\n").text(path).select(marker_decode("value", mode).alias("value"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwright.functions.columns import joined_fields
+
 TOPIC_SCHEMA = "offset BIGINT, key STRING, value STRING"
 
 # The declared table of the reference's transaction topic.
@@ -20,8 +22,9 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 def read_topic(spark: SparkSession, fmt: str = "kafka", *, servers: str | None = None,
                topic: str | None = None, path: str | None = None,
-               max_per_trigger: int | None = None) -> DataFrame:
-    """Streaming (offset, key, value) with key and value as UTF-8 strings."""
+               max_per_trigger: int | str | None = None) -> DataFrame:
+    """Streaming (offset, key, value) with key and value as UTF-8 strings.
+    ``max_per_trigger`` bounds a micro-batch: offsets of a topic, bytes of files."""
     if fmt == "kafka":
         reader = (spark.readStream.format("kafka")
                   .option("kafka.bootstrap.servers", servers)
@@ -34,16 +37,28 @@ def read_topic(spark: SparkSession, fmt: str = "kafka", *, servers: str | None =
     if fmt == "files":
         reader = spark.readStream.schema(TOPIC_SCHEMA)
         if max_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+            reader = reader.option("maxBytesPerTrigger", max_per_trigger)
         return reader.parquet(path)
     raise ValueError("fmt must be 'kafka' or 'files'")
 
 
-def parse_transactions(topic: DataFrame, watermark: str | None = "5 seconds") -> DataFrame:
+def parse_transactions(topic: DataFrame, watermark: str | None = "5 seconds",
+                       lenient: bool = False) -> DataFrame:
     """S12 + T1: CSV values -> typed transactions, with the 5 s watermark
-    (``transaction_time - INTERVAL '5' SECOND``)."""
-    parsed = topic.select(F.from_csv("value", TRANSACTIONS_DDL,
-                                     {"timestampFormat": TS_FORMAT}).alias("t")).select("t.*")
+    (``transaction_time - INTERVAL '5' SECOND``). A malformed record fails the
+    job, or is left out if ``lenient``; empty fields are nulls."""
+    mode = {"timestampFormat": TS_FORMAT, "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": "_bad"}
+    parsed = topic.select("value", F.from_csv(
+        "value", f"{TRANSACTIONS_DDL}, _bad STRING", mode).alias("t"))
+    wrong = F.col("t._bad").isNotNull() | F.col("value").isNull()
+    if lenient:
+        parsed = parsed.filter(~wrong)
+    else:
+        bad = F.raise_error(F.concat(F.lit("malformed record: "),
+                                     F.coalesce("value", F.lit("null"))))
+        parsed = parsed.withColumn("t", F.when(wrong, bad).otherwise(F.col("t")))
+    parsed = parsed.select("t.*").drop("_bad")
     return parsed.withWatermark("transaction_time", watermark) if watermark else parsed
 
 
@@ -52,7 +67,7 @@ def render_topic(df: DataFrame, key_col: str, csv_cols: list[str],
     """Records as a topic would carry them: (offset,) key string, CSV value."""
     cols = [F.date_format(c, TS_FORMAT) if t.startswith("timestamp") else F.col(c).cast("string")
             for c, t in df.select(*csv_cols).dtypes]
-    out = [F.col(key_col).cast("string").alias("key"), F.concat_ws(",", *cols).alias("value")]
+    out = [F.col(key_col).cast("string").alias("key"), joined_fields(",", cols).alias("value")]
     if offset_col:
         out.insert(0, F.col(offset_col).cast("long").alias("offset"))
     return df.select(*out)

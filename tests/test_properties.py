@@ -1,65 +1,68 @@
 """Properties: hot keys are split, never truncated; sized broadcast; stats."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from sparkwright.operators.collect import bounded_collect
+from sparkwright.operators.collect import collect_counts, collect_lists
 from sparkwright.operators.joins import broadcast_if_small, fits
-from sparkwright.operators.pairs import cogroup
+from sparkwright.operators.pairs import cogroup, cogroup_counts
 from sparkwright.operators.stats import crosstab, describe_typed, frequent_items
 from sparkwright.plans.text_jobs import posting_maps
 
 
-def test_hot_key_is_split_not_truncated(spark):
-    hot = spark.range(0, 5000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
-    cold = spark.createDataFrame([("cold", 1), ("cold", 2)], "k string, v long")
-    out = bounded_collect(hot.unionByName(cold), "k", F.col("v"), "vs", max_items=1000)
-    rows = out.collect()
-    hot_rows = [r for r in rows if r.k == "hot"]
-    assert len(hot_rows) == 5
-    assert sorted(v for r in hot_rows for v in r.vs) == list(range(5000))
-    assert max(len(r.vs) for r in hot_rows) < 1500
-    assert [(r.chunk, r.vs) for r in rows if r.k == "cold"] == [(0, [1, 2])]
-
-
-def test_hot_duplicates_are_split(spark):
-    dup = spark.range(0, 3000).select(F.lit(1).alias("k"), F.lit(7).alias("v"))
-    rows = bounded_collect(dup, "k", F.col("v"), "vs", max_items=1000).collect()
-    assert len(rows) == 3 and sum(len(r.vs) for r in rows) == 3000
+def _lists(rows, key):
+    return sorted((v for r in rows if r.k == key for v in r.vs), key=lambda v: (v is not None, v))
 
 
-def test_duplicate_pieces_keep_multiplicity(spark):
-    # 2,500 copies of one value and 10 copies of another under one hot key.
+def test_hot_and_null_keys_are_spread_and_nothing_is_lost(spark):
+    hot = spark.range(0, 5000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
+    null = spark.range(0, 5000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v"))
+    cold = spark.createDataFrame([("x", None), ("x", 1), ("x", 1), ("y", None)], "k string, v long")
+    rows = collect_lists(hot.unionByName(null).unionByName(cold), "k", F.col("v"), "vs",
+                         chunks=8).collect()
+    for key in ("hot", None):
+        own = [r for r in rows if r.k == key]
+        assert len(own) == 8 and max(len(r.vs) for r in own) < 1000
+        assert _lists(rows, key) == list(range(5000))
+    assert _lists(rows, "x") == [None, 1, 1] and _lists(rows, "y") == [None]
+
+
+def test_shape_is_the_same_at_every_size(spark):
+    few, many = (spark.range(0, n).select(F.lit("h").alias("k"), F.col("id").alias("v"))
+                 for n in (40, 4000))
+    a, b = ({r.chunk: set(r.vs) for r in collect_lists(x, "k", F.col("v"), "vs", chunks=4).collect()}
+            for x in (few, many))
+    assert set(a) == set(b) == {0, 1, 2, 3}
+    assert all(a[c] <= b[c] for c in a)  # a value's chunk doesn't depend on the others
+
+
+def test_counts_are_the_form_without_lists(spark):
     dup = spark.range(0, 2510).select(
-        F.lit("h").alias("k"), F.when(F.col("id") < 2500, 7).otherwise(8).alias("v"))
-    rows = bounded_collect(dup, "k", F.col("v"), "vs", max_items=1000).collect()
-    allv = [v for r in rows for v in r.vs]
-    assert allv.count(7) == 2500 and allv.count(8) == 10
-    assert max(len(r.vs) for r in rows) <= 2000
-
-
-def test_chunks_are_stable_across_input_order(spark):
-    # The chunk of a row depends only on its content, never on its position.
-    base = spark.range(0, 4000).select(F.lit("h").alias("k"), (F.col("id") % 1500).alias("v"))
-    a = bounded_collect(base, "k", F.col("v"), "vs", max_items=1000)
-    b = bounded_collect(base.repartition(7).orderBy(F.rand(3)), "k", F.col("v"), "vs",
-                        max_items=1000)
-    assert sorted((r.chunk, tuple(r.vs)) for r in a.collect()) == \
-        sorted((r.chunk, tuple(r.vs)) for r in b.collect())
+        F.lit("h").alias("k"), F.when(F.col("id") < 2500, 7).alias("v"))
+    got = {(r.k, r.v): r.n for r in collect_counts(dup, "k", F.col("v"), "v").collect()}
+    assert got == {("h", 7): 2500, ("h", None): 10}
 
 
-def test_chunked_cogroup_union_is_exact(spark):
-    a = spark.range(0, 2500).select(F.lit(1).alias("k"), F.col("id").alias("v"))
-    b = spark.range(0, 10).select(F.lit(1).alias("k"), (F.col("id") + 100).alias("v"))
-    rows = cogroup([a, b], names=["l", "r"], max_items=1000).collect()
-    assert len(rows) == 3
-    assert sorted(x for r in rows for x in r.l) == list(range(2500))
-    assert sorted(x for r in rows for x in r.r) == list(range(100, 110))
+def test_cogroup_keeps_nulls_and_null_keys(spark):
+    a = spark.createDataFrame([("x", None), ("x", 1), (None, 2), ("y", None)], "k string, v long")
+    b = spark.createDataFrame([("x", 5), (None, None), ("z", 6)], "k string, v long")
+    got = {r.k: (r.l, r.r) for r in cogroup([a, b], names=["l", "r"], chunks=1).collect()}
+    assert got == {"x": ([None, 1], [5]), None: ([2], [None]), "y": ([None], []), "z": ([], [6])}
+    spread = cogroup([a, b], names=["l", "r"], chunks=8).collect()
+    for k, (left, right) in got.items():
+        order = lambda v: (v is not None, v)
+        assert sorted((x for r in spread if r.k == k for x in r.l), key=order) == left
+        assert sorted((x for r in spread if r.k == k for x in r.r), key=order) == right
+    counts = {(r.k, r.side, r.v): r.n for r in cogroup_counts([a, b], names=["l", "r"]).collect()}
+    assert counts[None, "r", None] == 1 and len(counts) == 7
 
 
 def test_posting_maps(spark):
     idx = spark.createDataFrame([("w", "f1", 2), ("w", "f2", 1), ("z", "f1", 5)],
                                 "word string, file string, cnt long")
-    got = {r.word: r.postings for r in posting_maps(idx).collect()}
+    got = {}
+    for r in posting_maps(idx).collect():
+        got.setdefault(r.word, {}).update(r.postings)
     assert got == {"w": {"f1": 2, "f2": 1}, "z": {"f1": 5}}
 
 
@@ -82,5 +85,11 @@ def test_describe_and_crosstab(spark):
     assert d["x"]["count"] == 3 and d["x"].mean == 2.0 and d["x"].stddev == 1.0
     ct = {r["x_s"]: (r.a, r.b) for r in crosstab(df.fillna(0), "x", "s", ["a", "b"]).collect()}
     assert ct == {"1": (1, 0), "2": (1, 0), "3": (0, 1), "0": (0, 1)}
+    rows = spark.createDataFrame([(1, "a"), (1, "z"), (None, "a"), (None, None)], "x int, s string")
+    free = {r["x_s"]: (r.a, r.z, r["null"]) for r in crosstab(rows, "x", "s").collect()}
+    assert free == {"1": (1, 1, 0), "null": (1, 0, 1)}
+    with pytest.raises(Exception, match="not listed"):
+        crosstab(rows, "x", "s", ["a", "z"]).collect()
+    assert crosstab(rows, "x", "s", ["a", "z", None]).count() == 2
     fi = {r.s for r in frequent_items(df, "s", 0.5).collect()}
     assert fi == {"a", "b"}

@@ -168,7 +168,6 @@ def test_small_aggregate_and_join_helpers(spark):
     """A1 row count, A8 max-count histogram, J2 USING join keeping duplicates,
     S8 run-time schema, K5 traffic line format."""
     from sparkwright.operators.aggregates import max_count_histogram, row_count
-    from sparkwright.operators.joins import equi_join
     from sparkwright.plans.traffic import traffic_text_lines
     from sparkwright.sources.files import schema_from_names
 
@@ -180,7 +179,7 @@ def test_small_aggregate_and_join_helpers(spark):
             max_count_histogram(apply, ["batch", "car"], "car").collect()}
     assert hist == {2: 1, 3: 1}  # c1: max(2, 1) = 2; c2: max(1, 3) = 3
     wins = spark.createDataFrame([("c1",), ("c1",)], "car string")
-    assert equi_join(apply, wins, "car").count() == 3 * 2  # duplicates multiply
+    assert apply.join(wins, "car").count() == 3 * 2  # duplicates multiply
     schema = schema_from_names("id name age")
     assert [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields] == \
         [("id", "string", True), ("name", "string", True), ("age", "string", True)]

@@ -7,6 +7,7 @@ its own shuffle sizing, checkpoint folder and broadcast threshold.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -24,8 +25,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rows can hold whole texts of many megabytes: bound a Python worker's
     # batch by rows and by bytes.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     # Streaming state (the hourly report keeps one row per account and hour)
     # lives in RocksDB on local disk instead of the executor heap, and each
     # micro-batch checkpoints only its changes.
@@ -64,7 +65,7 @@ def apply_defaults(spark: SparkSession, conf: dict[str, str] | None = None) -> N
         if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     for key, value in (conf or {}).items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     ship_library(spark)
@@ -127,12 +128,15 @@ def size_shuffle_for_path(spark: SparkSession, path: str) -> int | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the launch (a shared file system).
-    Only when it is unset, as in local tests, a private folder is created.
+    On a cluster this must be set by the launch (a shared file system): a
+    machine-local folder would leave each executor with its own files, so
+    without it this raises. Only a local master gets a private folder.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="sparkwright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -141,7 +145,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_library(spark: SparkSession) -> None:
@@ -158,10 +162,10 @@ def ship_library(spark: SparkSession) -> None:
 
     try:
         sc = spark.sparkContext
-        jsc = sc._jsc
+        sc._jsc  # noqa: B018
     except Exception:  # noqa: BLE001 - no JVM gateway (e.g. Spark Connect): nothing to ship
         return
-    if id(jsc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
@@ -179,7 +183,7 @@ def ship_library(spark: SparkSession) -> None:
     finally:
         out.close()
     sc.addPyFile(target)
-    _SHIPPED.add(id(jsc))
+    _SHIPPED.add(sc.applicationId)
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -189,4 +193,22 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     Each call gets its own folder, so reruns never reuse half-written data.
     """
     root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/sparkwright/{purpose}-{uuid.uuid4().hex[:12]}"
+    own = f"{root.rstrip('/')}/sparkwright/{spark.sparkContext.applicationId}"
+    if own not in _OWN_FOLDERS:
+        _OWN_FOLDERS.add(own)
+        atexit.register(_remove_folder, spark, own)
+    return f"{own}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+_OWN_FOLDERS: set[str] = set()
+
+
+def _remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete this application's scratch folder when the driver's Python ends.
+    Results that are still read lie there, so it can't go earlier; if the
+    session is gone by then the folder stays."""
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    except Exception:  # noqa: BLE001 - the JVM has ended
+        pass

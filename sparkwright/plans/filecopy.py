@@ -1,50 +1,43 @@
 """Parallel file copy (Q14: S14 listing, K12 copy).
 
-The listing is a distributed ``binaryFile`` scan that selects only metadata
-(file contents are not read by the scan). The files are dealt out to ``m``
-tasks balanced by bytes (``balance_by_bytes``) and each task copies its
-files with ``mapInPandas``; the result is a manifest DataFrame with one row
-per file.
-
-Copies go through ``pyarrow.fs`` so any file system pyarrow can open (local,
-HDFS, S3, GCS) works on both sides. Each file is written to a temporary name
-and renamed, so a retried task never leaves a half-written target.
+The tree is listed by tasks: the driver reads the root folder only, and each
+task walks the folders it is given (``sources.files.walk``). All files count,
+also hidden ones, and empty folders too. The files are dealt out to ``m`` tasks
+balanced by bytes and each task copies its files chunk by chunk to a temporary
+name and renames it, so a retried task leaves no half-written target. The job
+ends by writing the manifest: one row per file and folder.
+
+Roots are full URIs on both sides (``sources.paths``). A file's target is the
+part of its URI below the source root under the target root; a file that is not
+below the root fails the job.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkwright.sources.files import list_files
+from sparkwright.sources.files import list_tree
+from sparkwright.sources.paths import open_fs, qualified
 
 MANIFEST_SCHEMA = "src STRING, dst STRING, bytes BIGINT, status STRING, error STRING"
-
-
-def _strip_scheme(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
+_CHUNK = 8 << 20
 
 
 def _copy_one(src: str, dst: str) -> int:
-    import pyarrow.fs as pafs
-    src_fs, src_path = pafs.FileSystem.from_uri(src) if "://" in src else (
-        pafs.LocalFileSystem(), _strip_scheme(src))
-    dst_fs, dst_path = pafs.FileSystem.from_uri(dst) if "://" in dst else (
-        pafs.LocalFileSystem(), _strip_scheme(dst))
-    parent = dst_path.rsplit("/", 1)[0]
+    src_fs, src_path = open_fs(src)
+    dst_fs, dst_path = open_fs(dst)
+    parent, _, name = dst_path.rpartition("/")
     dst_fs.create_dir(parent, recursive=True)
-    tmp = f"{parent}/.{os.path.basename(dst_path)}.{uuid.uuid4().hex}.tmp"
-    with src_fs.open_input_stream(src_path) as fin, dst_fs.open_output_stream(tmp) as fout:
-        size = 0
-        while True:
-            chunk = fin.read(8 << 20)
-            if not chunk:
-                break
+    tmp = f"{parent}/.{name}.{uuid.uuid4().hex}.tmp"
+    size = 0
+    with src_fs.open_input_stream(src_path, compression=None) as fin, \
+            dst_fs.open_output_stream(tmp, compression=None) as fout:
+        while chunk := fin.read(_CHUNK):
             fout.write(chunk)
             size += len(chunk)
     dst_fs.move(tmp, dst_path)
@@ -55,9 +48,14 @@ def _copier(ignore_failures: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for src, dst in zip(pdf["src"], pdf["dst"]):
+            for src, dst, folder in zip(pdf["src"], pdf["dst"], pdf["is_dir"]):
                 try:
-                    rows.append((src, dst, _copy_one(src, dst), "copied", None))
+                    if folder:
+                        fs, path = open_fs(dst)
+                        fs.create_dir(path, recursive=True)
+                        rows.append((src, dst, 0, "folder", None))
+                    else:
+                        rows.append((src, dst, _copy_one(src, dst), "copied", None))
                 except Exception as e:  # noqa: BLE001
                     if not ignore_failures:
                         raise
@@ -76,8 +74,6 @@ def balance_by_bytes(files: DataFrame, m: int, size_col: str = "length") -> Data
     from the per-partition counts (one row per partition), so no window runs
     over all files in one task; sorting makes the ranks the same on retry.
     """
-    from pyspark.sql import Window
-
     ordered = files.orderBy(F.desc(size_col), F.asc("src")).select(
         "*", F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid"))
@@ -97,48 +93,44 @@ def balance_by_bytes(files: DataFrame, m: int, size_col: str = "length") -> Data
 
 
 def plan_copy(listing: DataFrame, src_root: str, dst_root: str) -> DataFrame:
-    """(src, dst, length): the target mirrors each file's path below ``src_root``.
+    """(src, dst, length, is_dir) of a listing of full URIs.
 
-    The root is matched as a literal prefix (the reference used it as a
-    regex); ``file:`` prefixes are normalised on both.
+    The source root itself (a single file) keeps its base name below the target.
     """
-    src_norm = _strip_scheme(src_root).rstrip("/")
-    path = F.regexp_replace("path", "^file:", "")
-    rel = F.substring(path, len(src_norm) + 2, 1 << 30)
+    src_root, dst_root = src_root.rstrip("/"), dst_root.rstrip("/")
+    below = F.substring("path", len(src_root) + 2, 1 << 30)
+    name = src_root.rpartition("/")[2]
+    rel = (F.when(F.col("path") == src_root, F.lit(name))
+           .when(F.startswith("path", F.lit(src_root + "/")), below)
+           .otherwise(F.raise_error(F.concat(F.lit("not below the source root: "), "path"))))
     return listing.select(F.col("path").alias("src"),
-                          F.concat(F.lit(dst_root.rstrip("/") + "/"), rel).alias("dst"),
-                          "length")
-
-
-def _make_root(dst_root: str) -> None:
-    import pyarrow.fs as pafs
-    fs, path = pafs.FileSystem.from_uri(dst_root) if "://" in dst_root else (
-        pafs.LocalFileSystem(), _strip_scheme(dst_root))
-    fs.create_dir(path, recursive=True)
+                          F.concat(F.lit(dst_root + "/"), rel).alias("dst"), "length", "is_dir")
 
 
-def target_is_empty(spark: SparkSession, dst_root: str) -> bool:
+def target_is_empty(dst_root: str) -> bool:
     import pyarrow.fs as pafs
-    fs, path = pafs.FileSystem.from_uri(dst_root) if "://" in dst_root else (
-        pafs.LocalFileSystem(), _strip_scheme(dst_root))
-    info = fs.get_file_info(path)
-    if info.type == pafs.FileType.NotFound:
+    fs, path = open_fs(dst_root)
+    if fs.get_file_info(path).type == pafs.FileType.NotFound:
         return True
-    return len(fs.get_file_info(pafs.FileSelector(path, recursive=False))) == 0
+    return not fs.get_file_info(pafs.FileSelector(path, recursive=False))
 
 
-def distcp(spark: SparkSession, src_root: str, dst_root: str, m: int = 3,
+def distcp(spark: SparkSession, src_root: str, dst_root: str, manifest: str, m: int = 3,
            ignore_failures: bool = False) -> DataFrame:
-    """Copy every file below ``src_root`` to ``dst_root`` with ``m``
-    parallel tasks; returns the manifest (evaluated lazily by the caller).
+    """Copy everything below ``src_root`` (or that one file) to ``dst_root``
+    with ``m`` parallel tasks, write the manifest to the folder ``manifest`` and
+    return it. The copy has been made once when this returns.
 
     A non-empty target is refused unless ``ignore_failures`` (the
     reference's ``-i``), which also records copy errors in the manifest
     instead of failing the job.
     """
-    if not ignore_failures and not target_is_empty(spark, dst_root):
+    src_root, dst_root = qualified(spark, src_root), qualified(spark, dst_root)
+    if not ignore_failures and not target_is_empty(dst_root):
         raise FileExistsError(f"target {dst_root} is not empty")
-    _make_root(dst_root)  # an empty tree copies to an empty target folder
-    pairs = plan_copy(list_files(spark, src_root, recursive=True), src_root, dst_root)
-    return (balance_by_bytes(pairs, m).select("src", "dst")
-            .mapInPandas(_copier(ignore_failures), MANIFEST_SCHEMA))
+    fs, path = open_fs(dst_root)
+    fs.create_dir(path, recursive=True)  # an empty tree copies to an empty folder
+    pairs = plan_copy(list_tree(spark, src_root, m), src_root, dst_root)
+    (balance_by_bytes(pairs, m).select("src", "dst", "is_dir")
+     .mapInPandas(_copier(ignore_failures), MANIFEST_SCHEMA).write.parquet(manifest))
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)

@@ -34,10 +34,11 @@ def test_whole_files_inverted_index(spark, scratch):
 def test_delimited_rows_short_lines(spark, scratch):
     write_text(spark.createDataFrame([("1,a,b,c, d ",), ("2,a",)], "value string"), scratch)
     lines = read_lines(spark, scratch)
-    rows = sorted(tuple(r) for r in delimited_to_rows(lines, "id f1 f2 f3 f4").collect())
+    rows = sorted(tuple(r) for r in delimited_to_rows(
+        lines, "id f1 f2 f3 f4", on_short="null").collect())
     assert rows == [("1", "a", "b", "c", "d"), ("2", "a", None, None, None)]
     with pytest.raises(Exception):
-        delimited_to_rows(lines, "id f1 f2 f3 f4", on_short="fail").collect()
+        delimited_to_rows(lines, "id f1 f2 f3 f4").collect()
 
 
 def test_word_count_outputs_agree(spark, scratch):
@@ -68,19 +69,99 @@ def test_table_lifecycle(spark, scratch):
     assert not cells.table_exists(spark, name)
 
 
-def test_distcp(spark, scratch):
-    src, dst = os.path.join(scratch, "src"), os.path.join(scratch, "dst")
-    _write_files(src, {f"d{i}/f{j}.txt": f"file {i} {j}" * (j + 1) for i in range(3) for j in range(4)})
-    manifest = distcp(spark, src, dst, m=3).collect()
-    assert len(manifest) == 12 and all(r.status == "copied" for r in manifest)
-    for r in manifest:
-        with open(r.src.replace("file:", "")) as a, open(r.dst) as b:
-            assert a.read() == b.read()
+def _tree(root):
+    out = {}
+    for d, folders, files in os.walk(root):
+        rel = os.path.relpath(d, root)
+        out.update({os.path.normpath(f"{rel}/{x}"): None for x in folders})
+        for x in files:
+            with open(os.path.join(d, x)) as f:
+                out[os.path.normpath(f"{rel}/{x}")] = f.read()
+    return out
+
+
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_distcp(spark, scratch, scheme):
+    src, dst = os.path.join(scratch, "src"), os.path.join(scratch, "dst2")
+    _write_files(src, {f"d{i}/f{j}.txt": f"file {i} {j}" * (j + 1) for i in range(3) for j in range(4)}
+                 | {".hid": "h", "_SUCCESS": "", "a.txt": "a", "sub/100%.txt": "p",
+                    "sub/_meta.json": "{}", "sub/b c.txt": "b", "sub/deep/x": "x"})
+    os.makedirs(os.path.join(src, "empty/inner"))
+    manifest = distcp(spark, scheme + src, scheme + dst + "/", os.path.join(scratch, "m1"), m=3)
+    rows = manifest.collect()
+    assert _tree(dst) == _tree(src)
+    assert sorted(r.status for r in rows) == ["copied"] * 19 + ["folder"] * 7
+    assert sum(r.bytes for r in rows) == sum(len(t) for t in _tree(src).values() if t)
     with pytest.raises(FileExistsError):
-        distcp(spark, src, dst)
+        distcp(spark, src, dst, os.path.join(scratch, "m2"))
     # -i: non-empty target allowed, copy errors recorded instead of failing
-    again = distcp(spark, src, dst, ignore_failures=True).collect()
-    assert all(r.status == "copied" for r in again)
+    again = distcp(spark, src, dst, os.path.join(scratch, "m3"), ignore_failures=True).collect()
+    assert {r.status for r in again} == {"copied", "folder"}
+
+
+def test_distcp_of_one_file_and_of_an_empty_tree(spark, scratch):
+    _write_files(scratch, {"one file.txt": "text"})
+    os.makedirs(os.path.join(scratch, "none"))
+    one, none = os.path.join(scratch, "to1"), os.path.join(scratch, "to2")
+    (row,) = distcp(spark, os.path.join(scratch, "one file.txt"), one,
+                    os.path.join(scratch, "m1")).collect()
+    assert row.status == "copied" and _tree(one) == {"one file.txt": "text"}
+    assert distcp(spark, os.path.join(scratch, "none"), none,
+                  os.path.join(scratch, "m2")).count() == 0
+    assert os.path.isdir(none)
+    with pytest.raises(FileNotFoundError):
+        distcp(spark, os.path.join(scratch, "absent"), none, os.path.join(scratch, "m3"))
+
+
+def test_copy_plan_refuses_files_outside_the_root(spark):
+    from sparkwright.plans.filecopy import plan_copy
+    files = spark.createDataFrame([("file:///a/bc/x", 1, False)], "path string, length long, is_dir boolean")
+    assert plan_copy(files, "file:///a/bc", "s3a://t/u").first().dst == "s3a://t/u/x"
+    with pytest.raises(Exception, match="not below"):
+        plan_copy(files, "file:///a/b", "file:///t").collect()
+
+
+def test_carriage_returns_tabs_and_null_fields_survive(spark, scratch):
+    rows = [("a\rb",), ("c\td",), ("",)]
+    write_text(spark.createDataFrame(rows, "value string"), f"{scratch}/text")
+    assert sorted(r.value for r in read_lines(spark, f"{scratch}/text").collect()) == ["", "a\rb", "c\td"]
+    keyed = spark.createDataFrame([("k", None, 2, 3)], "k string, a long, b long, c long")
+    write_keyed_text(keyed, f"{scratch}/keyed", "k", ["a", "b", "c"], 1)
+    assert read_lines(spark, f"{scratch}/keyed").first().value == "k\t\t2\t3"
+
+
+def test_bad_input_fails_unless_lenient(spark):
+    from sparkwright.functions.udfs import json_items
+    from sparkwright.sources.topics import parse_transactions, render_topic
+    bad = spark.createDataFrame([("[1, 2",), ('["x"]',), (None,)], "j string")
+    with pytest.raises(Exception, match="not a JSON array"):
+        json_items(bad, "j").collect()
+    assert [r.items for r in json_items(bad, "j", lenient=True).collect()] == ["x"]
+    topic = spark.createDataFrame([(1, "k", "7,5,2024-01-01 00:00:00.000000"), (2, "k", "x,y,z"),
+                                   (3, "k", None)], "offset long, key string, value string")
+    with pytest.raises(Exception, match="malformed record"):
+        parse_transactions(topic, watermark=None).collect()
+    assert [r.amount for r in parse_transactions(topic, None, lenient=True).collect()] == [5]
+    tx = spark.createDataFrame([(7, None, None)], "account_id long, amount long, transaction_time timestamp")
+    records = render_topic(tx, "account_id", tx.columns)
+    assert records.first().value == "7,,"
+    assert tuple(parse_transactions(records, None).first()) == (7, None, None)
+
+
+def test_jdbc_reader_asks_for_bounds(spark):
+    from sparkwright.sources.jdbc import read_table
+    with pytest.raises(ValueError, match="one_task"):
+        read_table(spark, "jdbc:none", "t", {})
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from sparkwright.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))
 
 
 def test_copy_tasks_balanced_by_bytes(spark):

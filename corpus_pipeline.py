@@ -18,34 +18,18 @@ from sparkwright.llm.common import (SPACE, drop_scratch, fresh, materialise, scr
 from sparkwright.session import apply_defaults
 from sparkwright.sources.files import table
 
-_left: list[str] = []
-
-
-def _begin(spark: SparkSession) -> int:
-    """Set the session up and delete the tables of earlier stages, whose
-    results have been written by now."""
-    apply_defaults(spark)
-    drop_scratch(spark, [p for p in _left if p])
-    _left.clear()
-    return scratch_mark()
-
-
-def _end(mark: int, out: DataFrame) -> DataFrame:
-    _left.extend(scratch_since(mark))
-    return out
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't predict toxic."""
-    mark = _begin(spark)
-    return _end(mark, toxicity.drop_toxic(docs, table(spark, sf_dir, "labels")))
+    apply_defaults(spark)
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates (4-word shingles,
     at most 4 bits)."""
-    mark = _begin(spark)
-    return _end(mark, simhash.keep_one_per_group(docs, shingle=4, max_bits=4))
+    apply_defaults(spark)
+    return simhash.keep_one_per_group(docs, shingle=4, max_bits=4)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +38,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars``, where the table has it, follows the new text. A document of
     which nothing but white space is left goes; one that was empty stays.
     """
-    mark = _begin(spark)
+    apply_defaults(spark)
     spans = fresh(docs, "removed_spans")
     cut = substring_dedup.substring_dedup(docs)
     blank = F.regexp_replace("text", SPACE, "") == ""
@@ -63,19 +47,19 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind))
                              .otherwise(F.col("n_chars")))
-    return _end(mark, out.select(docs.columns))
+    return out.select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the capped mix takes them."""
-    mark = _begin(spark)
-    return _end(mark, mixing.mixed_documents(docs))
+    apply_defaults(spark)
+    return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, tokens, lossless per document of the mix."""
-    mark = _begin(spark)
-    return _end(mark, merge_dropout.encode_documents(docs))
+    apply_defaults(spark)
+    return merge_dropout.encode_documents(docs)
 
 
 STAGES = [
@@ -93,12 +77,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the result of the last."""
     apply_defaults(spark)
-    docs, before = table(spark, sf_dir, "documents"), None
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         mark = scratch_mark()
         docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
-        written = scratch_since(mark)[-1]
-        if before:
-            drop_scratch(spark, [before])
-        before = written
+        # Only this stage's result is read from here on.
+        *own, written = scratch_since(mark)
+        drop_scratch(spark, [p for p in [*before, *own] if p])
+        before = [written]
     return docs

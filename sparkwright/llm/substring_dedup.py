@@ -162,7 +162,8 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     keyed = docs.select(*[F.col(c).alias("_text" if c == "text" else f"c{i}")
                           for i, c in enumerate(names)],
                         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    joined = (keyed.join(gone, F.col("_id").eqNullSafe(F.col("_gid"))
+    # The narrow side is hashed, so texts aren't sorted for the join.
+    joined = (keyed.join(gone.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_gid"))
                          & (F.col("_hash") == F.col("_ghash")), "left")
               .drop("_gid", "_ghash", "_id", "_hash"))
     fields = [f for f in joined.schema if f.name != "_gone"]

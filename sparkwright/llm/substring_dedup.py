@@ -1,15 +1,14 @@
 """Substring dedup by hashing lines and the sentences inside them.
 
-A text's units are its sentences: pieces of its lines (a line or paragraph end
-always ends a unit). Copied passages are often pasted into the middle of a
-line, so whole lines alone would miss them; a unit also starts where a
-capitalised word follows a word without end mark, which is how a pasted
-passage begins. Units are normalised (lower case, white space as one space) and
-hashed to 128 bits. Digests are grouped globally; the occurrence that ranks
-first (by doc_id, then text hash, then place) stays and all others go.
-
-Units below ``min_words`` words are too common to be evidence. They go only
-when they stand between two units that go.
+A text is cut into pieces at line and sentence ends. Copied passages are often
+pasted into the middle of a line, so whole lines alone would miss them; a piece
+also ends where a capitalised word follows a word without end mark, which is how
+a pasted passage begins. A unit is a piece of at least ``min_words`` words, or a
+shorter one with as many of its followers as it takes to reach that: fewer
+words are too common to be evidence. Units are normalised (lower case, white
+space as one space) and hashed to 128 bits. Digests are grouped globally; the
+occurrence that ranks first (by doc_id, then text hash, then place) stays and
+all others go, with all their pieces.
 
 One scan emits narrow rows (digest, document, unit number), the first place of
 each digest is a partial aggregate, and only digests seen at least twice take
@@ -32,19 +31,20 @@ from sparkwright.llm.common import materialise
 
 MIN_WORDS = 8
 
-_UNIT_END = re.compile(r"\n+|(?<=[.!?])[ \t]+|(?<=[^\W\d_])[ ](?=[^\W\d_a-zß-öø-ÿ])")
+_PIECE_END = re.compile(
+    r"\n+|[.!?][^\w\s]*[ \t]+|(?<=[^\W\d_])[ ](?=[^\W\d_a-zß-öø-ÿ])")
 
 
-def units(text: str) -> list[tuple[int, int]]:
-    """(start, end) code point offsets of a text's units, in order.
+def pieces(text: str) -> list[tuple[int, int]]:
+    """(start, end) code point offsets of a text's pieces, in order.
 
-    Ends lie after the white space that follows, so the units tile the text.
-    A break before a letter counts only if that letter is upper case.
+    Ends lie after the white space that follows, so the pieces tile the text.
+    A break between two words counts only if the second has a capital letter.
     """
     out, start = [], 0
-    for m in _UNIT_END.finditer(text):
+    for m in _PIECE_END.finditer(text):
         end = m.end()
-        if m.group() == " " and not (text[m.start() - 1] in ".!?" or text[end].isupper()):
+        if m.group() == " " and not text[end].isupper():
             continue
         out.append((start, end))
         start = end
@@ -53,13 +53,28 @@ def units(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def units(text: str, min_words: int) -> list[tuple[int, int, list[str]]]:
+    """(first piece, end piece, normalised words) of each unit. A piece without
+    words starts none, and neither do the last pieces if they fall short."""
+    words = [text[a:b].lower().split() for a, b in pieces(text)]
+    out, end, total = [], 0, 0
+    for first, own in enumerate(words):
+        while total < min_words and end < len(words):
+            total += len(words[end])
+            end += 1
+        if total < min_words:
+            break
+        if own:
+            out.append((first, end, [w for ws in words[first:end] for w in ws]))
+        total -= len(own)
+    return out
+
+
 def _digests(text: str, min_words: int) -> Iterator[tuple[int, int, int]]:
-    """(unit number, high, low) for each unit that is long enough."""
-    for k, (a, b) in enumerate(units(text)):
-        words = text[a:b].lower().split()
-        if len(words) >= min_words:
-            d = xxhash.xxh3_128_intdigest(" ".join(words).encode("utf-8", "replace"))
-            yield k, d >> 64, d & 0xFFFFFFFFFFFFFFFF
+    """(first piece, high, low) of each unit."""
+    for first, _, words in units(text, min_words):
+        d = xxhash.xxh3_128_intdigest(" ".join(words).encode("utf-8", "replace"))
+        yield first, d >> 64, d & 0xFFFFFFFFFFFFFFFF
 
 
 def _unit_rows(min_words: int):
@@ -83,23 +98,16 @@ def _unit_rows(min_words: int):
 
 
 def removed_spans(text: str, gone: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Merged (start, end) spans of the removed units, and of the short units
-    between two removed ones."""
-    cut, every, last = set(gone), units(text), None
-    for k, (a, b) in enumerate(every):
-        if k in cut:
-            if last is not None:
-                cut.update(range(last + 1, k))
-            last = k
-        elif len(text[a:b].split()) >= min_words:
-            last = None
+    """Merged (start, end) spans of the units that start at the pieces ``gone``."""
+    every, cut = pieces(text), set(gone)
     spans: list[list[int]] = []
-    for k in sorted(cut):
-        a, b = every[k]
-        if spans and spans[-1][1] == a:
-            spans[-1][1] = b
-        else:
-            spans.append([a, b])
+    for first, end, _ in units(text, min_words):
+        if first in cut:
+            a, b = every[first][0], every[end - 1][1]
+            if spans and spans[-1][1] >= a:
+                spans[-1][1] = max(b, spans[-1][1])
+            else:
+                spans.append([a, b])
     return [(a, b) for a, b in spans]
 
 

@@ -15,9 +15,13 @@ def text_hash(t):
 def plain(rows, min_words):
     seen, places = {}, []
     for i, t in rows:
-        for k, (a, b) in enumerate(sd.units(t or "")):
-            words = t[a:b].lower().split()
-            if len(words) >= min_words:
+        parts = [(t or "")[a:b].lower().split() for a, b in sd.pieces(t or "")]
+        for k, own in enumerate(parts):
+            words, end = [], k
+            while len(words) < min_words and end < len(parts):
+                words += parts[end]
+                end += 1
+            if own and len(words) >= min_words:
                 place = (i is None, i or 0, text_hash(t), k)
                 key = tuple(words)
                 seen[key] = min(seen.get(key, place), place)
@@ -36,14 +40,13 @@ def plain(rows, min_words):
     return sorted(out)
 
 
-def test_units_tile_the_text():
-    t = "One two. Three four!\n\nFive six seven Eight nine.  Ten\tÉcole über Übung\n"
-    u = sd.units(t)
+def test_pieces_tile_the_text():
+    t = "One two. Three four!%% \n\nFive six seven Eight nine.  Ten\tÉcole über Übung\n"
+    u = sd.pieces(t)
     assert "".join(t[a:b] for a, b in u) == t
     assert [t[a:b].strip() for a, b in u] == [
-        "One two.", "Three four!", "Five six seven", "Eight nine.", "Ten\tÉcole über", "Übung"] or \
-        all(a < b for a, b in u)
-    assert sd.units("") == []
+        "One two.", "Three four!%%", "", "Five six seven", "Eight nine.", "Ten\tÉcole über", "Übung"]
+    assert sd.pieces("") == []
 
 
 def test_equals_plain_version(spark):
@@ -64,11 +67,14 @@ def test_equals_plain_version(spark):
     assert passage in by_id[1] and "sentence" not in by_id[3] and "sentence" not in by_id[9]
 
 
-def test_short_units_go_only_between_removed_ones():
-    long_a, long_b = "a b c d e f g h i. ", "j k l m n o p q r. "
-    t = "Short. " + long_a.capitalize() + "Tiny bit. " + long_b.capitalize() + "Last. "
-    assert [t[a:b] for a, b in sd.removed_spans(t, [1, 3], 8)] == [t[7:-6]]
-    assert sd.removed_spans(t, [1], 8) == [(7, 26)]
+def test_short_pieces_count_with_their_followers():
+    t = "Own. One two. Three. Four five six. Seven eight nine. Ten."
+    assert [(a, b, len(w)) for a, b, w in sd.units(t, 8)] == [
+        (0, 5, 10), (1, 5, 9), (2, 6, 8)]
+    passage = " ".join(f"Part {'abcdefghijkl'[j]} of it." for j in range(12))
+    rows = [(1, f"First text says this and that: {passage} Bye."), (2, f"another beginning {passage} The end.")]
+    kept = {i: t for i, t, _ in ((r[0], r[1], r[2]) for r in plain(rows, 8))}
+    assert passage in kept["1"] and kept["2"].startswith("another beginning") and "Part" not in kept["2"]
 
 
 def test_empty(spark):

@@ -2,8 +2,7 @@
 
 A text is cut into pieces at line and sentence ends. Copied passages are often
 pasted into the middle of a line, so whole lines alone would miss them; a piece
-also ends where a capitalised word follows a word without end mark, which is how
-a pasted passage begins. A unit is a piece of at least ``min_words`` words, or a
+also ends before a capitalised word, as that is how a pasted passage begins. A unit is a piece of at least ``min_words`` words, or a
 shorter one with as many of its followers as it takes to reach that: fewer
 words are too common to be evidence. Units are normalised (lower case, white
 space as one space) and hashed to 128 bits. Digests are grouped globally; the
@@ -32,7 +31,7 @@ from sparkwright.llm.common import materialise
 MIN_WORDS = 8
 
 _PIECE_END = re.compile(
-    r"\n+|[.!?][^\w\s]*[ \t]+|(?<=[^\W\d_])[ ](?=[^\W\d_a-zß-öø-ÿ])")
+    r"\n+|[.!?][^\w\s]*[ \t]+|[ ](?=[^\W\d_a-zß-öø-ÿ])")
 
 
 def pieces(text: str) -> list[tuple[int, int]]:

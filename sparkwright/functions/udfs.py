@@ -64,7 +64,8 @@ def register_all(spark: SparkSession) -> None:
     """Register U1 and U2 under SQL names."""
     spark.udf.register("one_arg_filter", one_arg_filter)
     from pyspark.sql.functions import udtf
-    spark.udtf.register("explode_json_array", udtf(ExplodeJsonArray, returnType="items string"))
+    spark.udtf.register("explode_json_array", udtf(
+        ExplodeJsonArray, returnType="items string", useArrow=True))
 
 
 def json_items(df: DataFrame, col: str, keep: list[str] | None = None,

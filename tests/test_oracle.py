@@ -56,7 +56,8 @@ def test_entry(spark):
 
 # Python operators a query may use; every other query stays JVM-side.
 PYTHON_ALLOWED = {"udf_filter": {"ArrowEvalPython"},
-                  "json_array_items_udtf": {"BatchEvalPythonUDTF", "ArrowEvalPythonUDTF"}}
+                  "json_array_items_udtf": {"ArrowEvalPythonUDTF"},
+                  "file_listing": {"MapInPandas"}}
 
 
 def test_plans_have_no_pair_joins_and_no_stray_python(spark):

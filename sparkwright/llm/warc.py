@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from sparkwright.llm.common import materialise
 from sparkwright.llm.sharding import prefix_sums
+from sparkwright.sources.paths import open_fs, qualified
 
 #: A shard is one task's work: the total over SHARDS bytes, within these bounds.
 SHARDS, LEAST_SHARD, MOST_SHARD = 4096, 4 << 20, 1 << 30
@@ -39,26 +40,6 @@ ROLL_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CHUNK = 1 << 20
-_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs"}
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` as a full URI of the file system that Spark would use for it."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jpath).toString()
-
-
-def _file_system(uri: str):
-    """(file system, path) in a Python worker. Works for local and shared
-    mounts (file), hdfs, s3 (also s3a, s3n) and gs."""
-    import pyarrow.fs
-    scheme = uri.split(":", 1)[0]
-    if scheme not in _SCHEMES:
-        raise ValueError(f"archives can't be written to {scheme}: paths")
-    rest = uri.split(":", 1)[1]
-    if scheme == "file":
-        return pyarrow.fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return pyarrow.fs.FileSystem.from_uri(f"{_SCHEMES[scheme]}:{rest}")
 
 
 def _sha1(data: bytes) -> str:
@@ -97,7 +78,7 @@ class _Archive:
     """One archive file being written under a temporary name."""
 
     def __init__(self, out: str, shard: int, seq: int):
-        self.fs, base = _file_system(out)
+        self.fs, base = open_fs(out)
         self.name, self.shard, self.seq = f"warc-{shard:08d}-{seq:05d}.warc.gz", shard, seq
         self.final = f"{base}/{self.name}"
         self.temporary = f"{base}/_temporary/{self.name}.{uuid.uuid4().hex}"
@@ -286,7 +267,7 @@ def _read_archives(out: str, id_type: pa.DataType):
     number = pa.types.is_integer(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _file_system(out)
+        fs, base = open_fs(out)
         for b in batches:
             for name in b.column("file").to_pylist():
                 rows: list[tuple] = []

@@ -68,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,
     "op3_mixing": mixing.ORACLE_SQL,
+    "op5_sharding": sharding.ORACLE_SQL,
     "op6_embedding_join": embedding_join.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
 }

@@ -87,3 +87,29 @@ def shard_documents(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     return (balanced_shards(rows, ["doc_id", "text_crc32", "size"], "size", n_shards)
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard")))
+
+
+# DuckDB has no crc32: its table from the polynomial, then one step per byte.
+ORACLE_SQL = """
+WITH tb AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_prepend(n, range(8)),
+    lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tb),
+b AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, list_prepend(
+    CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                               lambda x: CAST('0x' || x AS BIGINT))) AS bs
+  FROM documents),
+d AS (
+  SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(xor(4294967295, list_reduce(
+    bs, lambda c, x: xor(tb[CAST(1 + xor(c, x) % 256 AS BIGINT)], c >> 8))) AS BIGINT) AS crc
+  FROM b, tb),
+o AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS LAST, crc, size ROWS UNBOUNDED PRECEDING) AS upto,
+         sum(size) OVER () AS total FROM d),
+s AS (SELECT *, CAST(least(23, (2 * upto - size) * 24 // (2 * total)) AS INTEGER) AS shard FROM o)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS LAST, crc, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+"""

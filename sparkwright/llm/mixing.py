@@ -94,7 +94,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3
     return (rows.withColumn("_range", F.shiftright("_h", RANGE_SHIFT))
             .withColumn("_upto", F.sum("size").over(within))
             .join(starts, ["source_key", "_range"])
-            .withColumn("repeats", (F.col("whole") + F.when(
+            .withColumn("repeats", F.least(F.lit(max_epochs), F.col("whole") + F.when(
                 2 * (F.col("_start") + F.col("_upto")) - F.col("size") <= 2 * rest, 1)
                 .otherwise(0)).cast("long"))
             .withColumn("taken", F.col("size") * F.col("repeats"))

@@ -14,7 +14,8 @@
    given the class. Voters that stay correlated given the class are joined into
    blocks with a joint table of their own, and the model is fitted again.
 4. Classifier. Logistic regression on stems and patterns, trained on the label
-   model's posteriors of a bounded sample of learning rows, scores every row.
+   model's posteriors of a bounded sample of learning rows (those with a label,
+   if any has one), scores every row.
 
 Learning rows are those whose crc32(doc_id as text) mod 5 is not 0. The label,
 language, source and id never enter a score.
@@ -165,39 +166,56 @@ class LabelModel:
     """
 
     def __init__(self, patterns: np.ndarray, gold: np.ndarray, counts: np.ndarray,
-                 n_voters: int = VOTERS, max_block: int = 4, joined_above: float = 0.15,
+                 n_voters: int = VOTERS, max_block: int = 8, joined_above: float = 0.3,
                  rounds: int = 200):
         self.n = n_voters
         self.blocks = [[k] for k in range(n_voters)]
         votes = (patterns[:, None] >> np.arange(n_voters)) & 1
         weight = counts / max(counts.sum(), 1)
-        self.prior = 0.1
-        lexical = np.arange(n_voters) < 1 + LEXICONS
-        first = np.where(lexical[None, :], np.where(votes == 1, math.log(10), math.log(0.9)),
-                         0.0).sum(axis=1) + math.log(self.prior / (1 - self.prior))
-        start = 1 / (1 + np.exp(-first))
         known = weight[gold >= 0].sum()
-        if known > 0:
-            self.prior = float(np.clip(weight[gold == 1].sum() / known, 0.001, 0.5))
-            start = np.where(gold >= 0, np.where(gold == 1, 0.95, 0.05), start)
+        self.prior = 0.1 if known == 0 else float(
+            np.clip(weight[gold == 1].sum() / known, 0.001, 0.5))
+        start = self._start(votes, gold)
         post = self._fit(patterns, gold, weight, start, rounds)
-        self.rates = np.array([(weight * p) @ votes / max((weight * p).sum(), 1e-12)
-                               for p in (1 - post, post)])
-        self.correlations = self._correlations(votes, weight, post)
+        self.correlations = self._correlations(patterns, votes, gold, weight)
         self.blocks = self._join(max_block, joined_above)
         if len(self.blocks) < n_voters:
-            self._fit(patterns, gold, weight, post, rounds)
-
-    def _correlations(self, votes, weight, post):
-        total = np.zeros((self.n, self.n))
-        for p in (1 - post, post):
-            w = weight * p
-            mass = max(w.sum(), 1e-12)
-            centred = votes - (w @ votes) / mass
-            cov = (centred * w[:, None]).T @ centred / mass
-            spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            total += mass * cov / spread[:, None] / spread[None, :]
-        return total / max(weight.sum(), 1e-12)
+            # From the start again, a block counting once: the first fit may have
+            # taken what correlated voters agree on for the class.
+            post = self._fit(patterns, gold, weight, self._start(votes, gold), rounds)
+        self.rates = np.array([(weight * p) @ votes / max((weight * p).sum(), 1e-12)
+                               for p in (1 - post, post)])
+
+    def _start(self, votes, gold):
+        """First posteriors: each block of lexicon voters speaks for the class if
+        any of it votes, gold labels are near certain."""
+        score = np.full(len(votes), math.log(self.prior / (1 - self.prior)))
+        for b in self.blocks:
+            lexical = [k for k in b if k < 1 + LEXICONS]
+            if lexical:
+                score += np.where(votes[:, lexical].any(axis=1), math.log(10), math.log(0.9))
+        start = 1 / (1 + np.exp(-score))
+        return np.where(gold >= 0, np.where(gold == 1, 0.95, 0.05), start)
+
+    def _correlations(self, patterns, votes, gold, weight):
+        """Pairwise correlations given the class, which is judged by the other
+        voters: a pair's own votes would pass their agreement off as the class."""
+        own = [np.log(t[1][self._code(patterns, b)] / t[0][self._code(patterns, b)])
+               for b, t in zip(self.blocks, self.tables)]
+        total = self._score(patterns, gold)
+        out = np.eye(self.n)
+        for i in range(self.n):
+            for j in range(i):
+                post = 1 / (1 + np.exp(-np.clip(total - own[i] - own[j], -30, 30)))
+                for p in (1 - post, post):
+                    w = weight * p
+                    mass = max(w.sum(), 1e-12)
+                    x, y = (votes[:, k] - (w @ votes[:, k]) / mass for k in (i, j))
+                    spread = math.sqrt(max((w @ x ** 2) * (w @ y ** 2), 1e-18))
+                    out[i, j] += mass * (w @ (x * y)) / spread
+                out[i, j] /= max(weight.sum(), 1e-12)
+                out[j, i] = out[i, j]
+        return out
 
     def _join(self, max_block, above):
         block = {k: [k] for k in range(self.n)}
@@ -234,15 +252,18 @@ class LabelModel:
                 break
         return post
 
-    def posterior(self, patterns: np.ndarray, gold: np.ndarray) -> np.ndarray:
-        """P(toxic | votes, gold label if it is 0 or 1)."""
+    def _score(self, patterns: np.ndarray, gold: np.ndarray) -> np.ndarray:
         score = np.full(len(patterns), math.log(self.prior / (1 - self.prior)))
         for b, t in zip(self.blocks, self.tables):
             code = self._code(patterns, b)
             score += np.log(t[1][code] / t[0][code])
         seen = gold >= 0
         score[seen] += np.log(self.gold[1][gold[seen]] / self.gold[0][gold[seen]])
-        return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        return score
+
+    def posterior(self, patterns: np.ndarray, gold: np.ndarray) -> np.ndarray:
+        """P(toxic | votes, gold label if it is 0 or 1)."""
+        return 1 / (1 + np.exp(-np.clip(self._score(patterns, gold), -30, 30)))
 
 
 def features(votes: np.ndarray, hits: list[np.ndarray], n_stems: int):
@@ -262,8 +283,8 @@ def features(votes: np.ndarray, hits: list[np.ndarray], n_stems: int):
     return np.concatenate(row), np.concatenate(column), n_stems + VOTERS + 4
 
 
-def train_linear(row, column, n_columns: int, target: np.ndarray, ridge: float = 1e-3,
-                 rounds: int = 400) -> np.ndarray:
+def train_linear(row, column, n_columns: int, target: np.ndarray, ridge: float = 3e-4,
+                 rounds: int = 800) -> np.ndarray:
     """Logistic regression weights (the last is the intercept) for soft
     targets, by accelerated gradient steps. Deterministic."""
     n = max(len(target), 1)
@@ -327,8 +348,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     patterns = np.array([r.votes for r in table], np.int64)
     gold = np.array([r.gold for r in table], np.int64)
     model = LabelModel(patterns, gold, np.array([r["count"] for r in table], float))
-    rows = (with_gold.filter(is_learning(F.col("doc_id")))
-            .orderBy(F.col("gold") < 0, *by_hash, "text_hash").limit(sample)
+    # Rows whose label voted tell most; without any label, votes alone teach.
+    learnt = with_gold.filter(is_learning(F.col("doc_id")))
+    if (gold >= 0).any():
+        learnt = learnt.filter("gold >= 0")
+    rows = (learnt.orderBy(*by_hash, "text_hash").limit(sample)
             .select("votes", "hits", "gold").collect())
     votes = np.array([r.votes for r in rows], np.int64)
     row, column, n = features(votes, [np.array(r.hits, np.int64) for r in rows], len(lexicon))

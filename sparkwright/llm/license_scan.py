@@ -1,32 +1,37 @@
-"""Licence scan: winnowed template fingerprints, then banded alignment.
-
-Every template's word 3-grams are hashed and winnowed: of each window of
-consecutive grams the smallest hash is kept, with its position, in an inverted
-index (gram -> templates and positions). The index depends on the templates
-alone, so it is a few kilobytes however large the corpus is.
-
-A text's words are looked up in the templates' vocabulary; runs of known words
-give grams, and grams in the index give hits. Hits of one template that put its
-start at nearly the same word form a candidate. A banded alignment of the
-template with the text there counts the template's words that occur in order
-and gives their span. No rows are exchanged: a text meets all templates where
-it is read.
+"""Licence scan: template fingerprints, then banded alignment.
+
+A match may lack a fifth of a template's words and have others between any two
+that stay, so no run of words is sure to survive; single words are. A
+template's fingerprints are its rarest words, one more than a match may lack:
+every match has one of them. An inverted index holds them with their places. It
+depends on the templates alone, so it is a few kilobytes however large the
+corpus is.
+
+A text's words are looked up in the index; a hit gives the word at which its
+template would start. A hit counts if enough of the template's words lie in
+reach of it, and in order (the longest common subsequence, by bit operations).
+A banded alignment of the template with the text at every start in reach of
+such a hit counts the template's words that occur in order and gives their
+span. No step before it drops a start at which it would succeed. No rows are
+exchanged: a text meets all templates where it is read.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.llm.license_templates import TEMPLATES
 
-GRAM, WINDOW = 3, 4
+#: Least number of words of a template.
+LEAST = 3
 #: Least part of a template's words that must be matched, and of the span's words.
 MIN_COVERAGE, MIN_DENSITY = 0.8, 0.6
 
@@ -37,47 +42,77 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def winnow(words: list[str]) -> list[tuple[tuple[str, ...], int]]:
-    """(gram, position) of the template's fingerprints. Of equal smallest
-    hashes in a window the last is kept; a template with fewer grams than a
-    window keeps one."""
-    grams = [tuple(words[i:i + GRAM]) for i in range(max(1, len(words) - GRAM + 1))]
-    keys = [(xxhash.xxh64_intdigest(" ".join(g)), -i) for i, g in enumerate(grams)]
-    kept = {-min(keys[i:i + WINDOW])[1] for i in range(max(1, len(keys) - WINDOW + 1))}
-    return [(grams[i], i) for i in sorted(kept)]
-
-
 class Index:
     """Templates as words, and the inverted index of their fingerprints."""
 
     def __init__(self, templates: Mapping[str, str]):
         self.names = sorted(templates)
         self.words = [words_of(templates[n]) for n in self.names]
-        if any(len(w) < GRAM for w in self.words):
-            raise ValueError(f"a template needs at least {GRAM} words")
-        self.known = frozenset(w for ws in self.words for w in ws)
-        self.postings: dict[tuple[str, ...], list[tuple[int, int]]] = defaultdict(list)
+        if any(len(w) < LEAST for w in self.words):
+            raise ValueError(f"a template needs at least {LEAST} words")
+        #: word -> [(template, how often it has the word)]
+        self.uses: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        #: Per template: word -> bits of its places.
+        self.bits: list[dict[str, int]] = []
         for t, ws in enumerate(self.words):
-            for gram, at in winnow(ws):
-                self.postings[gram].append((t, at))
-        self.postings = dict(self.postings)
+            bits: dict[str, int] = defaultdict(int)
+            for i, w in enumerate(ws):
+                bits[w] |= 1 << i
+            self.bits.append(dict(bits))
+            for w, k in Counter(ws).items():
+                self.uses[w].append((t, k))
+        self.uses = dict(self.uses)
 
     def band(self, template: int) -> int:
         return max(3, len(self.words[template]) // 8)
 
-    def candidates(self, words: list[str]) -> list[tuple[int, int]]:
-        """(template, word at which it would start) per group of near hits."""
-        known, hits = self.known, []
-        at = [i for i, w in enumerate(words) if w in known]
-        for i, j in zip(at, at[GRAM - 1:]):
-            if j - i == GRAM - 1:
-                for t, p in self.postings.get(tuple(words[i:j + 1]), ()):
-                    hits.append((t, i - p))
+    def need(self, template: int, min_coverage: float) -> int:
+        """Least number of words that a match has."""
+        return math.ceil(min_coverage * len(self.words[template]))
+
+    def fingerprints(self, template: int, min_coverage: float) -> list[int]:
+        """Places of the rarest words, one more than a match may lack. Rare is
+        what few templates have, and of those the longest."""
+        ws = self.words[template]
+        rarest = sorted(range(len(ws)), key=lambda i: (len(self.uses[ws[i]]), -len(ws[i]), i))
+        return rarest[:len(ws) - self.need(template, min_coverage) + 1]
+
+    def in_order(self, template: int, words: Iterable[str]) -> int:
+        """Length of the longest common subsequence of template and words."""
+        n, bits = len(self.words[template]), self.bits[template]
+        full = left = (1 << n) - 1
+        for w in words:
+            m = bits.get(w)
+            if m is not None:
+                u = left & m
+                left = (left + u | left - u) & full
+        return n - left.bit_count()
+
+    def candidates(self, words: list[str], min_coverage: float = MIN_COVERAGE) -> list[tuple[int, int]]:
+        """(template, word at which it would start): every start at which an
+        alignment can reach ``min_coverage``."""
+        at: dict[str, list[int]] = defaultdict(list)
+        for i, w in enumerate(words):
+            if w in self.uses:
+                at[w].append(i)
+        room: dict[int, int] = defaultdict(int)
+        for w, places in at.items():
+            for t, k in self.uses[w]:
+                room[t] += min(k, len(places))
         out: list[tuple[int, int]] = []
-        for t, start in sorted(hits):
-            # Another candidate only where the last one's band doesn't reach.
-            if not out or out[-1][0] != t or start - out[-1][1] > self.band(t) // 2:
-                out.append((t, start))
+        for t in sorted(room):
+            need = self.need(t, min_coverage)
+            if room[t] < need:
+                continue
+            template, band, starts = self.words[t], self.band(t), set()
+            places = sorted(i for w in self.bits[t] for i in at.get(w, ()))
+            for start in {i - p for p in self.fingerprints(t, min_coverage)
+                          for i in at.get(template[p], ())}:
+                a = bisect_left(places, start - 2 * band)
+                b = bisect_left(places, start + len(template) + 2 * band)
+                if b - a >= need and self.in_order(t, (words[i] for i in places[a:b])) >= need:
+                    starts.update(range(start - band, start + band + 1))
+            out += [(t, start) for start in sorted(starts)]
         return out
 
 
@@ -121,11 +156,22 @@ def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE,
     stays (of equals the first by name)."""
     words = words_of(text)
     if candidates is None:
-        candidates = index.candidates(words)
-    found = set()
+        candidates = index.candidates(words, min_coverage)
+    found, exact = set(), set()
+    for t, start in candidates:
+        n = len(index.words[t])
+        if start >= 0 and words[start:start + n] == index.words[t]:
+            exact.add((t, start))
+            found.add((-n, index.names[t], start, start + n - 1, 1.0))
     for t, start in candidates:
-        template = index.words[t]
-        matched, first, last = align(template, words, start, index.band(t))
+        template, band = index.words[t], index.band(t)
+        # Nothing in this band has more words than an exact copy inside it.
+        if exact and any((t, s) in exact for s in range(start - band, start + band + 1)):
+            continue
+        near = words[max(0, start - band):max(0, start + len(template) + band)]
+        if index.in_order(t, near) < index.need(t, min_coverage):
+            continue
+        matched, first, last = align(template, words, start, band)
         if matched >= min_coverage * len(template) and matched >= min_density * (last - first + 1):
             found.add((-matched, index.names[t], first, last, matched / len(template)))
     kept: list[tuple] = []

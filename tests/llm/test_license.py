@@ -41,6 +41,34 @@ def test_finds_what_a_scan_at_every_word_finds():
         assert got, name
 
 
+def test_short_notices_with_one_word_changed_dropped_or_added():
+    found = 0
+    for name in sorted(TEMPLATES):
+        words = TEMPLATES[name].split()
+        if len(words) > 30:
+            continue
+        for k in range(len(words)):
+            for new in (["another"], [], [words[k], "more"]):
+                body = " ".join([*words[:k], *new, *words[k + 1:]])
+                text = f"some words before it\n{body}\nand some after"
+                got = ls.scan_text(INDEX, text)
+                assert got == everywhere(text), (name, body)
+                found += bool(got)
+    assert found > 50
+    for name, text in (("MIT", "Licensed under the MIT License."),
+                       ("Apache-2.0", "Licensed under Apache License, Version 2.0.")):
+        assert [h[0] for h in ls.scan_text(INDEX, text)] == [f"notice:{name}"]
+
+
+def test_no_run_of_words_needs_to_stay():
+    for name in sorted(TEMPLATES):
+        words = ls.words_of(TEMPLATES[name])
+        # Another word after every second one: 2 of 3 words of the span.
+        text = "so " + " ".join(w + " zz" * (k % 2) for k, w in enumerate(words)) + " then"
+        got = ls.scan_text(INDEX, text)
+        assert got == everywhere(text), name
+
+
 def test_exact_notices_and_spans():
     for name, text in TEMPLATES.items():
         body = " ".join(text.split())

@@ -5,9 +5,10 @@ counts the distinct documents of a host that hold it, removes lines held by
 more than ``max_docs`` of them, and rejects a document that is depleted: too
 few words, or too small a part of its words, are left.
 
-Every text is tokenised once, in one scan that writes a narrow table (counts
-and one key per line). The rest are shuffles of those keys. All steps are
-built-in expressions.
+Every text is tokenised in one scan that writes a narrow table (counts, and key
+and number of each line). Shuffles of those keys find the numbers of the lines
+to remove. Texts are shuffled once, to meet them. All steps are built-in
+expressions.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import SPACE, WORD, bind, materialise, null_key
+from sparkwright.llm.common import SPACE, WORD, bind, materialise, n_words, null_key
 
 MIN_WORDS = 50
 #: A line in more documents of one host than this is removed.
@@ -61,10 +62,17 @@ def normalised_line(line: Column) -> Column:
     return F.trim(plain)
 
 
+def text_key(docs: DataFrame) -> list[Column]:
+    """Never-null columns _id, _host, _hash: rows equal in them have the same
+    lines and the same host, so the same lines removed."""
+    return [null_key("doc_id").alias("_id"), null_key("source").alias("_host"),
+            F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash")]
+
+
 def document_counts(docs: DataFrame) -> DataFrame:
-    """One row per document: its base counts and ``lines``, an array of the
-    lines that have a word, each as (key of host and normalised line, words)."""
-    host = null_key("source")
+    """One row per document: its key, its base counts and ``lines``, an array of
+    the lines that have a word, each as (key of host and normalised line, number
+    of the line in the text from 0)."""
 
     def of_words(w: Column) -> Column:
         return F.struct(F.size(w).cast("long").alias("n_words"),
@@ -73,32 +81,42 @@ def document_counts(docs: DataFrame) -> DataFrame:
 
     def of_lines(x: Column) -> Column:
         return F.struct(
-            (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+            (F.size(x) - F.size(F.array_distinct(F.transform(x, lambda y: y["line"]))))
+            .cast("long").alias("n_dup_lines"),
             F.transform(x, lambda y: F.struct(
-                F.xxhash64(F.col("_host"), normalised_line(y)).alias("key"),
-                F.regexp_count(y, F.lit(WORD)).alias("words"))).alias("lines"))
+                F.xxhash64(F.col("_host"), normalised_line(y["line"])).alias("key"),
+                y["number"].alias("number"))).alias("lines"))
 
     text = F.col("_text")
-    lines = F.filter(F.split(text, "\n"), lambda y: y.rlike(WORD))
-    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), host.alias("_host"))
-            .select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda y, i: F.struct(
+        y.alias("line"), i.alias("number"))), lambda y: y["line"].rlike(WORD))
+    return (docs.select(F.coalesce("text", F.lit("")).alias("_text"), *text_key(docs))
+            .select(F.monotonically_increasing_id().alias("row_id"), "_id", "_host", "_hash",
                     (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
                     .alias("n_symbols"),
                     bind(words_of(text), of_words).alias("_w"),
                     bind(lines, of_lines).alias("_l"))
-            .select("row_id", "doc_id", "_w.*", "n_symbols", "_l.*"))
+            .select("row_id", "_id", "_host", "_hash", "_w.*", "n_symbols", "_l.*"))
 
 
-def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_docs: int = MAX_DOCS,
-                  min_left: float = MIN_LEFT) -> DataFrame:
-    """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, kept, frequent_words.
+def without_lines(text: Column, numbers: Column) -> Column:
+    """``text`` without the lines of these numbers (from 0)."""
+    def rest(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers)
+        return F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
+    return F.when(F.size(numbers) > 0, bind(F.split(text, "\n"), rest)).otherwise(text)
+
+
+def cleaned_documents(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """Per document: doc_id, source, text, removed_lines, n_words, word_chars,
+    n_symbols, n_dup_lines, n_repeat_words.
 
-    The host is ``source``; a null source is a host of its own. Every row is a
-    document of its own, also when rows repeat or doc_id is null. A null text
-    counts as empty: 0 words, so it fails the base rules. ``frequent_words``
-    are the words in removed lines. Columns besides doc_id, text and source are
-    not read.
+    ``text`` is the text without its removed lines, which ``removed_lines``
+    numbers (from 0, in order, lines as between newlines). The counts are those
+    of the whole text. The host is ``source``; a null source is a host of its
+    own. Every row is a document of its own, also when rows repeat or doc_id is
+    null. A null text stays null and counts as empty. Columns besides doc_id,
+    text and source are not read.
     """
     counts = materialise(document_counts(docs), "line-counts")
     keys = counts.select(F.explode(F.array_distinct(F.transform(
@@ -108,13 +126,34 @@ def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_docs: int = M
         "frequent-lines")
     lines = counts.select("row_id", F.explode("lines").alias("l")).select("row_id", "l.*")
     removed = (lines.join(frequent, "key").groupBy("row_id")
-               .agg(F.sum("words").cast("long").alias("frequent_words")))
+               .agg(F.sort_array(F.collect_list("number")).alias("removed_lines")))
+    # Rows that repeat a key are equal here.
+    found = (counts.drop("lines").join(removed, "row_id", "left").drop("row_id")
+             .withColumn("removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>")))
+             .dropDuplicates(["_id", "_host", "_hash"]))
+    # The narrow side is hashed, so texts aren't sorted for the join.
+    joined = docs.select("doc_id", "source", "text", *text_key(docs)).join(
+        found.hint("shuffle_hash"), ["_id", "_host", "_hash"])
+    return joined.select(
+        "doc_id", "source", without_lines(F.col("text"), F.col("removed_lines")).alias("text"),
+        "removed_lines", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_docs: int = MAX_DOCS,
+                  min_left: float = MIN_LEFT) -> DataFrame:
+    """Per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, kept, frequent_words.
+
+    The verdict on what ``cleaned_documents`` leaves of each text: ``kept`` is
+    judged by the words of the cleaned text, and ``frequent_words`` are those it
+    has lost. A null text has 0 words, so it fails the base rules.
+    """
     base_failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    left = F.col("n_words") - F.col("frequent_words")
-    depleted = (left < min_words) | (left < min_left * F.col("n_words"))
-    return (counts.drop("lines").join(removed, "row_id", "left")
-            .withColumn("frequent_words", F.coalesce("frequent_words", F.lit(0)).cast("long"))
+    depleted = (F.col("left") < min_words) | (F.col("left") < min_left * F.col("n_words"))
+    return (cleaned_documents(docs, max_docs)
+            .withColumn("left", n_words(F.col("text")))
+            .withColumn("frequent_words", F.col("n_words") - F.col("left"))
             .withColumn("base_failed", base_failed)
             .withColumn("kept", ~base_failed & ~depleted)
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",

@@ -65,6 +65,22 @@ def test_quality_rules(docs):
     assert any(r[-1] and not r[6] and not r[7] for r in want) and any(r[7] for r in want)
 
 
+def test_frequent_lines_leave_the_text(spark):
+    board = "Subscribe to our\tletter 12 today"
+    data = [(i, f"{board}\n\nOwn text of document {chr(97 + i)} \n{board.upper()}\n tail {chr(97 + i)} x", "a") for i in range(12)]
+    data += [(20, f"{board}\nother host", "b"), (21, board, "a"), (21, board, "a"), (None, f"x\n{board}\n", "a"),
+             (22, None, "a"), (23, "", None), (24, "\n\n" + (board + "\n") * 20_000 + "end", "a")]
+    got = line_rules.cleaned_documents(spark.createDataFrame(data, SCHEMA).repartition(3)).collect()
+    have = sorted((str(r.doc_id), str(r.text), r.removed_lines) for r in got)
+
+    def want(i, t, s):
+        gone = [k for k, x in enumerate((t or "").split("\n")) if s == "a" and "SUBSCRIBE" in x.upper()]
+        kept = t and "\n".join(x for k, x in enumerate(t.split("\n")) if k not in set(gone))
+        return str(i), str(kept), gone
+    assert have == sorted(want(*r) for r in data)
+    assert any(t == "\nOwn text of document d \n tail d x" for _, t, _ in have)
+
+
 def plain_mix(data, weights=(5, 2, 1), epochs=3):
     size = [len(WORD.findall(t or "")) for _, t, _ in data]
     total, of = sum(size), Counter()

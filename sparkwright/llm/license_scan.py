@@ -77,6 +77,14 @@ class Index:
         rarest = sorted(range(len(ws)), key=lambda i: (len(self.uses[ws[i]]), -len(ws[i]), i))
         return rarest[:len(ws) - self.need(template, min_coverage) + 1]
 
+    def room(self, counts: Mapping[str, int]) -> dict[int, int]:
+        """How many words of each template a text has, in any order."""
+        room: dict[int, int] = defaultdict(int)
+        for w, have in counts.items():
+            for t, k in self.uses.get(w, ()):
+                room[t] += min(k, have)
+        return room
+
     def in_order(self, template: int, words: Iterable[str]) -> int:
         """Length of the longest common subsequence of template and words."""
         n, bits = len(self.words[template]), self.bits[template]
@@ -95,10 +103,7 @@ class Index:
         for i, w in enumerate(words):
             if w in self.uses:
                 at[w].append(i)
-        room: dict[int, int] = defaultdict(int)
-        for w, places in at.items():
-            for t, k in self.uses[w]:
-                room[t] += min(k, len(places))
+        room = self.room({w: len(places) for w, places in at.items()})
         out: list[tuple[int, int]] = []
         for t in sorted(room):
             need = self.need(t, min_coverage)
@@ -153,16 +158,22 @@ def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE,
               candidates: list[tuple[int, int]] | None = None) -> list[tuple]:
     """(template name, coverage, start, end) of each licence found in a text;
     offsets are code points. Of overlapping spans that with most matched words
-    stays (of equals the first by name)."""
+    less its template's missing ones stays (of equals that with most coverage,
+    then the first by name), so the best coverage decides between near-equal
+    templates and a whole text stands before a notice inside it."""
     words = words_of(text)
     if candidates is None:
         candidates = index.candidates(words, min_coverage)
+    else:
+        room = index.room(Counter(words))
+        candidates = [(t, s) for t, s in candidates
+                      if room.get(t, 0) >= index.need(t, min_coverage)]
     found, exact = set(), set()
     for t, start in candidates:
         n = len(index.words[t])
         if start >= 0 and words[start:start + n] == index.words[t]:
             exact.add((t, start))
-            found.add((-n, index.names[t], start, start + n - 1, 1.0))
+            found.add((-n, -1.0, index.names[t], start, start + n - 1))
     for t, start in candidates:
         template, band = index.words[t], index.band(t)
         # Nothing in this band has more words than an exact copy inside it.
@@ -173,11 +184,12 @@ def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE,
             continue
         matched, first, last = align(template, words, start, band)
         if matched >= min_coverage * len(template) and matched >= min_density * (last - first + 1):
-            found.add((-matched, index.names[t], first, last, matched / len(template)))
+            found.add((len(template) - 2 * matched, -matched / len(template),
+                       index.names[t], first, last))
     kept: list[tuple] = []
-    for _, name, first, last, coverage in sorted(found):
+    for _, coverage, name, first, last in sorted(found):
         if all(last < f or first > e for _, f, e, _ in kept):
-            kept.append((name, first, last, coverage))
+            kept.append((name, first, last, -coverage))
     if not kept:
         return []
     offsets: list[int] = []

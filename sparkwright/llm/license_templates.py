@@ -1,8 +1,61 @@
 """Licence notices to scan for: SPDX-like name -> text.
 
-Fixed values: the public wording of common notices, which must match as it is.
+Fixed values: the public wording of common licences and headers as a whole,
+which must match as it is. ``part:`` names a licence's first part for texts that
+lack the rest, ``:address`` a header that ends with the postal address.
 """
 
+_URL = "If not, see <https://www.gnu.org/licenses/>."
+_ADDRESS = """if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor,
+    Boston, MA 02110-1301 USA."""
+
+
+def _gnu(name: str, work: str, licence: str, version: str) -> dict[str, str]:
+    part = f"""
+        This {work} is free software: you can redistribute it and/or modify it under the terms of
+        the GNU {licence} as published by the Free Software Foundation, either version
+        {version} of the License, or (at your option) any later version. This {work} is distributed in the
+        hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {licence} for
+        more details."""
+    rest = f"You should have received a copy of the GNU {licence} along with this {work}."
+    return {f"part:{name}": part, name: f"{part} {rest} {_URL}",
+            f"{name}:address": f"{part} {rest} {_ADDRESS}"}
+
+
+_MIT = """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this
+        software and associated documentation files (the "Software"), to deal in the Software
+        without restriction, including without limitation the rights to use, copy, modify, merge,
+        publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons
+        to whom the Software is furnished to do so, subject to the following conditions: The above
+        copyright notice and this permission notice shall be included in all copies or substantial
+        portions of the Software."""
+_ISC = """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or
+        without fee is hereby granted, provided that the above copyright notice and this permission
+        notice appear in all copies."""
+_BSD_2 = """
+        Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met: 1. Redistributions of source code
+        must retain the above copyright notice, this list of conditions and the following
+        disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+        this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution."""
+_BSD_3 = _BSD_2 + """ 3. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without
+        specific prior written permission."""
+_BSD_REST = """
+        THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS
+        OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+        COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+        SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+        HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR
+        TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+        SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
 TEMPLATES = {
     "notice:Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "notice:CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
@@ -18,13 +71,13 @@ TEMPLATES = {
         in writing, software distributed under the License is distributed on an "AS IS" BASIS,
         WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License
         for the specific language governing permissions and limitations under the License.""",
-    "BSD-2-Clause": """
-        Redistribution and use in source and binary forms, with or without modification, are
-        permitted provided that the following conditions are met: 1. Redistributions of source code
-        must retain the above copyright notice, this list of conditions and the following
-        disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
-        this list of conditions and the following disclaimer in the documentation and/or other
-        materials provided with the distribution.""",
+    "part:BSD-2-Clause": _BSD_2,
+    "BSD-2-Clause": _BSD_2 + _BSD_REST,
+    "part:BSD-3-Clause": _BSD_3,
+    "BSD-3-Clause": _BSD_3 + _BSD_REST,
+    "CC-BY-4.0": """
+        This work is licensed under the Creative Commons Attribution 4.0 International License. To
+        view a copy of this license, visit http://creativecommons.org/licenses/by/4.0/""",
     "CC-BY-NC-4.0": """
         This work is licensed under the Creative Commons Attribution-NonCommercial 4.0
         International License. To view a copy of this license, visit
@@ -33,23 +86,29 @@ TEMPLATES = {
         This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International
         License. To view a copy of this license, visit
         http://creativecommons.org/licenses/by-sa/4.0/""",
-    "GPL-3.0": """
-        This program is free software: you can redistribute it and/or modify it under the terms of
-        the GNU General Public License as published by the Free Software Foundation, either version
-        3 of the License, or (at your option) any later version. This program is distributed in the
-        hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
-        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for
-        more details.""",
-    "ISC": """
-        Permission to use, copy, modify, and/or distribute this software for any purpose with or
-        without fee is hereby granted, provided that the above copyright notice and this permission
-        notice appear in all copies.""",
-    "MIT": """
-        Permission is hereby granted, free of charge, to any person obtaining a copy of this
-        software and associated documentation files (the "Software"), to deal in the Software
-        without restriction, including without limitation the rights to use, copy, modify, merge,
-        publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons
-        to whom the Software is furnished to do so, subject to the following conditions: The above
-        copyright notice and this permission notice shall be included in all copies or substantial
-        portions of the Software.""",
+    **_gnu("GPL-2.0", "program", "General Public License", "2"),
+    **_gnu("GPL-3.0", "program", "General Public License", "3"),
+    **_gnu("LGPL-2.1", "library", "Lesser General Public License", "2.1"),
+    **_gnu("LGPL-3.0", "library", "Lesser General Public License", "3"),
+    **_gnu("AGPL-3.0", "program", "Affero General Public License", "3"),
+    "part:ISC": _ISC,
+    "ISC": _ISC + """
+        THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO
+        THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT
+        SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR
+        ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+        CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE
+        OR PERFORMANCE OF THIS SOFTWARE.""",
+    "part:MIT": _MIT,
+    "MIT": _MIT + """
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+        PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+        FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+        DEALINGS IN THE SOFTWARE.""",
+    "MPL-2.0": """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a
+        copy of the MPL was not distributed with this file, You can obtain one at
+        http://mozilla.org/MPL/2.0/.""",
 }

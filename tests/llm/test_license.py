@@ -60,6 +60,22 @@ def test_short_notices_with_one_word_changed_dropped_or_added():
         assert [h[0] for h in ls.scan_text(INDEX, text)] == [f"notice:{name}"]
 
 
+def test_whole_texts_and_near_equal_templates():
+    whole = {n: " ".join(TEMPLATES[n].split()) for n in TEMPLATES}
+    for name, end in (("MIT", "DEALINGS IN THE SOFTWARE"), ("BSD-2-Clause", "SUCH DAMAGE"),
+                      ("BSD-3-Clause", "SUCH DAMAGE"), ("ISC", "PERFORMANCE OF THIS SOFTWARE")):
+        text = f"Copyright someone. {whole[name]} And code."
+        ((got, coverage, a, b),) = ls.scan_text(INDEX, text)
+        assert got == name and coverage == 1.0 and text[a:b].endswith(end)
+        lacking = f"Copyright someone. {whole['part:' + name]} And code."
+        assert [h[0] for h in ls.scan_text(INDEX, lacking)] == [f"part:{name}"]
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+        for kind in (name, f"{name}:address", f"part:{name}"):
+            text = f"x {whole[kind].replace('useful', 'of use')} y"
+            assert [h[0] for h in ls.scan_text(INDEX, text)] == [kind]
+    assert ls.scan_text(INDEX, whole["MPL-2.0"])[0][0] == "MPL-2.0"
+
+
 def test_no_run_of_words_needs_to_stay():
     for name in sorted(TEMPLATES):
         words = ls.words_of(TEMPLATES[name])

@@ -1,13 +1,17 @@
-"""Substring dedup by hashing lines and the sentences inside them.
+"""Substring dedup by hashing lines and the sentences and runs inside them.
 
 A text is cut into pieces at line and sentence ends. Copied passages are often
 pasted into the middle of a line, so whole lines alone would miss them; a piece
-also ends before a capitalised word, as that is how a pasted passage begins. A unit is a piece of at least ``min_words`` words, or a
+also ends before a capitalised word, as that is how a pasted passage begins. A
+sentence of more than ``LONG`` words is cut where the hash of two words is the
+smallest of ``WINDOW``: the same places in every copy of a run, and one at least
+in every ``WINDOW`` words. A unit is a piece of at least ``min_words`` words, or a
 shorter one with as many of its followers as it takes to reach that: fewer
-words are too common to be evidence. Units are normalised (lower case, white
-space as one space) and hashed to 128 bits. Digests are grouped globally; the
-occurrence that ranks first (by doc_id, then text hash, then place) stays and
-all others go, with all their pieces.
+words are too common to be evidence. In scripts without spaces a character is
+half a word. Every line of at least ``MIN_CHARS`` characters is a unit too. Units
+are normalised (lower case, white space as one space) and hashed to 128 bits.
+Digests are grouped globally; the occurrence that ranks first (by doc_id, then
+text hash, then place) stays and all others go, with all their pieces.
 
 One scan emits narrow rows (digest, document, unit number), the first place of
 each digest is a partial aggregate, and only digests seen at least twice take
@@ -29,9 +33,48 @@ from pyspark.sql import functions as F
 from sparkwright.llm.common import materialise
 
 MIN_WORDS = 8
+#: Least characters of a line that is a unit, whatever its words.
+MIN_CHARS = 24
+#: A sentence of more words is cut at one place at least in every WINDOW words.
+LONG, WINDOW = 25, 12
+#: Numbers of line units start here, those of pieces at 0.
+LINE = 1 << 30
 
 _PIECE_END = re.compile(
-    r"\n+|[.!?][^\w\s]*[ \t]+|[ ](?=[^\W\d_a-zß-öø-ÿ])")
+    r"\n+|[.!?][^\w\s]*[ \t]+|[。！？｡؟۔।॥።။។]+[^\w\s]*[ \t]*|[ ](?=[^\W\d_a-zß-öø-ÿ])")
+#: Characters of scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, Kana, Han.
+_ALONE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SOLE = re.compile(f"[{_ALONE}]")
+_TOKEN = re.compile(f"[{_ALONE}]|[^\\s{_ALONE}]+")
+_LINE = re.compile(r"[^\n]+\n*")
+
+
+def tokens(text: str) -> list[str]:
+    """Normalised words; a character of a script without spaces is one."""
+    low = text.lower()
+    return low.split() if low.isascii() else _SOLE.sub(r" \g<0> ", low).split()
+
+
+def n_words(words: list[str]) -> float:
+    """How many words; a character of a script without spaces is half of one."""
+    if all(map(str.isascii, words)):
+        return len(words)
+    return len(words) - sum(1 for w in words if len(w) == 1 and _SOLE.match(w)) / 2
+
+
+def cuts(text: str, start: int, end: int) -> list[int]:
+    """Offsets at which a long sentence is cut, by the words around alone."""
+    if text.count(" ", start, end) < LONG and text.isascii():
+        return []
+    found = [m for m in _TOKEN.finditer(text, start, end)]
+    if len(found) <= LONG:
+        return []
+    words = [m.group().lower() for m in found]
+    keys = np.array([xxhash.xxh64_intdigest(f"{v} {w}") for v, w in zip(words, words[1:])], np.uint64)
+    windows = np.lib.stride_tricks.sliding_window_view(keys, WINDOW)
+    # Of equal smallest hashes the last counts.
+    least = np.arange(len(windows)) + WINDOW - 1 - np.argmin(windows[:, ::-1], axis=1)
+    return [found[i].start() for i in np.unique(least) if i]
 
 
 def pieces(text: str) -> list[tuple[int, int]]:
@@ -41,36 +84,52 @@ def pieces(text: str) -> list[tuple[int, int]]:
     A break between two words counts only if the second has a capital letter.
     """
     out, start = [], 0
-    for m in _PIECE_END.finditer(text):
-        end = m.end()
-        if m.group() == " " and not text[end].isupper():
-            continue
-        out.append((start, end))
+    ends = [m.end() for m in _PIECE_END.finditer(text)
+            if m.group() != " " or text[m.end()].isupper()]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    for end in ends:
+        for cut in cuts(text, start, end):
+            out.append((start, cut))
+            start = cut
+        if start < end:
+            out.append((start, end))
         start = end
-    if start < len(text):
-        out.append((start, len(text)))
     return out
 
 
 def units(text: str, min_words: int) -> list[tuple[int, int, list[str]]]:
     """(first piece, end piece, normalised words) of each unit. A piece without
     words starts none, and neither do the last pieces if they fall short."""
-    words = [text[a:b].lower().split() for a, b in pieces(text)]
+    words = [tokens(text[a:b]) for a, b in pieces(text)]
+    size = [n_words(ws) for ws in words]
     out, end, total = [], 0, 0
     for first, own in enumerate(words):
         while total < min_words and end < len(words):
-            total += len(words[end])
+            total += size[end]
             end += 1
         if total < min_words:
             break
         if own:
             out.append((first, end, [w for ws in words[first:end] for w in ws]))
-        total -= len(own)
+        total -= size[first]
     return out
 
 
+def lines(text: str) -> Iterator[tuple[int, int, int, str]]:
+    """(unit, start, end, normalised text) of each line of enough characters."""
+    for k, m in enumerate(_LINE.finditer(text)):
+        line = " ".join(m.group().lower().split())
+        if len(line) >= MIN_CHARS:
+            yield LINE + k, m.start(), m.end(), line
+
+
 def _digests(text: str, min_words: int) -> Iterator[tuple[int, int, int]]:
-    """(first piece, high, low) of each unit."""
+    """(first piece or line number, high, low) of each unit."""
+    for k, _, _, line in lines(text):
+        # Apart from the pieces: a line of one piece would repeat it.
+        d = xxhash.xxh3_128_intdigest(("\n" + line).encode("utf-8", "replace"))
+        yield k, d >> 64, d & 0xFFFFFFFFFFFFFFFF
     for first, _, words in units(text, min_words):
         d = xxhash.xxh3_128_intdigest(" ".join(words).encode("utf-8", "replace"))
         yield first, d >> 64, d & 0xFFFFFFFFFFFFFFFF
@@ -97,16 +156,19 @@ def _unit_rows(min_words: int):
 
 
 def removed_spans(text: str, gone: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Merged (start, end) spans of the units that start at the pieces ``gone``."""
+    """Merged (start, end) spans of the units that start at the pieces, or are
+    the lines, of ``gone``."""
     every, cut = pieces(text), set(gone)
+    found = [(every[first][0], every[end - 1][1])
+             for first, end, _ in units(text, min_words) if first in cut]
+    if max(cut, default=0) >= LINE:
+        found += [(a, b) for k, a, b, _ in lines(text) if k in cut]
     spans: list[list[int]] = []
-    for first, end, _ in units(text, min_words):
-        if first in cut:
-            a, b = every[first][0], every[end - 1][1]
-            if spans and spans[-1][1] >= a:
-                spans[-1][1] = max(b, spans[-1][1])
-            else:
-                spans.append([a, b])
+    for a, b in sorted(found):
+        if spans and spans[-1][1] >= a:
+            spans[-1][1] = max(b, spans[-1][1])
+        else:
+            spans.append([a, b])
     return [(a, b) for a, b in spans]
 
 

@@ -77,6 +77,24 @@ def test_short_pieces_count_with_their_followers():
     assert passage in kept["1"] and kept["2"].startswith("another beginning") and "Part" not in kept["2"]
 
 
+def test_runs_without_ends_and_lines_of_any_script(spark):
+    run = " ".join(f"w{j * 7919 % 1009}" for j in range(60))
+    chinese = "".join(chr(0x4E00 + j * 7919 % 5000) for j in range(80))
+    line, short = "一二三四五六七八九十甲乙丙丁戊己庚辛壬癸子丑寅卯辰巳", "Subscribe to our weekly letter"
+    own = lambda c, n: " ".join(f"{c}{j}" for j in range(n))
+    rows = [(1, f"{own('a', 40)} {run} {own('b', 40)}"), (2, f"{own('c', 33)} {run} {own('d', 27)}"),
+            (3, f"甲乙{chinese}丙丁"), (4, f"子丑寅{chinese}卯"),
+            (5, f"{line}\nfirst follower"), (6, f"{line}\nanother one"),
+            (7, f"{short}\nfollowed by this"), (8, f"{short}\nthen by that")]
+    got = {r.doc_id: r for r in sd.substring_dedup(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i in (1, 3, 5, 7):
+        assert got[i].text == rows[i - 1][1]
+    assert sum(w in run.split() for w in got[2].text.split()) <= 35 and own("c", 33) in got[2].text
+    assert own("d", 27) in got[2].text and len(got[4].text) < 60
+    assert got[6].text == "another one" and got[8].text == "then by that"
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert sd.substring_dedup(df).count() == 0

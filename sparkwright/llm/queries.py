@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkwright.llm import (embedding_join, license_scan, line_rules, merge_dropout, mixing,
+from sparkwright.llm import (chat, embedding_join, license_scan, line_rules, merge_dropout, mixing,
                              sharding, simhash, substring_dedup, toxicity, warc)
 from sparkwright.llm.common import new_scratch
 from sparkwright.sources.files import table
@@ -61,9 +62,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digests(chat.format_conversations(turns.unionByName(more)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_mixing, op4_license_scan, op5_sharding, op6_embedding_join, op7_simhash_dedup,
-        op8_merge_dropout, op9_substring_dedup, op10_warc)}
+    f.__name__: f for f in (
+        op1_toxicity, op2_quality_rules, op3_mixing, op4_license_scan, op5_sharding,
+        op6_embedding_join, op7_simhash_dedup, op8_merge_dropout, op9_substring_dedup, op10_warc,
+        op13_chat_format)}
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,
@@ -71,4 +83,5 @@ ORACLES: dict[str, str] = {
     "op5_sharding": sharding.ORACLE_SQL,
     "op6_embedding_join": embedding_join.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
+    "op13_chat_format": chat.ORACLE_SQL,
 }

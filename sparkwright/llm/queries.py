@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwright.llm import (chat, embedding_join, license_scan, line_rules, merge_dropout, mixing,
-                             sharding, simhash, substring_dedup, toxicity, vector_codes, warc)
+from sparkwright.llm import (chat, embedding_join, filter_audit, license_scan, line_rules,
+                             merge_dropout, mixing, sharding, simhash, substring_dedup, toxicity,
+                             vector_codes, warc)
 from sparkwright.llm.common import new_scratch
 from sparkwright.sources.files import table
 
@@ -62,6 +63,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
 
@@ -79,7 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_quality_rules, op3_mixing, op4_license_scan, op5_sharding,
         op6_embedding_join, op7_simhash_dedup, op8_merge_dropout, op9_substring_dedup, op10_warc,
-        op12_vector_codes, op13_chat_format)}
+        op11_filter_audit, op12_vector_codes, op13_chat_format)}
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,
@@ -87,6 +92,7 @@ ORACLES: dict[str, str] = {
     "op5_sharding": sharding.ORACLE_SQL,
     "op6_embedding_join": embedding_join.ORACLE_SQL,
     "op10_warc": warc.ORACLE_SQL,
+    "op11_filter_audit": filter_audit.ORACLE_SQL,
     "op12_vector_codes": vector_codes.ORACLE_SQL,
     "op13_chat_format": chat.ORACLE_SQL,
 }

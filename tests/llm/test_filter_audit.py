@@ -1,0 +1,113 @@
+"""The filter audit against a plain run of every order over sets of rows."""
+
+import random
+import re
+from itertools import permutations
+
+import duckdb
+
+import __spark_entry__ as ent
+from conftest import SF0001
+from oracle_check import digest
+from sparkwright.llm import filter_audit as fa
+
+DOCS = "doc_id BIGINT, text STRING, source STRING, part STRING, row STRING, fails STRING"
+LABELS = "doc_id BIGINT, quality INT, toxic INT, good STRING, part STRING"
+
+
+def plain(docs, labels):
+    def failing(i, doc):
+        text = doc[1] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        out = set()
+        if len(words) < 200:
+            out.add("A")
+        if 100 * len(set(words)) < 50 * len(words):
+            out.add("B")
+        if 100 * len(re.findall("[A-Z]", text)) > 2 * len(text):
+            out.add("C")
+        if re.search("[#$%&*|]", text):
+            out.add("D")
+        if doc[0] is not None and any((d[1] or "") == text and d[0] is not None and d[0] < doc[0]
+                                      for d in docs):
+            out.add("E")
+        return out
+    fails = [failing(i, d) for i, d in enumerate(docs)]
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    out = []
+    for part in {d[2] or "" for d in docs}:
+        rows = [i for i, d in enumerate(docs) if (d[2] or "") == part]
+        shapley, mine = dict.fromkeys("ABCDE", 0), []
+        for order in permutations("ABCDE"):
+            left = set(rows)
+            for step, f in enumerate(order, 1):
+                gone = {i for i in left if f in fails[i]}
+                before, left = left, left - gone
+                shapley[f] += len(gone)
+                mine.append((part, "".join(order), step, f, len(left), len(gone),
+                             sum(f in fails[i] and i not in before for i in rows),
+                             sum(fails[i] == {f} for i in rows),
+                             sum(docs[i][0] in good for i in gone), sum(docs[i][0] in toxic for i in gone)))
+        out += [(*r[:3], *r[4:], shapley[r[3]]) for r in mine]
+    return sorted(out)
+
+
+def ran(spark, docs, labels):
+    d = spark.createDataFrame([(*r, "x", "y", "z") for r in docs], DOCS).repartition(4)
+    got = fa.audit(d, spark.createDataFrame([(*r, "x", "y") for r in labels], LABELS))
+    assert got.columns == ["part", "filter_order", "step", "kept", "removed", "redundant",
+                           "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    return sorted(map(tuple, got.collect()))
+
+
+def text(rng):
+    words = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.choice([3, 199, 200, 260]))]
+    if rng.random() < 0.3:
+        words = [rng.choice(words[:40]) for _ in words]
+    if rng.random() < 0.3:
+        words = [w.upper() for w in words]
+    if rng.random() < 0.3:
+        words[rng.randrange(len(words))] = rng.choice("#$%&*|")
+    return rng.choice([" ", "\t", "\n", " \x0b", "\x0c\r"]).join(words)
+
+
+def test_every_order(spark):
+    rng = random.Random(2)
+    docs = [(i, text(rng), rng.choice(["s", "t", "", None])) for i in range(80)]
+    docs += [(100 + i, rng.choice(docs[:80])[1], rng.choice(["s", "u"])) for i in range(60)]
+    rng.shuffle(docs)
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(0, 200, 2)]
+    assert ran(spark, docs, labels) == plain(docs, labels)
+
+
+def test_nulls_ties_repeated_rows_long_texts(spark):
+    long = " ".join(f"v{i}" for i in range(200_000))
+    docs = [(1, None, None), (2, "", "a"), (None, "", "a"), (None, "", None), (3, long, "a"),
+            (3, long, "a"), (4, long, "a"), (5, "é " * 300, "b"), (5, "A" * 50, "b"), (6, "B b", "é")]
+    labels = [(3, 1, 0), (3, 0, 1), (None, 1, 1), (4, None, None), (9, 1, 1)]
+    assert ran(spark, docs, labels) == plain(docs, labels)
+
+
+def test_words_and_limits(spark):
+    """At each limit exactly: 200 words, half distinct, two capitals in a hundred."""
+    half = " ".join(f"x{i % 100}" for i in range(200))
+    docs = [(1, half, "a"), (2, half + " x1", "a"), (3, " ".join(["q"] * 1), "a"),
+            (4, "A" * 2 + "b" * 98, "a"), (5, "A" * 3 + "b" * 97, "a"), (6, "a|b", "a")]
+    assert ran(spark, docs, []) == plain(docs, [])
+
+
+def test_empty_tables(spark):
+    assert ran(spark, [], [(1, 1, 1)]) == []
+    docs = [(1, "a", "s")]
+    assert ran(spark, docs, []) == plain(docs, [])
+
+
+def test_query_matches_sql(spark):
+    df = ent.queries()["op11_filter_audit"](spark, SF0001)
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF0001}/{t}.parquet'")
+    res = con.execute(ent.oracle_sql()["op11_filter_audit"])
+    cols, rows = [d[0] for d in res.description], res.fetchall()
+    assert digest([tuple(r) for r in df.collect()], df.columns)[0] == digest(rows, cols)[0]

@@ -1,4 +1,4 @@
-"""File sources (S1-S8, S14): thin, declarative readers.
+"""File sources (S1-S8): thin, declarative readers. S14 is in ``listing.py``.
 
 All readers return lazy DataFrames so Catalyst can push filters and column
 pruning into the scan. Schemas are passed explicitly wherever the caller
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkwright.functions.text import java_trim
-from sparkwright.sources.paths import open_fs, qualified
 
 # Names of the driver-generated tables (one parquet file each).
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -114,60 +113,6 @@ def schema_from_names(names: str | Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
 
 
-def _walk(batches):
-    """Everything below the given folders, the folders themselves included."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-    for pdf in batches:
-        for uri in pdf["path"]:
-            fs, top = open_fs(uri)
-            todo, rows = [top], [(uri, 0, True)]
-            while todo:
-                for info in fs.get_file_info(pafs.FileSelector(todo.pop(), recursive=False)):
-                    folder = info.type == pafs.FileType.Directory
-                    if folder:
-                        todo.append(info.path)
-                    rows.append((uri + info.path[len(top):], 0 if folder else info.size, folder))
-                if len(rows) >= 10_000:
-                    yield pd.DataFrame(rows, columns=["path", "length", "is_dir"])
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=["path", "length", "is_dir"])
-
-
-def list_tree(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
-    """(path, length, is_dir) of all files and folders below ``root``, hidden
-    ones included, or of the single file ``root``; paths are full URIs.
-
-    The driver reads only the root folder; its subfolders are walked by
-    ``tasks`` tasks (default: the default parallelism).
-    """
-    import pyarrow.fs as pafs
-    schema = "path STRING, length BIGINT, is_dir BOOLEAN"
-    root = qualified(spark, root)
-    fs, top = open_fs(root)
-    info = fs.get_file_info(top)
-    if info.type == pafs.FileType.NotFound:
-        raise FileNotFoundError(root)
-    if info.type == pafs.FileType.File:
-        return spark.createDataFrame([(root, info.size, False)], schema)
-    here = fs.get_file_info(pafs.FileSelector(top, recursive=False))
-    files = [(f"{root}/{i.base_name}", i.size, False) for i in here
-             if i.type == pafs.FileType.File]
-    folders = [(f"{root}/{i.base_name}",) for i in here if i.type == pafs.FileType.Directory]
-    out = spark.createDataFrame(files, schema)
-    if folders:
-        n = min(len(folders), tasks or spark.sparkContext.defaultParallelism)
-        below = spark.createDataFrame(folders, "path STRING").repartition(n, "path")
-        out = out.unionByName(below.mapInPandas(_walk, schema))
-    return out
-
-
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Recursive file listing (path, length), hidden files included."""
-    return list_tree(spark, path).filter("not is_dir").select("path", "length")
-
-
 def _java_regex_literal(sep: str) -> str:
     special = set("\\^$.|?*+()[]{}")
     return "".join("\\" + ch if ch in special else ch for ch in sep)

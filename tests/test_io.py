@@ -113,6 +113,89 @@ def test_distcp_of_one_file_and_of_an_empty_tree(spark, scratch):
         distcp(spark, os.path.join(scratch, "absent"), none, os.path.join(scratch, "m3"))
 
 
+def test_distcp_by_ranges_survives_a_killed_task(spark, scratch, monkeypatch):
+    """One file in many ranges; a worker dies in the middle of a range on its
+    first try, and a commit is run twice."""
+    import random
+
+    from sparkwright.plans import filecopy
+    src, dst = os.path.join(scratch, "src"), os.path.join(scratch, "dst")
+    os.makedirs(src)
+    data = random.Random(1).randbytes(1_000_003)
+    for name, part in (("big", data), ("exact", data[:200_000]), ("none", b""), ("one", b"x")):
+        with open(os.path.join(src, name), "wb") as f:
+            f.write(part)
+    copy, commit = filecopy._copy_range, filecopy._commit
+    once = os.path.join(scratch, "died")
+
+    def dies_once(src, tmp, start, size, positional):
+        if start == 300_000 and not os.path.exists(once):
+            copy(src, tmp, start, size // 2, positional)
+            with open(once, "w"):
+                pass
+            raise OSError("killed")
+        return copy(src, tmp, start, size, positional)
+    monkeypatch.setattr(filecopy, "_copy_range", dies_once)
+    ran = filecopy._copier(True)
+    frames = []
+    ranges = filecopy.byte_ranges(spark.createDataFrame(
+        [(f"file://{src}/{n}", f"file://{dst}/{n}", os.path.getsize(f"{src}/{n}"), False)
+         for n in os.listdir(src)], "src string, dst string, length long, is_dir boolean"),
+        100_000, True, "id").toPandas()
+    assert sorted(ranges.groupby("dst").size()) == [1, 1, 2, 11]
+    frames = list(ran([ranges]))[0]
+    assert frames["error"].notna().sum() == 1  # that try failed; Spark runs the task again
+    assert not os.path.exists(f"{dst}/big")    # nothing under its name before the commit
+    again = list(ran([ranges]))[0]
+    assert again["error"].isna().all()
+    done = again.groupby(["src", "dst", "tmp", "is_dir", "length"], as_index=False).agg(
+        bytes=("bytes", "sum"), error=("error", "first"))
+    first, second = (list(commit([done]))[0] for _ in range(2))
+    assert first.equals(second) and set(first["status"]) == {"copied"}
+    for name in os.listdir(src):
+        with open(f"{src}/{name}", "rb") as a, open(f"{dst}/{name}", "rb") as b:
+            assert a.read() == b.read()
+    assert sorted(os.listdir(dst)) == sorted(os.listdir(src))
+
+    whole = os.path.join(scratch, "whole")
+    monkeypatch.setattr(filecopy, "_copy_range", copy)
+    rows = distcp(spark, src, whole, os.path.join(scratch, "m"), range_bytes=70_000).collect()
+    assert sorted(r.bytes for r in rows) == [0, 1, 200_000, 1_000_003]
+    assert {n: open(f"{whole}/{n}", "rb").read() for n in os.listdir(whole)} == \
+        {n: open(f"{src}/{n}", "rb").read() for n in os.listdir(src)}
+
+
+def test_listing_by_levels(spark, scratch, monkeypatch):
+    """A flat root, a chain deeper than a task's budget and times; the driver
+    lists nothing."""
+    import datetime as dt
+
+    import pyarrow.fs as pafs
+
+    from sparkwright.sources.listing import list_files, list_tree
+    want = {f"f{i}": i for i in range(300)}
+    chain = "/".join(f"c{i}" for i in range(25))
+    want |= {f"{chain}/end": 7, "c0/c1/.hidden": 3}
+    _write_files(scratch, {k: "x" * n for k, n in want.items()})
+    os.makedirs(os.path.join(scratch, "empty"))
+    stamp = dt.datetime(2020, 5, 17, 12, 30, 15, 250_000, tzinfo=dt.timezone.utc).timestamp()
+    os.utime(os.path.join(scratch, "f7"), (stamp, stamp))
+
+    def refuse(*a, **k):
+        raise AssertionError("listed on the driver")
+    monkeypatch.setattr(pafs, "FileSelector", refuse)
+    tree = list_tree(spark, scratch, tasks=3, budget=4).collect()
+    base = f"file://{scratch}/"
+    assert {r.path.removeprefix(base): r.length for r in tree if not r.is_dir} == want
+    assert len(tree) == len({r.path for r in tree})
+    assert {r.path.removeprefix(base) for r in tree if r.is_dir} == {"empty"} | {
+        "/".join(chain.split("/")[:i + 1]) for i in range(25)}
+    (f7,) = [r for r in list_files(spark, scratch).filter("path like '%/f7'").collect()]
+    assert f7.length == 7 and f7.modification_time.astimezone(dt.timezone.utc).timestamp() == stamp
+    (own,) = list_tree(spark, os.path.join(scratch, "f9")).collect()
+    assert own.length == 9 and own.path == base + "f9" and not own.is_dir
+
+
 def test_copy_plan_refuses_files_outside_the_root(spark):
     from sparkwright.plans.filecopy import plan_copy
     files = spark.createDataFrame([("file:///a/bc/x", 1, False)], "path string, length long, is_dir boolean")

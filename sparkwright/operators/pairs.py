@@ -1,9 +1,10 @@
 """Keyed-pair operators: join (J1, J6) and cogroup.
 
-A cogroup is one shuffle: the inputs are tagged, unioned and grouped once by
-(key, chunk). Null values and null keys are kept, an absent side gives an empty
-list, lists are sorted. ``collect.py`` says what the chunks are; the long form
-``cogroup_counts`` has no lists at all.
+In a cogroup the inputs are tagged, unioned and counted once by (key, side,
+value), and each key's values of a side are cut into pages. Row p of a key holds
+page p of every side. Null values and null keys are kept, an absent side gives
+an empty list, lists are sorted. ``collect.py`` says how pages are made without
+gathering a key; the long form ``cogroup_counts`` has no lists at all.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.operators.collect import CHUNKS, chunk_of, collect_counts, list_of
+from sparkwright.operators.collect import PAGE, collect_counts, list_of, paged_counts
 
 
 def pair_join(left: DataFrame, right: DataFrame, key: str = "k") -> DataFrame:
@@ -33,24 +34,26 @@ def _names(inputs: Sequence[DataFrame], names: Sequence[str] | None) -> list[str
 
 
 def cogroup(inputs: Sequence[DataFrame], key: str = "k", value: str = "v",
-            names: Sequence[str] | None = None, chunks: int = CHUNKS) -> DataFrame:
+            names: Sequence[str] | None = None, page: int = PAGE) -> DataFrame:
     """N-way cogroup of ``(key, value)`` inputs.
 
-    Output ``(key, chunk, <name_1>, ..., <name_n>)``, one sorted list per input.
+    Output ``(key, page, <name_1>, ..., <name_n>)``, one sorted list of at most
+    ``page`` values per input; with lists below that, one row per key.
     """
     names = _names(inputs, names)
+    values = [f"_v{j}" for j in range(len(names))]
     tagged = None
     for i, df in enumerate(inputs):
-        cols = [F.col(key).alias("_k"), F.lit(i).alias("_side"),
-                chunk_of(F.col(value), chunks).alias("chunk")]
-        cols += [(F.col(value) if i == j else F.lit(None)).alias(f"_v{j}")
-                 for j in range(len(names))]
-        part = df.select(*cols)
+        part = df.select(
+            F.col(key).alias("_k"), F.lit(i).alias("_side"), F.col(value).cast("string").alias("_t"),
+            *[(F.col(value) if i == j else F.lit(None)).alias(v) for j, v in enumerate(values)])
         tagged = part if tagged is None else tagged.unionByName(part)
-    lists = [list_of(F.col(f"_v{j}"), F.col("_side") == j).alias(name)
-             for j, name in enumerate(names)]
-    return (tagged.groupBy("_k", "chunk").agg(*lists)
-            .select(F.col("_k").alias(key), "chunk", *names))
+    counts = tagged.groupBy("_k", "_side", "_t", *values).agg(F.count(F.lit(1)).alias("n"))
+    dealt = paged_counts(counts, ["_k", "_side"], ["_t", *values], page, F.col("_t"))
+    lists = [list_of(F.col(v), F.col("n"), F.col("_side") == j).alias(name)
+             for j, (v, name) in enumerate(zip(values, names))]
+    return (dealt.groupBy("_k", "page").agg(*lists)
+            .select(F.col("_k").alias(key), "page", *names))
 
 
 def cogroup_counts(inputs: Sequence[DataFrame], key: str = "k", value: str = "v",

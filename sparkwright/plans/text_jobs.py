@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwright.functions.text import drop_final_empty, java_split_trimmed, trim_trailing
-from sparkwright.operators.collect import CHUNKS, collect_lists
+from sparkwright.operators.collect import PAGE, collect_lists
 
 
 def words_of_lines(lines: DataFrame, value_col: str = "value", *keep: str) -> DataFrame:
@@ -80,12 +80,12 @@ def inverted_index(files: DataFrame, file_col: str = "file_name",
     return counts.orderBy("word", "file") if sort else counts
 
 
-def posting_maps(index: DataFrame, chunks: int = CHUNKS) -> DataFrame:
-    """A11 map form: (word, chunk, postings MAP<file, cnt>).
+def posting_maps(index: DataFrame, page: int = PAGE) -> DataFrame:
+    """A11 map form: (word, page, postings MAP<file, cnt>).
 
-    A file's entry is in the chunk that its name hashes to, so a word has at
-    most ``chunks`` rows and the union of their maps is exact.
+    A word's files, in the order of their names' hash, are cut into pages of at
+    most ``page`` entries; the union of a word's maps is exact.
     """
-    collected = collect_lists(index, "word", F.struct("file", "cnt"), "entries", chunks,
-                              chunk_by=F.col("file"))
-    return collected.select("word", "chunk", F.map_from_entries("entries").alias("postings"))
+    collected = collect_lists(index, "word", F.struct("file", "cnt"), "entries", page,
+                              hash_by=F.col("entries.file"))
+    return collected.select("word", "page", F.map_from_entries("entries").alias("postings"))

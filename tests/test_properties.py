@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparkwright.operators.collect import collect_counts, collect_lists
+from sparkwright.operators.collect import collect_counts, collect_lists, paged_counts
 from sparkwright.operators.joins import broadcast_if_small, fits
 from sparkwright.operators.pairs import cogroup, cogroup_counts
 from sparkwright.operators.stats import crosstab, describe_typed, frequent_items
@@ -14,26 +14,41 @@ def _lists(rows, key):
     return sorted((v for r in rows if r.k == key for v in r.vs), key=lambda v: (v is not None, v))
 
 
-def test_hot_and_null_keys_are_spread_and_nothing_is_lost(spark):
+def test_hot_keys_and_hot_values_are_paged_and_nothing_is_lost(spark):
     hot = spark.range(0, 5000).select(F.lit("hot").alias("k"), F.col("id").alias("v"))
     null = spark.range(0, 5000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v"))
+    same = spark.range(0, 7001).select(F.lit("same").alias("k"), F.when(F.col("id") < 7000, 3).alias("v"))
     cold = spark.createDataFrame([("x", None), ("x", 1), ("x", 1), ("y", None)], "k string, v long")
-    rows = collect_lists(hot.unionByName(null).unionByName(cold), "k", F.col("v"), "vs",
-                         chunks=8).collect()
-    for key in ("hot", None):
-        own = [r for r in rows if r.k == key]
-        assert len(own) == 8 and max(len(r.vs) for r in own) < 1000
-        assert _lists(rows, key) == list(range(5000))
+    df = hot.unionByName(null).unionByName(same).unionByName(cold)
+    rows = collect_lists(df, "k", F.col("v"), "vs", page=600).collect()
+    for key, n in (("hot", 5000), (None, 5000), ("same", 7001)):
+        own = sorted((r for r in rows if r.k == key), key=lambda r: r.page)
+        assert [r.page for r in own] == list(range(-(-n // 600)))
+        assert [len(r.vs) for r in own] == [600] * (n // 600) + [n % 600]
+    assert _lists(rows, "hot") == _lists(rows, None) == list(range(5000))
+    assert _lists(rows, "same") == [None] + [3] * 7000
     assert _lists(rows, "x") == [None, 1, 1] and _lists(rows, "y") == [None]
+    assert collect_lists(df.limit(0), "k", F.col("v"), "vs").count() == 0
 
 
-def test_shape_is_the_same_at_every_size(spark):
-    few, many = (spark.range(0, n).select(F.lit("h").alias("k"), F.col("id").alias("v"))
-                 for n in (40, 4000))
-    a, b = ({r.chunk: set(r.vs) for r in collect_lists(x, "k", F.col("v"), "vs", chunks=4).collect()}
-            for x in (few, many))
-    assert set(a) == set(b) == {0, 1, 2, 3}
-    assert all(a[c] <= b[c] for c in a)  # a value's chunk doesn't depend on the others
+def test_a_hot_value_is_one_row_before_it_is_dealt_out(spark):
+    """No window or join sees the repeats of a value."""
+    df = spark.range(0, 9000).select(F.lit("h").alias("k"), F.lit(1).alias("v"))
+    counts = collect_counts(df, "k", F.col("v"), "v")
+    dealt = paged_counts(counts, "k", "v", 4000, F.col("v"))
+    assert sorted(map(tuple, dealt.collect())) == [("h", 0, 1, 4000), ("h", 1, 1, 4000), ("h", 2, 1, 1000)]
+
+
+@pytest.mark.parametrize("page", [1, 7, 100])
+def test_pages_follow_the_order_of_hashes(spark, page):
+    import hashlib
+    rows = [(k, v) for k in ("a", "b", None) for v in [*range(40), 5, 5, None, None]]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(5)
+    order = sorted([*range(40), 5, 5, None, None], key=lambda v: hashlib.md5(
+        ("" if v is None else str(v)).encode()).hexdigest()[:8])
+    got = {(r.k, r.page): r.vs for r in collect_lists(df, "k", F.col("v"), "vs", page=page).collect()}
+    assert got == {(k, p): sorted(order[p * page:(p + 1) * page], key=lambda v: (v is not None, v))
+                   for k in ("a", "b", None) for p in range(-(-len(order) // page))}
 
 
 def test_counts_are_the_form_without_lists(spark):
@@ -46,9 +61,9 @@ def test_counts_are_the_form_without_lists(spark):
 def test_cogroup_keeps_nulls_and_null_keys(spark):
     a = spark.createDataFrame([("x", None), ("x", 1), (None, 2), ("y", None)], "k string, v long")
     b = spark.createDataFrame([("x", 5), (None, None), ("z", 6)], "k string, v long")
-    got = {r.k: (r.l, r.r) for r in cogroup([a, b], names=["l", "r"], chunks=1).collect()}
+    got = {r.k: (r.l, r.r) for r in cogroup([a, b], names=["l", "r"]).collect()}
     assert got == {"x": ([None, 1], [5]), None: ([2], [None]), "y": ([None], []), "z": ([], [6])}
-    spread = cogroup([a, b], names=["l", "r"], chunks=8).collect()
+    spread = cogroup([a, b], names=["l", "r"], page=1).collect()
     for k, (left, right) in got.items():
         order = lambda v: (v is not None, v)
         assert sorted((x for r in spread if r.k == k for x in r.l), key=order) == left
@@ -61,7 +76,8 @@ def test_posting_maps(spark):
     idx = spark.createDataFrame([("w", "f1", 2), ("w", "f2", 1), ("z", "f1", 5)],
                                 "word string, file string, cnt long")
     got = {}
-    for r in posting_maps(idx).collect():
+    for r in posting_maps(idx, page=1).collect():
+        assert len(r.postings) == 1
         got.setdefault(r.word, {}).update(r.postings)
     assert got == {"w": {"f1": 2, "f2": 1}, "z": {"f1": 5}}
 

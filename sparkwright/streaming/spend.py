@@ -74,11 +74,11 @@ def start_report_stream(transactions: DataFrame, sink: KeyedUpsertSink, checkpoi
 
 def run_to_completion(spark: SparkSession, transactions: DataFrame, sink_path: str,
                       checkpoint: str, windowed: bool = False,
-                      interval: str | None = None) -> DataFrame:
+                      interval: str | None = None, buckets: int = 16) -> DataFrame:
     """Run the stream until the data present now is processed and return the
     resolved sink table. Default trigger ``availableNow``; with ``interval``
     a continuous ``processingTime`` tail (T5) that is drained, then stopped."""
-    sink = KeyedUpsertSink(sink_path, KEYS)
+    sink = KeyedUpsertSink(sink_path, KEYS, buckets)
     trigger = {"processingTime": interval} if interval else None
     query = start_report_stream(transactions, sink, checkpoint, trigger=trigger,
                                 windowed=windowed)
@@ -91,4 +91,4 @@ def run_to_completion(spark: SparkSession, transactions: DataFrame, sink_path: s
         query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return as_ntz(sink.resolve(spark))
+    return as_ntz(sink.resolve(spark, report(transactions).schema))

@@ -2,8 +2,11 @@
 the windowed form (T3) drops rows behind the watermark."""
 
 import datetime as dt
+import os
 import time
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkwright.session import scratch_path
@@ -66,14 +69,107 @@ def test_replayed_batch_is_idempotent(spark):
     from sparkwright.sinks.upsert import KeyedUpsertSink
     path = scratch_path(spark, "t-upsert")
     sink = KeyedUpsertSink(path, ["k"])
-    b0 = spark.createDataFrame([(1, 10), (2, 20)], "k long, v long")
+    b0 = spark.createDataFrame([(1, 10), (2, 20), (None, 30)], "k long, v long")
     b1 = spark.createDataFrame([(1, 11)], "k long, v long")
+    assert sink.resolve(spark, "k long, v long").count() == 0
     sink(b0, 0)
     sink(b1, 1)
     sink(b1, 1)  # replay after a failure
-    assert sorted(map(tuple, sink.resolve(spark).collect())) == [(1, 11), (2, 20)]
+    rows = lambda: sorted(map(str, map(tuple, sink.resolve(spark).collect())))
+    assert rows() == ["(1, 11)", "(2, 20)", "(None, 30)"]
     sink(spark.createDataFrame([(1, 12)], "k long, v long"), 2)  # writes go on after a read
-    assert sorted(map(tuple, sink.resolve(spark).collect())) == [(1, 12), (2, 20)]
+    sink(b0.limit(0), 3)
+    assert rows() == ["(1, 12)", "(2, 20)", "(None, 30)"]
+    with pytest.raises(ValueError, match="bucket"):
+        sink(b0.withColumn("Bucket", F.lit(1)), 4)
+
+
+def _files(path):
+    return sorted(os.path.join(d, f) for d, _, files in os.walk(path) for f in files
+                  if f.endswith(".parquet"))
+
+
+def test_a_batch_that_died_between_buckets_is_replaced(spark, monkeypatch):
+    """Some buckets of the batch are written, then the driver dies: readers see
+    the batch before, and the replay gives the whole batch."""
+    import shutil
+
+    from sparkwright.sinks import upsert
+    path = scratch_path(spark, "t-upsert")
+    sink = upsert.KeyedUpsertSink(path, ["k"], buckets=8)
+    sink(spark.range(100).select(F.col("id").alias("k"), F.lit(0).alias("v")), 0)
+    batch = spark.range(50, 150).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+
+    def dies(self, *a):
+        raise RuntimeError("killed")
+    with monkeypatch.context() as m:
+        m.setattr(upsert.KeyedUpsertSink, "_clean", dies)
+        with pytest.raises(RuntimeError):
+            sink(batch, 1)
+    # The whole batch lies there; take back its marker and half of its buckets.
+    shutil.rmtree(f"{path}/committed/batch=1")
+    for b in range(4):
+        shutil.rmtree(f"{path}/data/batch=1/bucket={b}")
+    assert {r.k: r.v for r in sink.resolve(spark).collect()} == dict.fromkeys(range(100), 0)
+    sink(batch, 1)
+    want = dict.fromkeys(range(50), 0) | dict.fromkeys(range(50, 150), 1)
+    assert {r.k: r.v for r in sink.resolve(spark).collect()} == want
+    # Died after the commit, before the cleaning: nothing is read twice, the next batch cleans.
+    with monkeypatch.context() as m:
+        m.setattr(upsert.KeyedUpsertSink, "_clean", dies)
+        with pytest.raises(RuntimeError):
+            sink(batch.withColumn("v", F.lit(2)), 2)
+    want |= dict.fromkeys(range(50, 150), 2)
+    assert {r.k: r.v for r in sink.resolve(spark).collect()} == want
+    sink(batch.filter("k = 60").withColumn("v", F.lit(3)), 3)
+    assert {r.k: r.v for r in sink.resolve(spark).collect()} == want | {60: 3}
+    assert len(_files(path)) <= 8 and sink.resolve(spark).count() == 150
+
+
+def test_a_hundred_batches_take_the_space_of_one(spark):
+    from sparkwright.sinks.upsert import KeyedUpsertSink
+    many, one = (scratch_path(spark, "t-upsert") for _ in range(2))
+    sink = KeyedUpsertSink(many, ["k"], buckets=4)
+    for n in range(100):
+        sink(spark.range(n % 7, n % 7 + 5).select(F.col("id").alias("k"), F.lit(n).alias("v")), n)
+    whole = sink.resolve(spark)
+    assert {r.k: r.v for r in whole.collect()} == {
+        k: max(n for n in range(100) if n % 7 <= k < n % 7 + 5) for k in range(11)}
+    KeyedUpsertSink(one, ["k"], buckets=4)(whole, 0)
+    sizes = [sum(map(os.path.getsize, _files(p))) for p in (many, one)]
+    assert len(_files(many)) == len(_files(one)) and sizes[0] <= 1.1 * sizes[1]
+    assert len(os.listdir(f"{many}/committed")) <= 5
+
+
+def test_changelog_folds_to_the_report_and_its_state_expires(spark):
+    from sparkwright.streaming.changelog import AFTER, BEFORE, INSERT, changes, fold, write_changes
+    root = scratch_path(spark, "t-src")
+    t = dt.datetime(2024, 1, 1, 10)
+    steps = [[(1, 100, t), (2, 50, t), (1, 1, t + dt.timedelta(minutes=9)), (None, 4, t)],
+             [(1, 7, t + dt.timedelta(minutes=20)), (3, None, t)],
+             [(1, 5, t + dt.timedelta(hours=5))],        # the watermark passes the first hour
+             [(1, 9, t + dt.timedelta(hours=5, minutes=1))],
+             [(1, 1000, t + dt.timedelta(minutes=30))]]  # behind it: dropped, no second insert
+    for i, rows in enumerate(steps):
+        _drop(spark, root, f"f{i}", rows)
+    src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+    ckpt = scratch_path(spark, "t-ckpt")
+    log = write_changes(spark, src.withWatermark("transaction_time", "1 hour"),
+                        scratch_path(spark, "t-log"), ckpt)
+    h0, h5 = t, t + dt.timedelta(hours=5)
+    got = Counter((r.account_id, r.log_ts, r.kind, r.amount) for r in log.collect())
+    assert got == Counter([
+        (1, h0, INSERT, 101), (2, h0, INSERT, 50), (None, h0, INSERT, 4), (1, h0, BEFORE, 101),
+        (1, h0, AFTER, 108), (3, h0, INSERT, 0), (1, h5, INSERT, 5), (1, h5, BEFORE, 5),
+        (1, h5, AFTER, 14)])
+    folded = {(r.account_id, r.log_ts): r.amount for r in fold(log).collect()}
+    in_time = report(spark.createDataFrame(sum(steps[:-1], []), SCHEMA))
+    assert folded == {(r.account_id, r.log_ts): r.amount or 0 for r in in_time.collect()}
+    # The first hour's four keys are gone from the state.
+    held = spark.read.format("statestore").option("path", ckpt).option(
+        "stateVarName", "total").load()
+    assert held.count() == 1
+    assert changes(src.withWatermark("transaction_time", "1 hour")).isStreaming
 
 
 def test_merge_sink_hands_over_one_row_per_key(spark):

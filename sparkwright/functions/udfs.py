@@ -5,6 +5,9 @@
 * U2 ``explode_json_array(s)``: JSON array string -> rows ``items``; native
   ``explode(from_json)``, plus a Python UDTF for the ``LATERAL`` SQL form.
 * U3 ``union_id_guard(s)``: null or empty returned as is, anything else null.
+
+``register_sql`` registers all three as SQL-language functions: Catalyst puts
+their bodies into the plan, so a call by name costs no Python worker.
 """
 
 from __future__ import annotations
@@ -68,6 +71,24 @@ def register_all(spark: SparkSession) -> None:
         ExplodeJsonArray, returnType="items string", useArrow=True))
 
 
+# Name, parameters and result, body. A malformed or null array fails the job.
+_SQL_FUNCTIONS = (
+    ("gt_five", "(x DOUBLE) RETURNS BOOLEAN", "x > 5"),
+    ("json_array_rows", "(s STRING) RETURNS TABLE(items STRING)",
+     "SELECT explode(coalesce(from_json(s, 'array<string>'), "
+     "raise_error(concat('not a JSON array: ', coalesce(s, 'null')))))"),
+    ("null_or_empty_guard", "(s STRING) RETURNS STRING",
+     "CASE WHEN s IS NULL OR length(s) = 0 THEN s END"),
+)
+
+
+def register_sql(spark: SparkSession) -> None:
+    """Register U1, U2 and U3 as temporary SQL functions: ``gt_five(x)``, the table
+    function ``json_array_rows(s)`` and ``null_or_empty_guard(s)``."""
+    for name, signature, body in _SQL_FUNCTIONS:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{signature} RETURN {body}")
+
+
 def json_items(df: DataFrame, col: str, keep: list[str] | None = None,
                lenient: bool = False) -> DataFrame:
     """U2 on a DataFrame: the ``keep`` columns plus ``items``."""

@@ -8,9 +8,11 @@ Sketch bytes are Spark's own; they are not read from other libraries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwright.sinks.upsert import KeyedUpsertSink
+
 LG_K = 13  # 2^13 registers (about 1% standard error), as in the reference
 
 
@@ -26,6 +28,34 @@ def daily_sketches(events: DataFrame, ts_col: str, user_col: str, lg_k: int = LG
     return sketch_by(events, F.to_date(ts_col), "visit_date", user_col, lg_k)
 
 
+class SketchTable:
+    """A stored ``visit_summaries`` table: one sketch per day, a folder per day.
+
+    ``load`` adds new events: their days' sketches are merged with the stored
+    ones and only those days are rewritten, so a load costs its own rows and
+    days however long the history is. Loads are numbered from 0 and committed
+    one by one; a load that is repeated after a crash is whole or not there, and
+    one that is already committed is skipped. Questions read sketches only. A
+    null time has no day and is left out; null users aren't counted.
+    """
+
+    def __init__(self, path: str, lg_k: int = LG_K):
+        self.lg_k = lg_k
+        self._sink = KeyedUpsertSink(path, ["visit_date"], F.unix_date("visit_date"))
+
+    def load(self, events: DataFrame, ts_col: str, user_col: str, number: int) -> None:
+        new = daily_sketches(events, ts_col, user_col, self.lg_k).filter("visit_date IS NOT NULL")
+        stored = self.read(events.sparkSession)
+        # New days only: the others' folders stay as they are.
+        before = stored.join(new.select("visit_date"), "visit_date", "left_semi")
+        merged = new.unionByName(before).groupBy("visit_date").agg(F.hll_union_agg("hll").alias("hll"))
+        self._sink(merged, number)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """(visit_date, hll)."""
+        return self._sink.resolve(spark, "visit_date DATE, hll BINARY")
+
+
 def estimate(df: DataFrame, value: str, lg_k: int = LG_K) -> DataFrame:
     """Build a sketch over all rows and read its cardinality."""
     return df.agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(value), lg_k)).alias("estimate"))

@@ -6,11 +6,13 @@ their cost is one scan and a shuffle of one partial row per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkwright.session import scratch_path
+
 
 def describe_typed(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
     """A13, typed: one row per column: (column, count, mean, stddev, min, max).
@@ -82,6 +84,58 @@ def frequent_items(df: DataFrame, col: str, support: float) -> DataFrame:
             .filter(F.col("cnt") >= total * F.lit(support)))
 
 
+def _counters(k: int):
+    """Misra-Gries over a task's rows: at most ``k`` counters between batches.
+    When there are more, all lose the size of the (k+1)-th largest."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lost, rows, kind = {}, 0, 0, None
+        for batch in batches:
+            kind, rows = batch.schema.field(0).type, rows + len(batch)
+            for pair in pc.value_counts(batch.column(0)).to_pylist():
+                held[pair["values"]] = held.get(pair["values"], 0) + pair["counts"]
+            if len(held) > k:
+                cut = sorted(held.values(), reverse=True)[k]
+                held = {v: n - cut for v, n in held.items() if n > cut}
+                lost += cut
+        if kind is not None:
+            values = [None, *held]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values, kind), pa.array([True] + [False] * len(held)),
+                 pa.array([rows, *held.values()], pa.int64()),
+                 pa.array([lost] + [0] * len(held), pa.int64())],
+                ["value", "is_total", "n", "lost"])
+    return run
+
+
+def heavy_hitters(df: DataFrame, col: str, support: float, slack: int = 4) -> DataFrame:
+    """A17 in one pass with bounds: (col, lower, upper) of every value that may
+    have at least ``support`` of all rows.
+
+    Each task summarises its rows in ``slack / support`` counters; the tasks'
+    summaries (bounded, written to the scratch folder) are added up. ``lower`` is
+    what was counted, ``upper`` adds what the tasks may have lost, at most
+    ``support / slack`` of all rows. So no frequent value is missing, and none
+    below ``support * (1 - 1 / slack)`` is returned. Null is a value. Floats that
+    compare equal must be identical. An empty input gives no rows.
+    """
+    if not 0 < support <= 1 or slack < 2:
+        raise ValueError("support must be above 0 and at most 1, slack at least 2")
+    kind = df.select(col).schema[0].dataType.simpleString()
+    path = scratch_path(df.sparkSession, "counters")
+    schema = f"value {kind}, is_total BOOLEAN, n BIGINT, lost BIGINT"
+    (df.select(F.col(col).alias("value")).mapInArrow(_counters(int(-(-slack // support))), schema)
+     .write.parquet(path))
+    parts = df.sparkSession.read.schema(schema).parquet(path)
+    totals = parts.filter("is_total").agg(F.sum("n").alias("rows"), F.sum("lost").alias("lost"))
+    found = parts.filter("not is_total").groupBy("value").agg(F.sum("n").alias("lower"))
+    upper = F.col("lower") + totals.select("lost").scalar()
+    return (found.select(F.col("value").alias(col), "lower", upper.alias("upper"))
+            .filter(F.col("upper") >= totals.select("rows").scalar() * F.lit(support)))
+
+
 def frequent_items_approx(df: DataFrame, cols: Sequence[str], support: float) -> DataFrame:
     """A17 as in the reference: Spark's one-pass ``freqItems`` (may include
     false positives, never misses a frequent item)."""

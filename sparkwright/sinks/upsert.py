@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,11 +52,11 @@ class KeyedUpsertSink:
     A batch has at most one row per key (an update-mode aggregate gives that);
     of more, one wins. ``buckets`` is fixed when the folder is new: choose it so
     that one bucket's rows suit one task, because a touched bucket is rewritten
-    whole. One folder belongs to one stream: batch ids count from its start, and
+    whole. It may also be a never-null integer expression over ``keys``. One folder belongs to one stream: batch ids count from its start, and
     a batch that is already committed is skipped.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], buckets: int = 16):
+    def __init__(self, path: str, keys: Sequence[str], buckets: int | Column = 16):
         self.path, self.keys, self.buckets = path.rstrip("/"), list(keys), buckets
 
     def _fs(self, spark: SparkSession):
@@ -90,7 +90,8 @@ class KeyedUpsertSink:
             raise ValueError("columns bucket and _new are the sink's own")
         if batch_id <= max(self._numbers(spark, f"{self.path}/committed", "batch="), default=-1):
             return  # a replay of a committed batch
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        bucket = (self.buckets if isinstance(self.buckets, Column) else
+                  F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets))).cast("int")
         staged = f"{self.path}/staged"
         batch.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(staged)
         touched, live = self._numbers(spark, staged, "bucket="), self._live(spark)

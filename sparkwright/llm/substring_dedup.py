@@ -13,10 +13,10 @@ are normalised (lower case, white space as one space) and hashed to 128 bits.
 Digests are grouped globally; the occurrence that ranks first (by doc_id, then
 text hash, then place) stays and all others go, with all their pieces.
 
-One scan emits narrow rows (digest, document, unit number), the first place of
+One scan emits narrow rows (digest, document, start and end), the first place of
 each digest is a partial aggregate, and only digests seen at least twice take
 part in the join that finds what to remove. Texts are shuffled once, to meet
-the list of their removed units.
+the offsets of their removed units; they are cut into pieces in the scan alone.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ MIN_WORDS = 8
 MIN_CHARS = 24
 #: A sentence of more words is cut at one place at least in every WINDOW words.
 LONG, WINDOW = 25, 12
-#: Numbers of line units start here, those of pieces at 0.
-LINE = 1 << 30
+#: An odd multiplier: the key of two words depends on their order.
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 _PIECE_END = re.compile(
     r"\n+|[.!?][^\w\s]*[ \t]+|[。！？｡؟۔।॥።။។]+[^\w\s]*[ \t]*|[ ](?=[^\W\d_a-zß-öø-ÿ])")
@@ -55,26 +55,32 @@ def tokens(text: str) -> list[str]:
     return low.split() if low.isascii() else _SOLE.sub(r" \g<0> ", low).split()
 
 
-def n_words(words: list[str]) -> float:
+def n_words(words: list[str], joined: str) -> float:
     """How many words; a character of a script without spaces is half of one."""
-    if all(map(str.isascii, words)):
+    if joined.isascii():
         return len(words)
     return len(words) - sum(1 for w in words if len(w) == 1 and _SOLE.match(w)) / 2
 
 
 def cuts(text: str, start: int, end: int) -> list[int]:
     """Offsets at which a long sentence is cut, by the words around alone."""
-    if text.count(" ", start, end) < LONG and text.isascii():
+    if end - start <= LONG:
         return []
-    found = [m for m in _TOKEN.finditer(text, start, end)]
+    part = text[start:end]
+    if (part.isascii() or not _SOLE.search(part)) and len(part.split()) <= LONG:
+        return []
+    found = list(_TOKEN.finditer(part))
     if len(found) <= LONG:
         return []
-    words = [m.group().lower() for m in found]
-    keys = np.array([xxhash.xxh64_intdigest(f"{v} {w}") for v, w in zip(words, words[1:])], np.uint64)
-    windows = np.lib.stride_tricks.sliding_window_view(keys, WINDOW)
+    one = np.array([xxhash.xxh64_intdigest(m.group().lower()) for m in found], np.uint64)
+    keys = one[:-1] * _PAIR ^ one[1:]
+    if len(keys) > 4096:  # a view; for the usual few, gathering them is quicker
+        windows = np.lib.stride_tricks.sliding_window_view(keys, WINDOW)[:, ::-1]
+    else:
+        windows = keys[np.arange(WINDOW - 1, -1, -1) + np.arange(len(keys) - WINDOW + 1)[:, None]]
     # Of equal smallest hashes the last counts.
-    least = np.arange(len(windows)) + WINDOW - 1 - np.argmin(windows[:, ::-1], axis=1)
-    return [found[i].start() for i in np.unique(least) if i]
+    least = np.arange(len(windows)) + WINDOW - 1 - windows.argmin(1)
+    return [start + found[i].start() for i in sorted(set(least.tolist())) if i]
 
 
 def pieces(text: str) -> list[tuple[int, int]]:
@@ -98,71 +104,63 @@ def pieces(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def units(text: str, min_words: int) -> list[tuple[int, int, list[str]]]:
-    """(first piece, end piece, normalised words) of each unit. A piece without
-    words starts none, and neither do the last pieces if they fall short."""
-    words = [tokens(text[a:b]) for a, b in pieces(text)]
-    size = [n_words(ws) for ws in words]
-    out, end, total = [], 0, 0
-    for first, own in enumerate(words):
-        while total < min_words and end < len(words):
+def units(text: str, min_words: int) -> Iterator[tuple[int, int, str]]:
+    """(start, end, normalised words) of each unit. A piece without words starts
+    none, and neither do the last pieces if they fall short."""
+    places, norm, size = pieces(text), [], []
+    for a, b in places:
+        words = tokens(text[a:b])
+        norm.append(" ".join(words))
+        size.append(n_words(words, norm[-1]))
+    end, total = 0, 0
+    for first, own in enumerate(norm):
+        while total < min_words and end < len(norm):
             total += size[end]
             end += 1
         if total < min_words:
             break
         if own:
-            out.append((first, end, [w for ws in words[first:end] for w in ws]))
+            yield (places[first][0], places[end - 1][1],
+                   own if end == first + 1 else " ".join(filter(None, norm[first:end])))
         total -= size[first]
-    return out
 
 
-def lines(text: str) -> Iterator[tuple[int, int, int, str]]:
-    """(unit, start, end, normalised text) of each line of enough characters."""
-    for k, m in enumerate(_LINE.finditer(text)):
+def lines(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, normalised text) of each line of enough characters."""
+    for m in _LINE.finditer(text):
         line = " ".join(m.group().lower().split())
         if len(line) >= MIN_CHARS:
-            yield LINE + k, m.start(), m.end(), line
-
-
-def _digests(text: str, min_words: int) -> Iterator[tuple[int, int, int]]:
-    """(first piece or line number, high, low) of each unit."""
-    for k, _, _, line in lines(text):
-        # Apart from the pieces: a line of one piece would repeat it.
-        d = xxhash.xxh3_128_intdigest(("\n" + line).encode("utf-8", "replace"))
-        yield k, d >> 64, d & 0xFFFFFFFFFFFFFFFF
-    for first, _, words in units(text, min_words):
-        d = xxhash.xxh3_128_intdigest(" ".join(words).encode("utf-8", "replace"))
-        yield first, d >> 64, d & 0xFFFFFFFFFFFFFFFF
+            yield m.start(), m.end(), line
 
 
 def _unit_rows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            row, unit, high, low = [], [], [], []
+            row, starts, ends, digests = [], [], [], []
+
+            def add(i: int, start: int, end: int, key: str) -> None:
+                row.append(i)
+                starts.append(start)
+                ends.append(end)
+                digests.append(xxhash.xxh3_128_digest(key.encode("utf-8", "replace")))
             for i, t in enumerate(b.column("text").to_pylist()):
-                for k, h, l in _digests(t or "", min_words):
-                    row.append(i)
-                    unit.append(k)
-                    high.append(h)
-                    low.append(l)
+                for start, end, line in lines(t or ""):
+                    # Apart from the pieces: a line of one piece would repeat it.
+                    add(i, start, end, "\n" + line)
+                for start, end, words in units(t or "", min_words):
+                    add(i, start, end, words)
             take = pa.array(row, pa.int64())
+            halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(take), b.column("text_hash").take(take),
-                 pa.array(unit, pa.int32()),
-                 pa.array(np.array(high, np.uint64).view(np.int64)),
-                 pa.array(np.array(low, np.uint64).view(np.int64))],
-                names=["doc_id", "text_hash", "unit", "high", "low"])
+                 pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
+                 pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+                names=["doc_id", "text_hash", "start", "end", "high", "low"])
     return run
 
 
-def removed_spans(text: str, gone: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Merged (start, end) spans of the units that start at the pieces, or are
-    the lines, of ``gone``."""
-    every, cut = pieces(text), set(gone)
-    found = [(every[first][0], every[end - 1][1])
-             for first, end, _ in units(text, min_words) if first in cut]
-    if max(cut, default=0) >= LINE:
-        found += [(a, b) for k, a, b, _ in lines(text) if k in cut]
+def merged_spans(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that ``found`` cover together, in order."""
     spans: list[list[int]] = []
     for a, b in sorted(found):
         if spans and spans[-1][1] >= a:
@@ -172,45 +170,41 @@ def removed_spans(text: str, gone: list[int], min_words: int) -> list[tuple[int,
     return [(a, b) for a, b in spans]
 
 
-def _cut_rows(min_words: int):
+def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spans, texts = [], []
-            gone = b.column("_gone").to_pylist()
-            for i, g in enumerate(gone):
-                t = b.column("_text")[i].as_py()
-                found = removed_spans(t, g, min_words) if t and g else []
-                if found:
-                    kept, at = [], 0
-                    for a, e in found:
-                        kept.append(t[at:a])
-                        at = e
-                    kept.append(t[at:])
-                    t = "".join(kept)
-                spans.append([{"start": a, "end": e} for a, e in found])
-                texts.append(t)
-            rest = [n for n in b.schema.names if n != "_gone"]
-            columns = [pa.array(texts, pa.string()) if n == "_text" else b.column(n) for n in rest]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, span)],
-                                             names=[*rest, "_spans"])
-    return run
+    for b in batches:
+        spans, texts = [], b.column("_text")
+        changed = {}
+        for i, gone in enumerate(b.column("_gone").to_pylist()):
+            found = merged_spans([(g["start"], g["end"]) for g in gone or ()])
+            if found:
+                t, kept, at = texts[i].as_py(), [], 0
+                for a, e in found:
+                    kept.append(t[at:a])
+                    at = e
+                changed[i] = "".join([*kept, t[at:]])
+            spans.append([{"start": a, "end": e} for a, e in found])
+        if changed:
+            texts = pa.array([changed[i] if i in changed else t
+                              for i, t in enumerate(texts.to_pylist())], pa.string())
+        rest = [n for n in b.schema.names if n != "_gone"]
+        columns = [texts if n == "_text" else b.column(n) for n in rest]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, span)], names=[*rest, "_spans"])
 
 
 def duplicate_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, unit) of every unit that repeats an earlier one."""
+    """(doc_id, text_hash, start, end) of every unit that repeats an earlier one."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     found = materialise(rows.mapInArrow(
         _unit_rows(min_words),
-        f"doc_id {id_type}, text_hash long, unit int, high long, low long"), "units")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "unit")
+        f"doc_id {id_type}, text_hash long, start int, end int, high long, low long"), "units")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
     repeated = materialise(
         found.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter(F.col("first") != F.col("last")).select("high", "low", "first"), "repeated-units")
     return (found.join(repeated, ["high", "low"]).filter(place != F.col("first"))
-            .select("doc_id", "text_hash", "unit"))
+            .select("doc_id", "text_hash", "start", "end"))
 
 
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -219,13 +213,14 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A document is known by doc_id and text, so rows that repeat both are one
     document and stay alike. A null doc_id ranks last. Null and empty texts stay
-    as they are. A text made of repeats only becomes empty. If the input has a
-    column ``removed_spans`` the new one gets a leading underscore.
+    as they are, very long ones are read whole, and an empty table gives no rows.
+    A text made of repeats only becomes empty. If the input has a column
+    ``removed_spans`` the new one gets a leading underscore.
     """
     names = docs.columns
     gone = materialise(
         duplicate_units(docs, min_words).distinct().groupBy("doc_id", "text_hash")
-        .agg(F.collect_list("unit").alias("_gone"))
+        .agg(F.collect_list(F.struct("start", "end")).alias("_gone"))
         .select(F.col("doc_id").alias("_gid"), F.col("text_hash").alias("_ghash"), "_gone"),
         "removed-units")
     keyed = docs.select(*[F.col(c).alias("_text" if c == "text" else f"c{i}")
@@ -237,7 +232,7 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
               .drop("_gid", "_ghash", "_id", "_hash"))
     fields = [f for f in joined.schema if f.name != "_gone"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    out = joined.mapInArrow(_cut_rows(min_words), f"{schema}, _spans array<struct<start:int,end:int>>")
+    out = joined.mapInArrow(_cut_rows, f"{schema}, _spans array<struct<start:int,end:int>>")
     spans = "removed_spans"
     while spans in names:
         spans = "_" + spans

@@ -1,5 +1,7 @@
 """Substring dedup against a plain one-process version."""
 
+import random
+
 import numpy as np
 import xxhash
 from pyspark.sql import functions as F
@@ -12,30 +14,126 @@ def text_hash(t):
                                              np.uint64).view(np.int64)[0])
 
 
+def alone(c):
+    """A character of a script without spaces."""
+    p = ord(c)
+    return any(a <= p <= b for a, b in (
+        (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF),
+        (0xF900, 0xFAFF), (0x20000, 0x3FFFF)))
+
+
+def plain_tokens(text):
+    """[(start, word)] of a text, character by character."""
+    out, at = [], None
+    for i, c in enumerate(text + " "):
+        if at is not None and (c.isspace() or alone(c)):
+            out.append((at, text[at:i]))
+            at = None
+        if i < len(text) and alone(c):
+            out.append((i, c))
+        elif i < len(text) and not c.isspace() and at is None:
+            at = i
+    return out
+
+
+def plain_ends(text):
+    """Offsets behind line ends, sentence ends and blanks before a capital."""
+    ends, i, n = [], 0, len(text)
+
+    def run(j, ok):
+        while j < n and ok(text[j]):
+            j += 1
+        return j
+    mark = lambda c: not (c.isalnum() or c == "_" or c.isspace())
+    while i < n:
+        end = None
+        if text[i] == "\n":
+            end = run(i, "\n".__eq__)
+        elif text[i] in ".!?":
+            stop = run(i + 1, mark)
+            end = run(stop, " \t".__contains__)
+            end = end if end > stop else None
+        elif text[i] in "。！？｡؟۔।॥።။":
+            end = run(run(i, mark), " \t".__contains__)
+        elif text[i] == " " and i + 1 < n and text[i + 1].isupper() and text[i + 1].isalnum():
+            end = i + 1
+        if end:
+            ends.append(end)
+        i = end or i + 1
+    return ends
+
+
+def plain_pieces(text):
+    out, start = [], 0
+    for end in [*plain_ends(text), len(text)]:
+        if end <= start:
+            continue
+        words = plain_tokens(text[start:end])
+        places = set()
+        if len(words) > 25:
+            one = [xxhash.xxh64_intdigest(w.lower()) for _, w in words]
+            keys = [(a * 0x9E3779B97F4A7C15 % 2 ** 64) ^ b for a, b in zip(one, one[1:])]
+            for k in range(len(keys) - 11):  # the last of the smallest of 12
+                least = min(keys[k:k + 12])
+                places.add(max(j for j in range(k, k + 12) if keys[j] == least))
+        for j in sorted(places):
+            if j:
+                out.append((start, start + words[j][0]) if not out or out[-1][1] <= start
+                           else (out[-1][1], start + words[j][0]))
+        out.append((max(start, out[-1][1] if out else 0), end))
+        start = end
+    return out
+
+
+def plain_units(text, min_words):
+    """(start, end, key) of every unit: whole lines, and pieces with their followers."""
+    out, at = [], 0
+    while at < len(text):  # lines with the newlines behind them
+        end = at
+        while end < len(text) and text[end] != "\n":
+            end += 1
+        stop = end
+        while stop < len(text) and text[stop] == "\n":
+            stop += 1
+        words = " ".join(text[at:end].lower().split())
+        if end > at and len(words) >= 24:
+            out.append((at, stop, ("line", words)))
+        at = stop
+    parts = plain_pieces(text)
+    words = [[w for _, w in plain_tokens(text[a:b].lower())] for a, b in parts]
+    count = [sum(0.5 if len(w) == 1 and alone(w) else 1 for w in ws) for ws in words]
+    for k in range(len(parts)):
+        end = k
+        while end < len(parts) and sum(count[k:end]) < min_words:
+            end += 1
+        if words[k] and sum(count[k:end]) >= min_words:
+            out.append((parts[k][0], parts[end - 1][1], ("piece", " ".join(sum(words[k:end], [])))))
+    return out
+
+
 def plain(rows, min_words):
-    seen, places = {}, []
-    for i, t in rows:
-        parts = [(t or "")[a:b].lower().split() for a, b in sd.pieces(t or "")]
-        for k, own in enumerate(parts):
-            words, end = [], k
-            while len(words) < min_words and end < len(parts):
-                words += parts[end]
-                end += 1
-            if own and len(words) >= min_words:
-                place = (i is None, i or 0, text_hash(t), k)
-                key = tuple(words)
-                seen[key] = min(seen.get(key, place), place)
-                places.append((i, t, k, place, key))
-    gone = {}
-    for i, t, k, place, key in places:
-        if place != seen[key]:
-            gone.setdefault((i, t), []).append(k)
+    """By the definition: the first occurrence of a unit by (doc_id, text hash,
+    place) stays; keys are compared as strings."""
+    seen, found = {}, {}
+    for i, t in set(rows):
+        found[i, t] = plain_units(t or "", min_words)
+        for start, _, key in found[i, t]:
+            place = (i is None, i or 0, text_hash(t), start)
+            seen[key] = min(seen.get(key, place), place)
     out = []
     for i, t in rows:
-        spans = sd.removed_spans(t, gone.get((i, t), []), min_words) if t else []
-        kept = t
-        for a, b in reversed(spans):
-            kept = kept[:a] + kept[b:]
+        gone = [False] * len(t or "")
+        for start, end, key in found[i, t]:
+            if (i is None, i or 0, text_hash(t), start) != seen[key]:
+                gone[start:end] = [True] * (end - start)
+        spans, kept = [], t
+        for k, g in enumerate(gone):
+            if g and spans and spans[-1][1] == k:
+                spans[-1] = (spans[-1][0], k + 1)
+            elif g:
+                spans.append((k, k + 1))
+        if spans:
+            kept = "".join(c for c, g in zip(t, gone) if not g)
         out.append((str(i), str(kept), str(spans)))
     return sorted(out)
 
@@ -49,6 +147,20 @@ def test_pieces_tile_the_text():
     assert sd.pieces("") == []
 
 
+def test_pieces_and_units_equal_the_plain_ones():
+    rng = random.Random(5)
+    bits = ["a", "bé", "Ünd", "ß", "Ⅷ", "Ⓐ", "x_1", "9", ".", "!", "?\"", "。", "॥", "\n", "\n\n", " ", " ", " ",
+            "  ", "\t", "中", "文字", "ไทย", ".\u00a0", "İ", "\x1c", "% ", "It", "longword"]
+    for n in [*range(0, 60, 3), 400, 3000]:
+        text = "".join(rng.choices(bits, k=n))
+        assert sd.pieces(text) == plain_pieces(text)
+        got = [(a, b, ("line", w)) for a, b, w in sd.lines(text)]
+        got += [(a, b, ("piece", w)) for a, b, w in sd.units(text, 8)]
+        assert got == plain_units(text, 8)
+    long = " ".join(f"w{rng.randrange(300)}" for _ in range(9000))
+    assert sd.pieces(long) == plain_pieces(long)
+
+
 def test_equals_plain_version(spark):
     passage = " ".join(f"Start {j} of a sentence that has ten words in it, end." for j in range(6))
     rows = [(3, f"own words here before {passage} and after it all"), (1, f"other beginning {passage}"),
@@ -56,7 +168,7 @@ def test_equals_plain_version(spark):
             (None, passage), (None, None), (5, None), (4, ""), (6, "short one. " * 50),
             (7, "UPPER and  lower case are the SAME line here\nand this is another line of text"),
             (8, "upper and lower\tcase are the same line here\nnothing else"),
-            (9, "x " * 100_000 + "\n" + passage)]
+            (9, "x " * 3_000 + "\n" + passage)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("unit", F.lit(1)) \
         .withColumn("removed_spans", F.lit("clash"))
     got = sd.substring_dedup(df).collect()
@@ -69,8 +181,9 @@ def test_equals_plain_version(spark):
 
 def test_short_pieces_count_with_their_followers():
     t = "Own. One two. Three. Four five six. Seven eight nine. Ten."
-    assert [(a, b, len(w)) for a, b, w in sd.units(t, 8)] == [
-        (0, 5, 10), (1, 5, 9), (2, 6, 8)]
+    assert [t[a:b] for a, b, _ in sd.units(t, 8)] == [
+        "Own. One two. Three. Four five six. Seven eight nine. ",
+        "One two. Three. Four five six. Seven eight nine. ", "Three. Four five six. Seven eight nine. Ten."]
     passage = " ".join(f"Part {'abcdefghijkl'[j]} of it." for j in range(12))
     rows = [(1, f"First text says this and that: {passage} Bye."), (2, f"another beginning {passage} The end.")]
     kept = {i: t for i, t, _ in plain(rows, 8)}

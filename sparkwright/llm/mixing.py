@@ -55,20 +55,22 @@ def water_fill(sources: DataFrame, total: Column, max_epochs: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3,
-        seed: str = SEED) -> DataFrame:
+        seed: str = SEED, keep: Sequence[str] = ()) -> DataFrame:
     """One row per document: doc_id, source, text_hash, size, source_size,
-    target, repeats, taken.
+    target, repeats, taken, and the columns ``keep``.
 
     ``size`` counts words; null and empty texts have 0. Sources rank by code
     point, a null source last as a source of its own; weights repeat over the
     ranks. ``taken`` = size * repeats. Repeated rows are separate documents;
     equal doc_ids in one source follow each other by size and text hash, so
-    reruns agree. The input's other columns are not read.
+    reruns agree. A source without words has target 0; its documents cost no
+    words and appear once. Very long texts are counted whole; an empty table gives no rows.
+    The input's other columns are not read.
     """
     rows = materialise(docs.select(
         "doc_id", "source", null_key("source").alias("source_key"), n_words(F.col("text")).alias("size"),
         F.xxhash64("text").alias("text_hash"),
-        keyed_hash(seed, F.col("doc_id")).alias("_h")), "mix-sizes")
+        keyed_hash(seed, F.col("doc_id")).alias("_h"), *keep), "mix-sizes")
     ranges = rows.groupBy("source_key", F.shiftright("_h", RANGE_SHIFT).alias("_range")).agg(
         F.min("source").alias("source"), F.sum("size").alias("_range_size"))
     ranges = materialise(ranges, "mix-ranges")
@@ -81,7 +83,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3
     filled = water_fill(sources, F.sum("source_size").over(Window.partitionBy()), max_epochs)
     filled = filled.select(
         "source_key", "source_size", "target",
-        F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).alias("whole"))
+        F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).alias("whole"))
     ahead = Window.partitionBy("source_key").orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1)
     starts = (ranges.select("source_key", "_range", F.coalesce(
@@ -99,27 +101,27 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3
                 .otherwise(0)).cast("long"))
             .withColumn("taken", F.col("size") * F.col("repeats"))
             .select("doc_id", "source", "text_hash", "size", "source_size", "target", "repeats",
-                    "taken"))
+                    "taken", *keep))
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3,
                     seed: str = SEED) -> DataFrame:
     """``docs`` with each document as often as ``mix`` repeats it (not at all
-    for 0). All columns are kept. Rows that repeat doc_id, source and text each
-    get the most repeats of any of them."""
-    plan = materialise(
-        mix(docs, weights, max_epochs, seed)
-        .groupBy(F.col("doc_id").alias("_mid"), null_key("source").alias("_msource"),
-                 F.col("text_hash").alias("_mhash"))
-        .agg(F.max("repeats").cast("int").alias("_repeats")).filter("_repeats > 0"), "mix-plan")
+    for 0), a document's copies next to each other. All columns are kept. Repeated
+    rows are documents of their own: rows get numbers, by which they meet their
+    repeats, so no group of equal rows meets in a task.
+    """
     names = docs.columns
-    keyed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
-                        F.col("doc_id").alias("_id"), null_key("source").alias("_source"),
-                        F.xxhash64("text").alias("_hash"))
+    keyed = materialise(docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)],
+                                    F.monotonically_increasing_id().alias("_row")), "mix-rows")
+    numbered = keyed.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)
+                              if c in ("doc_id", "source", "text")], "_row")
+    plan = materialise(
+        mix(numbered, weights, max_epochs, seed, keep=["_row"])
+        .filter("repeats > 0").select("_row", F.col("repeats").cast("int").alias("_repeats")),
+        "mix-plan")
     # The narrow side is hashed, so texts aren't sorted for the join.
-    taken = keyed.join(plan.hint("shuffle_hash"), F.col("_id").eqNullSafe(F.col("_mid"))
-                       & (F.col("_source") == F.col("_msource"))
-                       & (F.col("_hash") == F.col("_mhash")))
+    taken = keyed.join(plan.hint("shuffle_hash"), "_row")
     return (taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats"))))
             .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]))
 
@@ -144,7 +146,7 @@ t AS (
   FROM lv),
 r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
-         coalesce(floor(t.target / t.source_size), 0)::BIGINT AS whole,
+         coalesce(floor(t.target / nullif(t.source_size, 0)), 0)::BIGINT AS whole,
          sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id, d.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)

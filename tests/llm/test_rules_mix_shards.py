@@ -130,17 +130,37 @@ def test_mix(docs):
 
 
 def test_mixed_documents(docs):
-    plan = defaultdict(int)
+    """Each row as often as the mix says, repeated rows one by one."""
+    plan = Counter()
     for r in mixing.mix(docs).collect():
-        key = (r.doc_id, r.source, r.text_hash)
-        plan[key] = max(plan[key], r.repeats)
+        plan[(r.doc_id, r.source, r.text_hash)] += r.repeats
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
     many = Counter((r.doc_id, r.source, r.h) for r in
                    out.withColumn("h", F.xxhash64("text")).collect())
-    rows_of = Counter((r.doc_id, r.source, r.h) for r in
-                      docs.withColumn("h", F.xxhash64("text")).collect())
-    assert many == Counter({k: n * rows_of[k] for k, n in plan.items() if n})
+    assert many == Counter({k: n for k, n in plan.items() if n})
+
+
+@pytest.mark.parametrize("data", [
+    [(1, "a b c", "x"), (2, "", "y"), (3, None, "y"), (4, "d e", "z")],
+    [(1, "", "x"), (2, None, "x"), (None, " \n", None)]])
+def test_mix_with_sources_without_words(spark, data):
+    df = spark.createDataFrame(data, SCHEMA)
+    got = mixing.mix(df).collect()
+    size, of, target = plain_mix(data)
+    assert len(got) == len(data)
+    for r in got:
+        assert r.target == pytest.approx(target[r.source]) and r.taken == r.size * r.repeats
+        assert of[r.source] or (r.repeats, r.taken, r.target) == (1, 0, 0)
+    assert mixing.mixed_documents(df).count() == sum(r.repeats for r in got)
+
+
+def test_the_query_of_a_table_without_words(spark, scratch):
+    import __spark_entry__ as ent
+    spark.createDataFrame([(1, "", "x", None), (2, None, "y", 3)], SCHEMA + ", n_chars long").write.parquet(
+        f"{scratch}/documents.parquet")
+    assert sorted(map(tuple, ent.queries()["op3_mixing"](spark, scratch).collect())) == [
+        (1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
 
 
 @pytest.mark.parametrize("n", [1, 4, 24])

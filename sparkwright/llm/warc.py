@@ -39,6 +39,8 @@ SHARDS, LEAST_SHARD, MOST_SHARD = 4096, 4 << 20, 1 << 30
 ROLL_BYTES = 256 << 20
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Compressed bytes of archives for one reading task.
+READ_BYTES = 128 << 20
 _CHUNK = 1 << 20
 
 
@@ -296,13 +298,17 @@ def _read_archives(out: str, id_type: pa.DataType):
 def read_warc(spark: SparkSession, out: str, id_type: str = "bigint") -> DataFrame:
     """The records of all archives in the manifest under ``out``: page_id, url,
     record_type, payload_bytes, payload_digest, refers_to. Every record's
-    lengths and digests are checked."""
+    lengths and digests are checked. Archives are dealt out to tasks of about
+    READ_BYTES compressed bytes."""
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
     out = qualified(spark, out)
     manifest = spark.read.schema(_MANIFEST).parquet(f"{out}/_manifest")
     arrow_type = to_arrow_type(_parse_datatype_string(id_type))
-    return (manifest.repartition("file").select("file").mapInArrow(
+    files, total = manifest.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(min(files, spark.sparkContext.defaultParallelism), -(-total // READ_BYTES), 1)
+    # A named number: by size alone AQE would make one task of the manifest's few bytes.
+    return (manifest.repartition(tasks, "file").select("file").mapInArrow(
         _read_archives(out, arrow_type),
         f"page_id {id_type}, url string, record_type string, payload_bytes long,"
         f" payload_digest string, refers_to {id_type}"))

@@ -77,6 +77,18 @@ def test_same_archives_whatever_the_partitions(spark, scratch, monkeypatch):
     assert made[0] == made[1]
 
 
+def test_archives_are_read_by_many_tasks(spark, scratch):
+    """The manifest is a few bytes; its archives are dealt out all the same."""
+    df = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"),
+                                 F.repeat(F.sha2(F.col("id").cast("string"), 256), 40).alias("html"))
+    manifest = warc.write_warc(df, scratch, roll_bytes=4000)
+    assert manifest.count() > 20
+    read = warc.read_warc(spark, scratch)
+    assert read.count() == 400
+    at_work = read.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert at_work > min(4, spark.sparkContext.defaultParallelism - 1)
+
+
 def test_broken_records_raise():
     r = warc.make_record(1, "u", b"abc", sha("abc"), 0, None)
     assert warc.parse_record(r)["payload"] == b"abc"

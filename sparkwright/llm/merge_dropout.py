@@ -247,24 +247,28 @@ def _merges(model: bytes) -> Merges:
     return _LOADED[key]
 
 
-def document_key(seed: int, doc_id) -> int:
-    return xxhash.xxh64_intdigest(f"{seed}:{doc_id}".encode())
+def document_key(seed: int, doc_id, copy: int = 0) -> int:
+    return xxhash.xxh64_intdigest(f"{seed}:{doc_id}{f':{copy}' if copy else ''}".encode())
 
 
 def _encode_rows(model, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _merges(model.value)
+        before, copy = None, 0
         for b in batches:
             ids, texts = b.column("_id").to_pylist(), b.column("text")
             at = 0
             while at < b.num_rows:
-                some, chars, to = [], 0, at
+                some, keys, chars, to = [], [], 0, at
                 while to < b.num_rows and (to == at or chars < TOGETHER):
                     some.append(texts[to].as_py())
+                    row = (ids[to], some[-1])
+                    copy = copy + 1 if row == before else 0
+                    before = row
+                    keys.append(document_key(seed, ids[to], copy))
                     chars += len(some[-1] or "")
                     to += 1
-                got = encode(m, [t or "" for t in some],
-                             [document_key(seed, i) for i in ids[at:to]], rate)
+                got = encode(m, [t or "" for t in some], keys, rate)
                 exact = [t is None or decode(m, g.tolist()) == t for t, g in zip(some, got)]
                 ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(
@@ -284,9 +288,11 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, rate: float = RAT
 
     ``model_path`` names the model on the driver; its bytes (half a megabyte)
     are broadcast. ``lossless`` is whether decoding the tokens gives back the
-    text; null and empty texts have no tokens and count as lossless. Rows with
-    equal doc_id and text (repeated rows, null ids too) get equal tokens. Other
-    columns are not read.
+    text; null and empty texts have no tokens and count as lossless. Of rows with
+    equal doc_id and text (null ids too) that follow each other in a partition, as
+    the copies of a mix do, each gets a segmentation of its own, by its number;
+    apart from each other they get equal tokens. Very long texts are encoded
+    whole; an empty table gives no rows. Other columns are not read.
     """
     _limit(rate)
     with open(model_path, "rb") as f:

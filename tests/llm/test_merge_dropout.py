@@ -98,3 +98,15 @@ def test_documents(spark):
     back = sorted(map(str, md.decode_documents(spark.createDataFrame(got)).collect()))
     assert back == sorted(str(r) for r in df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect())
     assert md.encode_documents(df.limit(0)).count() == 0
+
+
+def test_copies_that_follow_each_other_differ(spark):
+    """A mix's copies get segmentations of their own, and all decode."""
+    text = " ".join(f"international documentation number {i}" for i in range(30))
+    rows = [(1, text)] * 3 + [(2, text), (1, text), (None, text), (None, text), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = md.encode_documents(df).collect()
+    assert [r.doc_id for r in got] == [i for i, _ in rows] and all(r.lossless for r in got)
+    tokens = [tuple(r.tokens) for r in got]
+    assert len({tokens[0], tokens[1], tokens[2], tokens[3]}) == 4
+    assert tokens[4] == tokens[0] and tokens[5] != tokens[6]

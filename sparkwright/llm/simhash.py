@@ -208,7 +208,12 @@ def fingerprint_links(fps: DataFrame, max_bits: int, key_bytes: int = 3,
                       list_max: int = LIST_MAX) -> DataFrame:
     """(a, b) over distinct fingerprints ``fp``: pairs with the same connected
     components as all pairs at most ``max_bits`` bits apart. Each member of a
-    connected part of a list is paired with the part's smallest only."""
+    connected part of a list is paired with the part's smallest only.
+
+    Odd limits above 3 are refused: lists that are too long to compare are joined
+    through common midpoints, which an odd distance doesn't have at its half."""
+    if max_bits > 3 and max_bits % 2:
+        raise ValueError("max_bits must be at most 3 or even")
     sets = position_sets(max_bits, key_bytes)
     found = materialise(
         _postings(fps, sets).repartition("key").sortWithinPartitions("key")

@@ -105,3 +105,10 @@ def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0
     assert simhash.keep_one_per_group(df).count() == 0
+
+
+@pytest.mark.parametrize("max_bits", [5, 7])
+def test_odd_limits_above_three_are_refused(spark, max_bits):
+    fps = spark.createDataFrame([(1,), (2,)], "fp long")
+    with pytest.raises(ValueError, match="at most 3 or even"):
+        simhash.fingerprint_links(fps, max_bits)

@@ -1,11 +1,14 @@
-"""Licence scan: template fingerprints, then banded alignment.
+"""Licence scan: winnowed template fingerprints, then banded alignment.
 
 A match may lack a fifth of a template's words and have others between any two
-that stay, so no run of words is sure to survive; single words are. A
-template's fingerprints are its rarest words, one more than a match may lack:
-every match has one of them. An inverted index holds them with their places. It
-depends on the templates alone, so it is a few kilobytes however large the
-corpus is.
+that stay, so no run of the text is sure to be a run of the template; but the
+words that stay fall into at most one run of template words more than words are
+missing. Of ``need`` words that stay, with at most ``m`` missing, some run has
+ceil(need / (m + 1)) words. Templates are winnowed with windows of that many
+words: in each the word with the smallest key (what few templates have, then the
+smallest hash; the last of equals) is a fingerprint, so every match holds one. An
+inverted index holds the fingerprints with their places. It depends on the
+templates alone, so it is a few hundred kilobytes however large the corpus is.
 
 A text's words are looked up in the index; a hit gives the word at which its
 template would start. A hit counts if enough of the template's words lie in
@@ -25,6 +28,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +66,7 @@ class Index:
             for w, k in Counter(ws).items():
                 self.uses[w].append((t, k))
         self.uses = dict(self.uses)
+        self._winnowed: dict[tuple[int, float], dict[str, list[int]]] = {}
 
     def band(self, template: int) -> int:
         return max(3, len(self.words[template]) // 8)
@@ -70,12 +75,18 @@ class Index:
         """Least number of words that a match has."""
         return math.ceil(min_coverage * len(self.words[template]))
 
-    def fingerprints(self, template: int, min_coverage: float) -> list[int]:
-        """Places of the rarest words, one more than a match may lack. Rare is
-        what few templates have, and of those the longest."""
-        ws = self.words[template]
-        rarest = sorted(range(len(ws)), key=lambda i: (len(self.uses[ws[i]]), -len(ws[i]), i))
-        return rarest[:len(ws) - self.need(template, min_coverage) + 1]
+    def fingerprints(self, template: int, min_coverage: float) -> dict[str, list[int]]:
+        """The template's winnowed words with their places."""
+        if (template, min_coverage) not in self._winnowed:
+            ws, need = self.words[template], self.need(template, min_coverage)
+            window = max(1, math.ceil(need / (len(ws) - need + 1)))
+            key = [(len(self.uses[w]), xxhash.xxh64_intdigest(w), -i) for i, w in enumerate(ws)]
+            places = {-min(key[i:i + window])[2] for i in range(len(ws) - window + 1)}
+            found: dict[str, list[int]] = defaultdict(list)
+            for p in sorted(places):
+                found[ws[p]].append(p)
+            self._winnowed[template, min_coverage] = dict(found)
+        return self._winnowed[template, min_coverage]
 
     def room(self, counts: Mapping[str, int]) -> dict[int, int]:
         """How many words of each template a text has, in any order."""
@@ -111,8 +122,8 @@ class Index:
                 continue
             template, band, starts = self.words[t], self.band(t), set()
             places = sorted(i for w in self.bits[t] for i in at.get(w, ()))
-            for start in {i - p for p in self.fingerprints(t, min_coverage)
-                          for i in at.get(template[p], ())}:
+            for start in {i - p for w, own in self.fingerprints(t, min_coverage).items()
+                          for i in at.get(w, ()) for p in own}:
                 a = bisect_left(places, start - 2 * band)
                 b = bisect_left(places, start + len(template) + 2 * band)
                 if b - a >= need and self.in_order(t, (words[i] for i in places[a:b])) >= need:
@@ -231,8 +242,9 @@ def license_scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
 
     ``coverage`` is the part of the template's words that the text has in order
     inside the span; spans are code point offsets into the text. Null and empty
-    texts have no rows; repeated rows are scanned each. Other columns are not
-    read.
+    texts have no rows, very long ones are scanned whole; repeated rows are
+    scanned each, and an empty table gives no rows. ``scan_text`` says which of
+    overlapping spans stays. Other columns are not read.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text")).mapInArrow(

@@ -41,6 +41,47 @@ def test_finds_what_a_scan_at_every_word_finds():
         assert got, name
 
 
+def common(a, b):
+    """Words that two lists have in common in order, by the whole table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_coverage_and_spans_equal_a_plain_alignment():
+    checked = 0
+    for name, text in planted(11):
+        words, low = ls.words_of(text), text.lower()
+        for got, coverage, a, b in ls.scan_text(INDEX, text):
+            template = ls.words_of(TEMPLATES[got])
+            if len(template) > 400:
+                continue
+            span = ls.words_of(low[a:b])
+            before = len(ls.words_of(low[:a]))
+            assert span == words[before:before + len(span)]
+            matched = common(template, span)
+            assert matched == round(coverage * len(template)) >= 0.8 * len(template)
+            # The span begins and ends with matched words.
+            assert common(template, span[1:]) < matched > common(template, span[:-1])
+            checked += 1
+    assert checked > 20
+
+
+def test_every_run_of_kept_words_holds_a_fingerprint():
+    for t, words in enumerate(INDEX.words):
+        need = INDEX.need(t, 0.8)
+        missing = len(words) - need
+        window = -(-need // (missing + 1))
+        places = sorted(p for own in INDEX.fingerprints(t, 0.8).values() for p in own)
+        assert all(words[p] == w for w, own in INDEX.fingerprints(t, 0.8).items() for p in own)
+        gaps = [b - a for a, b in zip([-1, *places], [*places, len(words)])]
+        assert max(gaps) <= window  # fewer than ``window`` words between two of them
+
+
 def test_short_notices_with_one_word_changed_dropped_or_added():
     found = 0
     for name in sorted(TEMPLATES):

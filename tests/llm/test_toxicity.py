@@ -94,3 +94,73 @@ def test_label_model_finds_rates_and_correlated_voters():
     assert [1, 2] in m.blocks and m.correlations[1, 2] > 0.5
     post = m.posterior(code, np.full(n, -1))
     assert ((post >= 0.5) == y).mean() > 0.98
+
+
+def plain_em(rows, gold, prior, rounds):
+    """Expectation maximisation row by row, every voter by itself."""
+    voters, lexical = tx.VOTERS, 1 + tx.LEXICONS
+    def odds(p):
+        return np.log(p / (1 - p))
+    post = []
+    for r, g in zip(rows, gold):
+        z = odds(prior) + sum(np.log(10) if r >> k & 1 else np.log(0.9) for k in range(lexical))
+        post.append(1 / (1 + np.exp(-z)) if g < 0 else (0.95 if g == 1 else 0.05))
+    n = len(rows)
+    for _ in range(rounds):
+        table = {}
+        for y in (0, 1):
+            mass = sum(p if y else 1 - p for p in post) / n
+            for k in range(voters):
+                for v in (0, 1):
+                    t = sum((p if y else 1 - p) for r, p in zip(rows, post) if (r >> k & 1) == v) / n
+                    table[y, k, v] = t + 1e-4 * mass / 2 + 1e-9
+                total = table[y, k, 0] + table[y, k, 1]
+                table[y, k, 0], table[y, k, 1] = table[y, k, 0] / total, table[y, k, 1] / total
+            own = [max(sum((p if y else 1 - p) for g, p in zip(gold, post) if g == v) / n, 1e-9)
+                   for v in (0, 1)]
+            table[y, "gold"] = [x / sum(own) for x in own]
+        prior = min(max(sum(post) / n, 1e-4), 0.6)
+        post = []
+        for r, g in zip(rows, gold):
+            z = odds(prior) + sum(np.log(table[1, k, r >> k & 1] / table[0, k, r >> k & 1])
+                                  for k in range(voters))
+            if g >= 0:
+                z += np.log(table[1, "gold"][g] / table[0, "gold"][g])
+            post.append(1 / (1 + np.exp(-min(max(z, -30), 30))))
+    return np.array(post), prior
+
+
+def test_label_model_equals_plain_em():
+    """Counts of patterns or row by row: the same posteriors."""
+    rng = np.random.default_rng(7)
+    n = 300
+    y = rng.random(n) < 0.2
+    votes = rng.random((n, tx.VOTERS)) < np.where(y[:, None], 0.5, 0.06)
+    rows = (votes * (1 << np.arange(tx.VOTERS))).sum(1)
+    gold = np.where(rng.random(n) < 0.3, y.astype(int), -1)
+    keys, counts = np.unique(rows * 4 + gold + 1, return_counts=True)
+    m = tx.LabelModel(keys // 4, keys % 4 - 1, counts.astype(float), joined_above=2.0, rounds=25)
+    assert m.blocks == [[k] for k in range(tx.VOTERS)]
+    known = gold >= 0
+    start = float(np.clip((gold == 1).sum() / known.sum(), 0.001, 0.5))
+    want, prior = plain_em(rows.tolist(), gold.tolist(), start, 25)
+    assert m.posterior(rows, gold) == pytest.approx(want, abs=1e-6)
+    assert m.prior == pytest.approx(prior, abs=1e-6)  # the model stops at changes below 1e-7
+
+
+def test_linear_classifier_equals_a_dense_solver():
+    """The weights of Newton's method on the same ridge problem."""
+    rng = np.random.default_rng(3)
+    n, k = 400, 12
+    x = (rng.random((n, k)) < 0.25).astype(float)
+    target = np.clip(1 / (1 + np.exp(-(x @ rng.normal(size=k) - 0.5))) + 0.05 * rng.normal(size=n), 0, 1)
+    row, column = np.nonzero(x)
+    got = tx.train_linear(row, column, k, target, ridge=0.01, rounds=4000)
+    dense, w = np.c_[x, np.ones(n)], np.zeros(k + 1)
+    ridge = np.r_[np.full(k, 0.01), 0]
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-dense @ w))
+        slope = dense.T @ (p - target) / n + ridge * w
+        curve = (dense * (p * (1 - p))[:, None]).T @ dense / n + np.diag(ridge)
+        w = w - np.linalg.solve(curve, slope)
+    assert got == pytest.approx(w, abs=1e-4)

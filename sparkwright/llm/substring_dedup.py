@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,12 @@ LONG, WINDOW = 25, 12
 #: An odd multiplier: the key of two words depends on their order.
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
+#: End marks of scripts other than Latin.
+_STOPS = "。！？｡؟۔।॥።"
+# A set of first characters lets the search skip quickly; what must follow hangs on which it was.
 _PIECE_END = re.compile(
-    r"\n+|[.!?][^\w\s]*[ \t]+|[。！？｡؟۔।॥።။។]+[^\w\s]*[ \t]*|[ ](?=[^\W\d_a-zß-öø-ÿ])")
+    rf"(?:[\n.!?{_STOPS}]|[ ](?=[^\W\d_a-zß-öø-ÿ]))"
+    rf"(?:(?<=\n)\n*|(?<=[.!?])[^\w\s]*[ \t]+|(?<=[{_STOPS}])[{_STOPS}]*[^\w\s]*[ \t]*|(?<= ))")
 #: Characters of scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, Kana, Han.
 _ALONE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 _SOLE = re.compile(f"[{_ALONE}]")
@@ -49,25 +54,29 @@ _TOKEN = re.compile(f"[{_ALONE}]|[^\\s{_ALONE}]+")
 _LINE = re.compile(r"[^\n]+\n*")
 
 
-def tokens(text: str) -> list[str]:
-    """Normalised words; a character of a script without spaces is one."""
+def spaced(text: str) -> bool:
+    """Whether a text has no character of a script without spaces."""
+    return text.isascii() or not _SOLE.search(text)
+
+
+def tokens(text: str, plain: bool = False) -> list[str]:
+    """Normalised words; a character of a script without spaces is one.
+    ``plain`` says that there is none."""
     low = text.lower()
-    return low.split() if low.isascii() else _SOLE.sub(r" \g<0> ", low).split()
+    return low.split() if plain or spaced(low) else _SOLE.sub(r" \g<0> ", low).split()
 
 
-def n_words(words: list[str], joined: str) -> float:
+def n_words(words: list[str]) -> float:
     """How many words; a character of a script without spaces is half of one."""
-    if joined.isascii():
-        return len(words)
     return len(words) - sum(1 for w in words if len(w) == 1 and _SOLE.match(w)) / 2
 
 
-def cuts(text: str, start: int, end: int) -> list[int]:
+def cuts(text: str, start: int, end: int, plain: bool = False) -> list[int]:
     """Offsets at which a long sentence is cut, by the words around alone."""
-    if end - start <= LONG:
+    if end - start <= (2 * LONG if plain else LONG):
         return []
     part = text[start:end]
-    if (part.isascii() or not _SOLE.search(part)) and len(part.split()) <= LONG:
+    if (plain or spaced(part)) and len(part.split()) <= LONG:
         return []
     found = list(_TOKEN.finditer(part))
     if len(found) <= LONG:
@@ -89,13 +98,13 @@ def pieces(text: str) -> list[tuple[int, int]]:
     Ends lie after the white space that follows, so the pieces tile the text.
     A break between two words counts only if the second has a capital letter.
     """
-    out, start = [], 0
+    out, start, plain = [], 0, spaced(text)
     ends = [m.end() for m in _PIECE_END.finditer(text)
             if m.group() != " " or text[m.end()].isupper()]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
     for end in ends:
-        for cut in cuts(text, start, end):
+        for cut in cuts(text, start, end, plain):
             out.append((start, cut))
             start = cut
         if start < end:
@@ -107,11 +116,11 @@ def pieces(text: str) -> list[tuple[int, int]]:
 def units(text: str, min_words: int) -> Iterator[tuple[int, int, str]]:
     """(start, end, normalised words) of each unit. A piece without words starts
     none, and neither do the last pieces if they fall short."""
-    places, norm, size = pieces(text), [], []
+    places, norm, size, plain = pieces(text), [], [], spaced(text)
     for a, b in places:
-        words = tokens(text[a:b])
+        words = tokens(text[a:b], plain)
         norm.append(" ".join(words))
-        size.append(n_words(words, norm[-1]))
+        size.append(len(words) if plain else n_words(words))
     end, total = 0, 0
     for first, own in enumerate(norm):
         while total < min_words and end < len(norm):
@@ -137,18 +146,14 @@ def _unit_rows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             row, starts, ends, digests = [], [], [], []
-
-            def add(i: int, start: int, end: int, key: str) -> None:
-                row.append(i)
-                starts.append(start)
-                ends.append(end)
-                digests.append(xxhash.xxh3_128_digest(key.encode("utf-8", "replace")))
             for i, t in enumerate(b.column("text").to_pylist()):
-                for start, end, line in lines(t or ""):
-                    # Apart from the pieces: a line of one piece would repeat it.
-                    add(i, start, end, "\n" + line)
-                for start, end, words in units(t or "", min_words):
-                    add(i, start, end, words)
+                # Apart from the pieces: a line of one piece would repeat it.
+                own = [(s, e, "\n" + line) for s, e, line in lines(t or "")]
+                for start, end, key in chain(own, units(t or "", min_words)):
+                    row.append(i)
+                    starts.append(start)
+                    ends.append(end)
+                    digests.append(xxhash.xxh3_128_digest(key.encode("utf-8", "replace")))
             take = pa.array(row, pa.int64())
             halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(

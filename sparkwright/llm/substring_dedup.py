@@ -156,11 +156,11 @@ def _unit_rows(min_words: int):
                     digests.append(xxhash.xxh3_128_digest(key.encode("utf-8", "replace")))
             take = pa.array(row, pa.int64())
             halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+            spans = np.array(starts, np.int64) << 32 | np.array(ends, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(take), b.column("text_hash").take(take),
-                 pa.array(starts, pa.int32()), pa.array(ends, pa.int32()),
-                 pa.array(halves[:, 0]), pa.array(halves[:, 1])],
-                names=["doc_id", "text_hash", "start", "end", "high", "low"])
+                 pa.array(spans), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+                names=["doc_id", "text_hash", "span", "high", "low"])
     return run
 
 
@@ -181,7 +181,7 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans, texts = [], b.column("_text")
         changed = {}
         for i, gone in enumerate(b.column("_gone").to_pylist()):
-            found = merged_spans([(g["start"], g["end"]) for g in gone or ()])
+            found = merged_spans([(g >> 32, g & 0xFFFFFFFF) for g in gone or ()])
             if found:
                 t, kept, at = texts[i].as_py(), [], 0
                 for a, e in found:
@@ -198,18 +198,19 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def duplicate_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_hash, start, end) of every unit that repeats an earlier one."""
+    """(doc_id, text_hash, span) of every unit that repeats an earlier one; a span
+    is start * 2^32 + end."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     found = materialise(rows.mapInArrow(
         _unit_rows(min_words),
-        f"doc_id {id_type}, text_hash long, start int, end int, high long, low long"), "units")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
+        f"doc_id {id_type}, text_hash long, span long, high long, low long"), "units")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "span")
     repeated = materialise(
         found.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter(F.col("first") != F.col("last")).select("high", "low", "first"), "repeated-units")
     return (found.join(repeated, ["high", "low"]).filter(place != F.col("first"))
-            .select("doc_id", "text_hash", "start", "end"))
+            .select("doc_id", "text_hash", "span"))
 
 
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -225,7 +226,7 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = docs.columns
     gone = materialise(
         duplicate_units(docs, min_words).distinct().groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("start", "end")).alias("_gone"))
+        .agg(F.collect_list("span").alias("_gone"))
         .select(F.col("doc_id").alias("_gid"), F.col("text_hash").alias("_ghash"), "_gone"),
         "removed-units")
     keyed = docs.select(*[F.col(c).alias("_text" if c == "text" else f"c{i}")

@@ -3,9 +3,11 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sparkwright.llm import embedding_join as ej
 from sparkwright.llm.embedding_join import embedding_links
 
 
@@ -53,7 +55,7 @@ def data(seed=1):
     return rows
 
 
-@pytest.mark.parametrize(("pivots", "block"), [(1, 4096), (6, 20), (16, 3)])
+@pytest.mark.parametrize(("pivots", "block"), [(1, 4096), (6, 20), (16, 3), (1, 5), (40, 2)])
 def test_equals_all_pairs(spark, pivots, block):
     rows = data()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>") \
@@ -62,6 +64,34 @@ def test_equals_all_pairs(spark, pivots, block):
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in got) == plain(rows)
 
 
+def copies_per_vector(x, n_pivots, pivots, block):
+    """Rows per vector, home rows included, and the number of blocks."""
+    u = ej._unit(x)
+    cells = ej._Cells(u[:n_pivots], pivots)
+    cells.settle(zip(*(c.to_pylist() for c in cells.measure(u).columns)), block)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(len(x))), pa.array(np.ones(len(x), np.int64)),
+         pa.array(x.tolist(), pa.list_(pa.float64()))], names=["entry", "n", "vector"])
+    out = pa.Table.from_batches(ej._place(cells, math.sqrt(0.2), x.shape[1])(iter([batch])))
+    keys = list(zip(out["block"].to_pylist(), out["entry"].to_pylist()))
+    assert len(keys) == len(set(keys))
+    homes = np.bincount(np.array(out["block"])[~np.array(out["copy"])], minlength=cells.blocks)
+    assert len(homes) == cells.blocks and homes.max() <= 2 * block
+    return len(out) / len(x), cells.blocks
+
+
+def test_clustered_vectors_have_few_copies_at_any_size():
+    """Clusters that pivots hit: few rows per vector (without balls 12 to 40)."""
+    rng = np.random.default_rng(5)
+    for clusters in (20, 80):
+        x = np.concatenate([c + rng.normal(size=(40, 24)) * 0.05
+                            for c in rng.normal(size=(clusters, 24))])
+        rng.shuffle(x)
+        for pivots in (8, 1000):
+            rows, blocks = copies_per_vector(x, 5 * clusters, pivots, 80)
+            assert blocks >= clusters / 4 and rows < 7
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_links(df).count() == 0

@@ -2,14 +2,18 @@
 
 Every filter's failing rows are stored as one table of row numbers (with part
 and labels). What a filter removes after a prefix of other filters is its own
-table left-anti joined with the tables of the prefix; a prefix's effect doesn't
-depend on its order, so 16 prefixes per filter serve all orders. The joins are
-shared: one left-anti join per stored table serves every prefix that holds its
-filter, because each row carries the prefix that it has survived so far and
-leaves a second copy to be tested against the next table. Counts per part,
-filter and prefix then give every order's removals and label losses; survivors
-are a part's rows less the removals so far, and redundancies a filter's own
-table less its removals, so neither needs a join of its own.
+table left-anti joined with the tables of the prefix; what of it is redundant
+there is its own table left-semi joined with them. A prefix's effect doesn't
+depend on its order, so 16 prefixes per filter serve all orders. Survivors come
+the same way: rows that fail nothing by one left-anti join with all tables, the
+others by left-anti joins with each prefix's.
+
+The joins are shared: a row carries the prefix that it has survived so far and
+leaves a second copy to be tested against the next table. One left-anti join per
+stored table then serves every prefix that holds its filter, and one left-semi
+join finds the rows that this filter of the prefix is the first to remove. Such
+a row stays removed whatever follows, so it is counted once, under the prefix up
+to that filter, and the count goes to all longer prefixes.
 
 All joins are on the row number, which is unique, so neither a hot part nor a
 large group of equal texts meets in a task. Parts and counts are aggregated
@@ -80,33 +84,74 @@ def failing_tables(rows: DataFrame) -> dict[str, DataFrame]:
     return {f: materialise(t, f"audit-fail-{f}") for f, t in tables.items()}
 
 
-def removals(tables: dict[str, DataFrame]) -> DataFrame:
-    """(row, part, good, toxic, filter, prefix): the rows that ``filter``
-    removes after the filters of ``prefix`` (in any order, named in A-E order),
-    for every prefix without ``filter``."""
+#: The filter of rows that are followed to count a prefix's survivors.
+NONE = ""
+
+
+def followed(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(survivors, first_hits) of the failing rows, each (part, good, toxic,
+    filter, prefix) with prefixes in A-E order.
+
+    ``survivors``: the rows of ``filter``'s table that survive all filters of
+    ``prefix``, for every prefix without ``filter``; with filter NONE all
+    failing rows. ``first_hits``: those that survive ``prefix`` but for its
+    last filter.
+    """
     found = None
     for f, t in tables.items():
-        own = t.withColumns({"filter": F.lit(f), "prefix": F.lit("")})
-        found = own if found is None else found.unionByName(own)
+        found = t if found is None else found.unionByName(t)
+    # By row number only: a row has one part and one pair of labels.
+    failing = found.groupBy("row").agg(*[F.max(c).alias(c) for c in ("part", "good", "toxic")])
+    found = failing.withColumns({"filter": F.lit(NONE), "prefix": F.lit("")})
+    for f, t in tables.items():
+        found = found.unionByName(t.withColumns({"filter": F.lit(f), "prefix": F.lit("")}))
+    hits = None
     for f, t in tables.items():
-        tested = found.withColumn("_tested", F.explode(F.when(
-            F.col("filter") == f, F.array(F.lit(False))).otherwise(
-            F.array(F.lit(False), F.lit(True)))))
         ids = t.select(F.col("row").alias("_row"))
-        found = (tested.join(ids, (F.col("row") == F.col("_row")) & F.col("_tested"), "left_anti")
-                 .withColumn("prefix", F.when(F.col("_tested"), F.concat("prefix", F.lit(f)))
-                             .otherwise(F.col("prefix"))).drop("_tested"))
-    return found
+        tested = found.filter(F.col("filter") != f).withColumn("prefix", F.concat("prefix", F.lit(f)))
+        removed = tested.join(ids, F.col("row") == F.col("_row"), "left_semi")
+        hits = removed if hits is None else hits.unionByName(removed)
+        found = materialise(found.unionByName(
+            tested.join(ids, F.col("row") == F.col("_row"), "left_anti")), "audit-survivors")
+    return found.drop("row"), hits.drop("row")
+
+
+def prefix_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(part, filter, prefix, removed, good_lost, toxic_lost, redundant) per
+    filter and prefix without it; with filter NONE ``removed`` counts survivors
+    among the rows that fail something. No row stands for zeros."""
+    found, hits = followed(tables)
+    alive = found.groupBy("part", "filter", "prefix").agg(
+        F.count("*").alias("removed"), F.sum("good").alias("good_lost"),
+        F.sum("toxic").alias("toxic_lost"), F.lit(0).cast("long").alias("redundant"))
+    first = hits.filter(F.col("filter") != NONE).groupBy("part", "filter", "prefix").agg(
+        F.count("*").alias("redundant"))
+    # Each count goes on to the prefixes that go on from its own.
+    further = F.lit([NONE])
+    for f in FILTERS:
+        more = F.transform(F.filter(further, lambda p: (F.lit(f) > F.substring(F.col("prefix"), -1, 1))
+                                    & (F.lit(f) != F.col("filter"))), lambda p: F.concat(p, F.lit(f)))
+        further = F.concat(further, more)
+    gone = first.withColumn("prefix", F.explode(F.transform(further, lambda p: F.concat("prefix", p))))
+    none = F.lit(0).cast("long")
+    return (alive.unionByName(gone.select(
+        "part", "filter", "prefix", none.alias("removed"), none.alias("good_lost"),
+        none.alias("toxic_lost"), "redundant")).groupBy("part", "filter", "prefix")
+        .agg(*[F.sum(c).alias(c) for c in ("removed", "good_lost", "toxic_lost", "redundant")]))
 
 
 def with_every_step(parts: DataFrame) -> DataFrame:
-    """``parts`` with (filter_order, step, filter, prefix) of all orders: 600 rows per row."""
+    """``parts`` with (filter_order, step, filter, prefix, after) of all orders,
+    600 rows per row: the filters ahead of the step's and up to it, in A-E order."""
     orders = ",".join("".join(o) for o in permutations(FILTERS))
-    ahead = F.filter(F.split(F.substring("filter_order", F.lit(1), F.col("step") - 1), ""), lambda c: c != "")
+
+    def first(n):
+        letters = F.filter(F.split(F.substring("filter_order", F.lit(1), n), ""), lambda c: c != "")
+        return F.array_join(F.array_sort(letters), "")
     return (parts.withColumn("filter_order", F.explode(F.split(F.lit(orders), ",")))
             .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(len(FILTERS)))))
             .withColumn("filter", F.substring("filter_order", F.col("step"), F.lit(1)))
-            .withColumn("prefix", F.array_join(F.array_sort(ahead), "")))
+            .withColumn("prefix", first(F.col("step") - 1)).withColumn("after", first(F.col("step"))))
 
 
 def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -119,31 +164,33 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rows = materialise(judged_rows(docs, labels), "audit-judged")
     tables = failing_tables(rows)
-    totals = materialise(rows.groupBy("part").agg(F.count("*").alias("_rows")), "audit-parts")
-
-    counts = materialise(removals(tables).groupBy("part", "filter", "prefix").agg(
-        F.count("*").alias("removed"), F.sum("good").alias("good_lost"),
-        F.sum("toxic").alias("toxic_lost")), "audit-removals")
-    # After the empty prefix a filter removes all that fail it; after all others, what only it fails.
-    of_filter = counts.groupBy(F.col("part").alias("_part"), F.col("filter").alias("_filter")).agg(
-        F.sum(F.when(F.col("prefix") == "", F.col("removed"))).alias("_fails"),
-        F.sum(F.when(F.length("prefix") == len(FILTERS) - 1, F.col("removed"))).alias("unique_fails"))
+    parts = rows.select("part").distinct()
+    clean = rows.select("row", "part")
+    for t in tables.values():
+        clean = clean.join(t.select("row"), "row", "left_anti")
+    clean = clean.groupBy(F.col("part").alias("_part")).agg(F.count("*").alias("_clean"))
+    totals = materialise(parts.join(clean, F.col("part") == F.col("_part"), "left").select(
+        "part", F.coalesce("_clean", F.lit(0)).alias("_clean")), "audit-parts")
+
+    counts = materialise(prefix_counts(tables), "audit-counts")
+    # After all other filters a filter removes what only it fails.
+    only = counts.filter((F.col("filter") != NONE) & (F.length("prefix") == len(FILTERS) - 1)).select(
+        F.col("part").alias("_part"), F.col("filter").alias("_filter"),
+        F.col("removed").alias("unique_fails"))
+    alive = counts.filter(F.col("filter") == NONE).select(
+        F.col("part").alias("_apart"), F.col("prefix").alias("_after"), F.col("removed").alias("_alive"))
 
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     full = (with_every_step(totals).join(counts, ["part", "filter", "prefix"], "left")
-            .join(of_filter, (F.col("part") == F.col("_part")) & (F.col("filter") == F.col("_filter")),
-                  "left")
-            .select("part", "filter_order", "step", "filter", "_rows",
-                    *[zero(c).alias(c) for c in ("removed", "unique_fails", "good_lost",
-                                                 "toxic_lost", "_fails")]))
-    # 600 rows per part meet in these windows.
-    so_far = Window.partitionBy("part", "filter_order").orderBy("step").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (full.withColumn("kept", F.col("_rows") - F.sum("removed").over(so_far))
-            .withColumn("shapley", F.sum("removed").over(Window.partitionBy("part", "filter")))
-            .select("part", "filter_order", F.col("step").cast("int").alias("step"), "kept",
-                    "removed", (F.col("_fails") - F.col("removed")).alias("redundant"),
-                    "unique_fails", "good_lost", "toxic_lost", "shapley"))
+            .join(only, (F.col("part") == F.col("_part")) & (F.col("filter") == F.col("_filter")), "left")
+            .join(alive, (F.col("part") == F.col("_apart")) & (F.col("after") == F.col("_after")), "left"))
+    return full.select(
+        "part", "filter_order", F.col("step").cast("int").alias("step"),
+        (F.col("_clean") + zero("_alive")).alias("kept"), zero("removed").alias("removed"),
+        zero("redundant").alias("redundant"), zero("unique_fails").alias("unique_fails"),
+        zero("good_lost").alias("good_lost"), zero("toxic_lost").alias("toxic_lost"),
+        # 600 rows per part and filter meet in this window.
+        F.sum(zero("removed")).over(Window.partitionBy("part", "filter")).alias("shapley"))
 
 
 _FAILS_SQL = " UNION ALL ".join(f"SELECT row, part, good, toxic, '{f}' AS f FROM j WHERE fail_{f}"

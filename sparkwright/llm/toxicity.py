@@ -4,18 +4,20 @@
    with the label are found by a likelihood-ratio test that allows for the
    number of stems tried. They are dealt over several lexicon voters; a fixed
    seed lexicon and text patterns (shouting, exclamations, symbols, address,
-   repetition) are further voters. Labels of learning rows vote too, where
-   present.
+   repetition) are further voters.
 2. Votes. One scan over all whole texts writes a narrow row per document: its
    votes as bits and the lexicon stems that it holds.
 3. Label model. The votes of all documents are counted by pattern (a bounded
    table: one row per combination) and a generative model is fitted to the
    counts by expectation maximisation: the class share and each voter's rates
-   given the class. Voters that stay correlated given the class are joined into
+   given the class. Labels of learning rows, where present, help to estimate
+   these rates. Voters that stay correlated given the class are joined into
    blocks with a joint table of their own, and the model is fitted again.
 4. Classifier. Logistic regression on stems and patterns, trained on the label
-   model's posteriors of a bounded sample of learning rows (those with a label,
-   if any has one), scores every row.
+   model's posteriors, given the voters' votes alone, of a bounded sample of all
+   learning rows, scores every row.
+5. Calibration. A slope and an offset of the classifier's logits are fitted to
+   the labels of the bounded sample of step 1, so that 0.5 is even odds.
 
 Learning rows are those whose crc32(doc_id as text) mod 5 is not 0. The label,
 language, source and id never enter a score.
@@ -304,6 +306,33 @@ def train_linear(row, column, n_columns: int, target: np.ndarray, ridge: float =
     return w
 
 
+def calibrate(logits: np.ndarray, labels: np.ndarray, rounds: int = 100) -> np.ndarray:
+    """Slope and offset of ``logits`` for which ``labels`` (0, 1) are likeliest.
+
+    The targets are drawn in by one row of either class, so that separable
+    labels have finite ones too. (1, 0) if a class has no row or the slope
+    would not be positive.
+    """
+    bad, good = int((labels == 1).sum()), int((labels == 0).sum())
+    if not bad or not good:
+        return np.array([1.0, 0.0])
+    target = np.where(labels == 1, (bad + 1) / (bad + 2), 1 / (good + 2))
+    x, w = np.c_[logits, np.ones(len(logits))], np.array([1.0, 0.0])
+
+    def loss(w):
+        return np.logaddexp(0, x @ w).sum() - target @ (x @ w)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-9 * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (p - target))
+        while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w - step
+        if np.abs(step).max() < 1e-9:
+            break
+    return w if w[0] > 0 else np.array([1.0, 0.0])
+
+
 def _scores(weights: np.ndarray, n_stems: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -323,10 +352,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
 
     ``labels`` has doc_id and toxic (0, 1; null is no label; of several labels
     of one document the largest counts). ``sample`` bounds the rows from which
-    lexicons and classifier are learnt. Null and empty texts hold no words and
-    get the score of a text without any feature. Without labels the seed
-    lexicon and the patterns vote alone. Repeated rows get equal scores. Other
-    columns are not read.
+    lexicons, classifier and calibration are learnt. Null and empty texts hold no words and
+    get the score of a text without any feature; texts of any length are read
+    whole. Without labels the seed lexicon and the patterns vote alone and
+    nothing is calibrated. Repeated rows get equal scores, equal stems rank by
+    their letters, an empty table gives no rows. Other columns are not read.
     """
     spark, id_type = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     learning = (labels.filter(F.col("toxic").isin(0, 1) & is_learning(F.col("doc_id")))
@@ -348,16 +378,23 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     patterns = np.array([r.votes for r in table], np.int64)
     gold = np.array([r.gold for r in table], np.int64)
     model = LabelModel(patterns, gold, np.array([r["count"] for r in table], float))
-    # Rows whose label voted tell most; without any label, votes alone teach.
-    learnt = with_gold.filter(is_learning(F.col("doc_id")))
-    if (gold >= 0).any():
-        learnt = learnt.filter("gold >= 0")
-    rows = (learnt.orderBy(*by_hash, "text_hash").limit(sample)
-            .select("votes", "hits", "gold").collect())
-    votes = np.array([r.votes for r in rows], np.int64)
-    row, column, n = features(votes, [np.array(r.hits, np.int64) for r in rows], len(lexicon))
-    target = model.posterior(votes, np.array([r.gold for r in rows], np.int64))
-    weights = train_linear(row, column, n, target)
+    # Narrow rows of a thinned table, at most ``sample`` of each kind.
+    share = min(1.0, 2 * sample / max(1, sum(r["count"] for r in table)))
+    thin = F.pmod(F.xxhash64(F.lit("thin"), "doc_id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20))
+    learnt = voted.filter(is_learning(F.col("doc_id")) & thin)
+    known = with_gold.filter("gold >= 0").join(F.broadcast(chosen.select("doc_id")), "doc_id")
+
+    def taken(rows: DataFrame, *more: str):
+        got = rows.orderBy(*by_hash, "text_hash").limit(sample).select("votes", "hits", *more).collect()
+        votes = np.array([r.votes for r in got], np.int64)
+        return got, votes, features(votes, [np.array(r.hits, np.int64) for r in got], len(lexicon))
+    _, votes, (row, column, n) = taken(learnt)
+    weights = train_linear(row, column, n, model.posterior(votes, np.full(len(votes), -1)))
+    got, votes, (row, column, _) = taken(known, "gold")
+    logits = weights[-1] + np.bincount(row, weights[column], len(votes))
+    slope, offset = calibrate(logits, np.array([r.gold for r in got], np.int64))
+    weights = slope * weights
+    weights[-1] += offset
     scored = voted.mapInArrow(_scores(weights, len(lexicon)),
                               f"doc_id {id_type}, text_hash long, score double")
     return scored.select("doc_id", "text_hash", (~is_learning(F.col("doc_id"))).alias("held_out"),

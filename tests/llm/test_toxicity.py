@@ -164,3 +164,16 @@ def test_linear_classifier_equals_a_dense_solver():
         curve = (dense * (p * (1 - p))[:, None]).T @ dense / n + np.diag(ridge)
         w = w - np.linalg.solve(curve, slope)
     assert got == pytest.approx(w, abs=1e-4)
+
+
+def test_calibration():
+    """Shifted and scaled logits are put right; separable, one-class and
+    contradicting labels give finite values."""
+    rng = np.random.default_rng(4)
+    z = rng.normal(size=20_000) * 2
+    y = (rng.random(len(z)) < 1 / (1 + np.exp(-(1.5 * z - 0.7)))).astype(int)
+    assert tx.calibrate(z, y) == pytest.approx([1.5, -0.7], abs=0.1)
+    slope, offset = tx.calibrate(np.array([-2.0, -1, 1, 2]) + 5, np.array([0, 0, 1, 1]))
+    assert 0 < slope < 100 and slope * 4 + offset < 0 < slope * 6 + offset
+    for logits, labels in (([1.0, 2], [1, 1]), ([], []), ([-1.0, 1], [1, 0])):
+        assert tx.calibrate(np.array(logits), np.array(labels, int)).tolist() == [1, 0]

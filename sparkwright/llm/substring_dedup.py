@@ -13,10 +13,11 @@ are normalised (lower case, white space as one space) and hashed to 128 bits.
 Digests are grouped globally; the occurrence that ranks first (by doc_id, then
 text hash, then place) stays and all others go, with all their pieces.
 
-One scan emits narrow rows (digest, document, start and end), the first place of
-each digest is a partial aggregate, and only digests seen at least twice take
-part in the join that finds what to remove. Texts are shuffled once, to meet
-the offsets of their removed units; they are cut into pieces in the scan alone.
+One scan emits narrow rows (digest, document, start and end). A count by one half
+of the digest tells which can repeat, and only their rows are kept for the search
+for first places (a partial aggregate) and the join that finds what to remove. Texts
+are shuffled once, to meet the offsets of their removed units; they are cut into
+pieces in the scan alone.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwright.llm.common import materialise
+from sparkwright.llm.common import drop_scratch, materialise, scratch_mark, scratch_since
 
 MIN_WORDS = 8
 #: Least characters of a line that is a unit, whatever its words.
@@ -201,14 +202,18 @@ def duplicate_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_hash, start, end) of every unit that repeats an earlier one."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    mark = scratch_mark()
     found = materialise(rows.mapInArrow(
         _unit_rows(min_words),
         f"doc_id {id_type}, text_hash long, start int, end int, high long, low long"), "units")
+    # Counting one half of each digest moves the least; the few rows left are told apart by both.
+    halves = materialise(found.groupBy("high").agg(F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1").select("high"), "repeated-halves")
+    again = materialise(found.join(halves, "high", "left_semi"), "repeated-units")
+    drop_scratch(docs.sparkSession, scratch_since(mark)[:-1])
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
-    repeated = materialise(
-        found.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .filter(F.col("first") != F.col("last")).select("high", "low", "first"), "repeated-units")
-    return (found.join(repeated, ["high", "low"]).filter(place != F.col("first"))
+    first = again.groupBy("high", "low").agg(F.min(place).alias("first"))
+    return (again.join(first, ["high", "low"]).filter(place != F.col("first"))
             .select("doc_id", "text_hash", "start", "end"))
 
 
@@ -222,12 +227,13 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A text made of repeats only becomes empty. If the input has a column
     ``removed_spans`` the new one gets a leading underscore.
     """
-    names = docs.columns
+    names, mark = docs.columns, scratch_mark()
     gone = materialise(
         duplicate_units(docs, min_words).distinct().groupBy("doc_id", "text_hash")
         .agg(F.collect_list(F.struct("start", "end")).alias("_gone"))
         .select(F.col("doc_id").alias("_gid"), F.col("text_hash").alias("_ghash"), "_gone"),
         "removed-units")
+    drop_scratch(docs.sparkSession, [p for p in scratch_since(mark)[:-1] if p])
     keyed = docs.select(*[F.col(c).alias("_text" if c == "text" else f"c{i}")
                           for i, c in enumerate(names)],
                         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))

@@ -212,7 +212,8 @@ def duplicate_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     again = materialise(found.join(halves, "high", "left_semi"), "repeated-units")
     drop_scratch(docs.sparkSession, scratch_since(mark)[:-1])
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
-    first = again.groupBy("high", "low").agg(F.min(place).alias("first"))
+    # A table of its own: a join straight after a shuffle of rows is one that a hot key can be split in.
+    first = materialise(again.groupBy("high", "low").agg(F.min(place).alias("first")), "first-places")
     return (again.join(first, ["high", "low"]).filter(place != F.col("first"))
             .select("doc_id", "text_hash", "start", "end"))
 

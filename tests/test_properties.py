@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkwright.operators.collect import collect_counts, collect_lists, paged_counts
-from sparkwright.operators.joins import broadcast_if_small, fits
+from sparkwright.operators.joins import broadcast_if_small, fits, sized_join
 from sparkwright.operators.pairs import cogroup, cogroup_counts
 from sparkwright.operators.stats import crosstab, describe_typed, frequent_items
 from sparkwright.plans.text_jobs import posting_maps
@@ -95,6 +95,30 @@ def test_sized_broadcast(spark):
     assert "broadcast" not in plan_big._jdf.queryExecution().analyzed().toString().lower()
 
 
+def test_sized_join_measures_only_between_the_bounds(spark, monkeypatch):
+    measured = []
+
+    def counted(df, *bounds):
+        measured.append(df)
+        return fits(df, *bounds)
+
+    monkeypatch.setattr("sparkwright.operators.joins.fits", counted)
+    big, small = spark.range(1000), spark.range(500)
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    # 500 longs are 4,000 bytes: under Spark's threshold, then over the bound
+    under, over = sized_join(big, small, "id"), sized_join(big, small, "id", max_bytes=3_000)
+    assert not measured and not hinted(under) and not hinted(over)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        between = sized_join(big, small, "id")
+        rows = sized_join(big, small, "id", max_rows=499)
+        assert len(measured) == 2 and hinted(between) and not hinted(rows)
+        assert [df.count() for df in (under, over, between, rows)] == [500] * 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_describe_and_crosstab(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (None, "b")], "x int, s string")
     d = {r.column: r for r in describe_typed(df, ["x"]).collect()}

@@ -172,6 +172,28 @@ def test_changelog_folds_to_the_report_and_its_state_expires(spark):
     assert changes(src.withWatermark("transaction_time", "1 hour")).isStreaming
 
 
+def test_changelog_touches_the_state_once_for_many_accounts(spark):
+    """A micro-batch calls the processor once per hour and bucket, not per account:
+    the state has as many keys; a second batch updates and adds accounts there."""
+    from sparkwright.streaming.changelog import AFTER, BEFORE, INSERT, fold, write_changes
+    root, ckpt = scratch_path(spark, "t-src"), scratch_path(spark, "t-ckpt")
+    t, next_hour = dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 11)
+    first = [(a, a + 1, t) for a in range(300)] + [(None, None, t), (7, None, None), (7, (1 << 53) + 1, t)]
+    second = [(a, 1000, t) for a in range(200, 400)] + [(7, 2, None), (None, 3, next_hour)]
+    for i, rows in enumerate((first, second)):
+        _drop(spark, root, f"f{i}", rows)
+    src = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+    log = write_changes(spark, src.withWatermark("transaction_time", "3 hours"),
+                        scratch_path(spark, "t-log"), ckpt, buckets=4)
+    kinds = Counter(r.kind for r in log.collect())
+    assert kinds == {INSERT: 302 + 101, BEFORE: 101, AFTER: 101}
+    got = {(r.account_id, r.log_ts): r.amount for r in fold(log).collect()}
+    whole = report(spark.createDataFrame(first + second, SCHEMA))
+    assert got == {(r.account_id, r.log_ts): r.amount or 0 for r in whole.collect()}
+    held = spark.read.format("statestore").option("path", ckpt).option("stateVarName", "total").load()
+    assert held.count() == 403 and held.select("key").distinct().count() <= 4 + 1 + 1
+
+
 def test_merge_sink_hands_over_one_row_per_key(spark):
     from sparkwright.sinks.upsert import MergeSink
     seen = {}

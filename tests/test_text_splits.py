@@ -82,3 +82,19 @@ def test_compressed_files_are_refused(spark, scratch):
 def test_no_files(spark, scratch):
     os.makedirs(scratch, exist_ok=True)
     assert inverted_index_splits(spark, scratch).count() == 0
+
+
+def test_whole_files_are_counted_where_they_are_dealt_out(spark, scratch):
+    """With ``tasks`` no postings are shuffled to be counted, and the order is the same."""
+    files = {f"h{i}": f"b a\nx {i} c  a a" for i in range(30)} | {"z": " \n "}
+    write(scratch, files)
+    whole = read_whole_files(spark, scratch).unionByName(
+        spark.createDataFrame([(None, "a b"), (None, "a"), ("h1", "c c")], "file_name string, content string"))
+    plain, dealt = inverted_index(whole), inverted_index(whole, tasks=5)
+    assert list(map(tuple, dealt.collect())) == list(map(tuple, plain.collect()))
+    assert dealt.rdd.getNumPartitions() <= 5
+    unsorted = inverted_index(whole, sort=False, tasks=5)
+    exchanges = [ln for ln in unsorted._jdf.queryExecution().executedPlan().toString().splitlines()
+                 if "Exchange " in ln]
+    assert len(exchanges) == 1 and "hashpartitioning(file" in exchanges[0]
+    assert sorted(map(str, unsorted.collect())) == sorted(map(str, plain.collect()))

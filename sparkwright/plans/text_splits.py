@@ -5,8 +5,10 @@ word may reach over many lines. Files are read as lines, in splits; a line's inn
 pieces are words by themselves, and its first and last pieces are stitched to
 their neighbours': a line with a space ends the word that was open and opens the
 next, so the number of such lines before a piece names its word. Those numbers are
-running counts inside a split plus the totals of the file's earlier splits. Only
-edge pieces (two per line) are shuffled; one task holds the edges of one split.
+running counts inside a split plus the totals of the file's earlier splits. One task
+holds the edges (two pieces per line) of one split. Inner pieces are counted by split,
+then by file, each in as many tasks as the files are read in, so what a task counts
+doesn't grow with the input.
 """
 
 from __future__ import annotations
@@ -71,8 +73,12 @@ def inverted_index_splits(spark: SparkSession, path: str, name_from: str | None
     edges = spark.read.parquet(kept)
     splits = _splits(edges)
 
-    inner = lines.select("name", F.split(F.rtrim("value"), " ", -1).alias("_p")).filter(
-        F.size("_p") > 2).select("name", F.explode(F.slice("_p", 2, F.size("_p") - 2)).alias("word"))
+    # Counted by split first, where the split's lines lie; a task holds the words of a few splits.
+    tasks = max(1, lines.rdd.getNumPartitions())
+    dealt = lines.select("name", F.xxhash64("path", "split").alias("_h"), "value").repartition(tasks, "_h")
+    inner = dealt.select("name", "_h", F.split(F.rtrim("value"), " ", -1).alias("_p")).filter(
+        F.size("_p") > 2).select("name", "_h", F.explode(F.slice("_p", 2, F.size("_p") - 2)).alias("word")).groupBy(
+        "_h", "name", "word").agg(F.count(F.lit(1)).alias("cnt")).select("name", "word", "cnt")
 
     # A newline at the end of a file opens one more, empty, line.
     after = splits.filter("final AND newline").select(
@@ -113,6 +119,7 @@ def inverted_index_splits(spark: SparkSession, path: str, name_from: str | None
     name = base if name_from is None else F.regexp_extract("path", f"/{name_from}=([^/]*)/", 1)
     empty = list_files(spark, path).filter((F.col("length") == 0) & ~base.rlike("^[._]")).select(
         name.alias("name"), F.lit("").alias("word"))
-    counts = (inner.unionByName(stitched).unionByName(closed).unionByName(empty)
-              .groupBy("word", F.col("name").alias("file")).agg(F.count(F.lit(1)).alias("cnt")))
+    others = stitched.unionByName(closed).unionByName(empty).withColumn("cnt", F.lit(1).cast("long"))
+    counts = (inner.unionByName(others).withColumnRenamed("name", "file").repartition(tasks, "word", "file")
+              .groupBy("word", "file").agg(F.sum("cnt").alias("cnt")))
     return counts.orderBy("word", "file") if sort else counts

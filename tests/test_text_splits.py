@@ -84,6 +84,28 @@ def test_no_files(spark, scratch):
     assert inverted_index_splits(spark, scratch).count() == 0
 
 
+def named_exchanges(df, *stage):
+    """The plan's exchanges by the columns ``stage`` into a number of tasks that the query names."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [ln for ln in plan.splitlines() if "hashpartitioning" in ln and "REPARTITION_BY_NUM" in ln
+            and all(c in ln for c in stage)]
+
+
+def test_counts_are_dealt_to_as_many_tasks_as_the_files_are_read_in(spark, scratch, small_splits):
+    """What a task counts must not grow with the input, whatever the session's shuffle partitions."""
+    rng = random.Random(7)
+    files = {f"g{i}": "\n".join(" ".join(rng.choices("abcdefgh", k=9)) for _ in range(60)) for i in range(4)}
+    write(scratch, files)
+    parts = spark.read.text(scratch).rdd.getNumPartitions()
+    df = inverted_index_splits(spark, scratch, sort=False)
+    assert parts > 8 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert any(f", {parts})" in ln for ln in named_exchanges(df, "word", "file"))
+    assert any(f", {parts})" in ln for ln in named_exchanges(df, "_h"))
+    assert sorted(map(tuple, df.collect())) == counted(files)
+    assert [r[:2] for r in map(tuple, inverted_index_splits(spark, scratch).collect())] == [
+        r[:2] for r in counted(files)]
+
+
 def test_whole_files_are_counted_where_they_are_dealt_out(spark, scratch):
     """With ``tasks`` no postings are shuffled to be counted, and the order is the same."""
     files = {f"h{i}": f"b a\nx {i} c  a a" for i in range(30)} | {"z": " \n "}

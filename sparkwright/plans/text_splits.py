@@ -24,8 +24,12 @@ def _lines(spark: SparkSession, path: str, name_from: str | None) -> DataFrame:
     """(name, path, split, line, size, value): ``line`` orders the lines of a split."""
     files = spark.read.option("lineSep", "\n").text(path)
     meta = F.col("_metadata")
+    if name_from is None:
+        name = meta["file_name"]
+    else:  # an empty tree has no partition folders at all
+        name = F.col(name_from).cast("string") if name_from in files.columns else F.lit(None).cast("string")
     return files.select(
-        (meta["file_name"] if name_from is None else F.col(name_from).cast("string")).alias("name"),
+        name.alias("name"),
         meta["file_path"].alias("path"), meta["file_block_start"].alias("split"),
         F.monotonically_increasing_id().alias("line"), meta["file_size"].alias("size"), "value")
 
